@@ -21,6 +21,7 @@ from airtrack.settings import GRID_TASK_ROWS, SIMILARITY_THRESHOLD, SMALL_GRAPH_
 
 _MARGIN = 1e-9  # box distances this close to the reach are left to the exact comparison
 _FINER = 8
+_PAIR = ["timestamp", "left_cell", "right_cell"]
 
 
 def _cell(side: float) -> Column:
@@ -75,18 +76,33 @@ def _neighbour_cells(cells: DataFrame, threshold: float) -> DataFrame:
             F.col("a.timestamp").alias("timestamp"),
             F.col("a.cell").alias("left_cell"),
             F.col("b.cell").alias("right_cell"),
+            (F.col("a.vectors") * F.col("b.vectors")).alias("comparisons"),
             near.alias("_near"),
             far.alias("_far"),
         )
         .filter(F.col("_near") < width * (1 + _MARGIN))
-        .select("timestamp", "left_cell", "right_cell", (F.col("_far") < width * (1 - _MARGIN)).alias("sure"))
+        .select(*_PAIR, "comparisons", (F.col("_far") < width * (1 - _MARGIN)).alias("sure"))
     )
 
 
-def _undecided_links(vectors: DataFrame, undecided: DataFrame, threshold: float) -> DataFrame:
-    """The undecided pairs of cells that do hold a similar pair of signals."""
-    width = reach(threshold)
-    pair = ["timestamp", "left_cell", "right_cell"]
+def _compared_links(vectors: DataFrame, undecided: DataFrame, threshold: float) -> DataFrame:
+    """The undecided pairs that hold a similar pair of signals, by comparing their vectors (few per pair)."""
+    a = vectors.select("timestamp", F.col("cell").alias("left_cell"), F.struct(*DIMENSIONS).alias("a"))
+    b = vectors.select("timestamp", F.col("cell").alias("right_cell"), F.struct(*DIMENSIONS).alias("b"))
+    return (
+        undecided.select(*_PAIR)
+        .join(a, ["timestamp", "left_cell"])
+        .join(b, ["timestamp", "right_cell"])
+        .filter(similarity("a", "b") > threshold)
+        .select(*_PAIR)
+        .distinct()
+    )
+
+
+def _refined_links(vectors: DataFrame, undecided: DataFrame, threshold: float) -> DataFrame:
+    """As :func:`_compared_links` for pairs of crowded cells: boxes of a finer grid decide, and vectors are
+    compared only across pairs of fine cells that lie right at the reach, with the left side salted."""
+    width, pair = reach(threshold), _PAIR
     wanted = undecided.select("timestamp", F.explode(F.array("left_cell", "right_cell")).alias("cell")).distinct()
     members = vectors.join(wanted, ["timestamp", "cell"], "left_semi").withColumn(
         "sub", _cell(_cell_side(threshold) / _FINER)
@@ -208,18 +224,25 @@ def _label_large(links: DataFrame) -> DataFrame:
             return labels
 
 
-def clustered(nodes: DataFrame, threshold: float = SIMILARITY_THRESHOLD, small: int = SMALL_GRAPH_LINKS) -> DataFrame:
+def clustered(
+    nodes: DataFrame,
+    threshold: float = SIMILARITY_THRESHOLD,
+    small: int = SMALL_GRAPH_LINKS,
+    comparisons: int = GRID_TASK_ROWS**2,
+) -> DataFrame:
     """Add ``cluster``: the smallest ``signal_id`` of the signals connected to a node in its second."""
     placed = nodes.withColumn("cell", _cell(_cell_side(threshold)))
     vectors = placed.select("timestamp", "cell", *DIMENSIONS).distinct()
-    cells = vectors.groupBy("timestamp", "cell").agg(*_box())
+    cells = vectors.groupBy("timestamp", "cell").agg(F.count(F.lit(1)).alias("vectors"), *_box())
     neighbours = pin(_neighbour_cells(cells, threshold))
-    sure = neighbours.filter("sure").drop("sure")
-    undecided = neighbours.filter(~F.col("sure")).drop("sure")
-    links = sure
-    if not undecided.isEmpty():
-        links = pin(sure.unionByName(_undecided_links(vectors, undecided, threshold)))
-    labels = connected(links, small)
+    undecided = neighbours.filter(~F.col("sure"))
+    crowded = undecided.filter(F.col("comparisons") > comparisons)
+    links = neighbours.filter("sure").select(*_PAIR).unionByName(
+        _compared_links(vectors, undecided.filter(F.col("comparisons") <= comparisons), threshold)
+    )
+    if not crowded.isEmpty():
+        links = links.unionByName(_refined_links(vectors, crowded, threshold))
+    labels = connected(pin(links), small)
     first = placed.groupBy("timestamp", "cell").agg(F.min("signal_id").alias("_first"))
     labelled = first.join(labels, ["timestamp", "cell"], "left").withColumn("label", F.coalesce("label", "cell"))
     names = labelled.groupBy("timestamp", "label").agg(F.min("_first").alias("cluster"))
