@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -45,3 +45,12 @@ def json_string_literal(text: Column) -> Column:
     """The text as a JSON string literal (used to write double-encoded messages)."""
     wrapped = F.to_json(F.struct(text.alias("v")))
     return F.substr(wrapped, F.lit(6), F.length(wrapped) - 6)
+
+
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, with a barrier that filters on computed columns are not pushed through.
+
+    Without it the optimizer copies costly expressions (JSON parsing above all) into every such filter.
+    """
+    row = F.struct(*[F.col(name) for name in df.columns])
+    return df.select(F.explode_outer(F.array(row)).alias("_row")).select("_row.*")

@@ -1,29 +1,32 @@
 """Cutting lineage in iterative jobs.
 
-Reliable ``checkpoint()`` only: the files live in the shared folder the session names, so a lost
-executor costs a re-read and not a wrong or failed job.
+Intermediate results are written as Parquet under the shared folder the session names and read back, so a lost
+executor costs a re-read and not a wrong or failed job, later steps read only the columns they need, and the
+planner knows the true size of what it joins.
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="airtrack-checkpoint-")
-    context.setCheckpointDir(folder)
+def shared_folder(spark: SparkSession) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="airtrack-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def pin(df: DataFrame) -> DataFrame:
     """Write the rows once and continue from the written copy."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/airtrack/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

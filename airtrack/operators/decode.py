@@ -126,7 +126,9 @@ def typed_aoa(routed: DataFrame, now_ms: Column | int | None = None) -> DataFram
             columns.append(text.cast_lenient(field, kind).alias(name))
             if name != "devId":
                 missing = missing | field.isNull()
-    return parsed.select(*carried, *columns, F.when(missing, F.lit("missing field")).alias("reason"))
+    return text.computed_once(
+        parsed.select(*carried, *columns, F.when(missing, F.lit("missing field")).alias("reason"))
+    )
 
 
 def ods_aoa(messages: DataFrame, now_ms: Column | int | None = None) -> DataFrame:

@@ -80,10 +80,12 @@ def pair_messages(messages: DataFrame) -> DataFrame:
         .when(F.col("timestamp").isNull(), "no start time")
         .when(bad_number, "bad number")
     )
-    return typed.select(
-        *[c for c in typed.columns if not c.startswith("_")],
-        F.col("timestamp").alias("event_time"),
-        reason.alias("reason"),
+    return text.computed_once(
+        typed.select(
+            *[c for c in typed.columns if not c.startswith("_")],
+            F.col("timestamp").alias("event_time"),
+            reason.alias("reason"),
+        )
     )
 
 
