@@ -24,6 +24,7 @@ from airtrack.operators.kinematics import NODE, SIGNAL
 
 _CLUSTER = ["timestamp", "cluster"]
 _PLACE = ["longitude", "latitude", "height"]
+_BEFORE = -1  # the second in which remembered identities enter
 
 
 def _earliest_member() -> Column:
@@ -107,14 +108,28 @@ def _origins(pointers: DataFrame) -> DataFrame:
     return state
 
 
-def fused(members: DataFrame) -> DataFrame:
+def fused(members: DataFrame, memory: DataFrame | None = None) -> DataFrame:
     """``fusion_*`` and ``pre_fusion_*`` of every (signal, second).
 
     ``members`` has one row per (signal, second) with ``cluster``, ``intrusion_start_time`` and ``start_*``.
+    ``memory`` is what earlier runs remember (see :func:`remembered`); it enters as a second before all others
+    in which every signal was alone.
     """
-    members = pin(members.select(
+    members = members.select(
         *NODE, "cluster", "intrusion_start_time", "start_longitude", "start_latitude", "start_height"
-    ))
+    )
+    if memory is not None:
+        known_signals = memory.join(members.select(*SIGNAL).distinct(), SIGNAL, "left_semi")
+        members = members.unionByName(
+            known_signals.select(
+                *SIGNAL,
+                F.lit(_BEFORE).cast("bigint").alias("timestamp"),
+                F.concat_ws("_", *SIGNAL).alias("cluster"),
+                F.col("fusion_start_time").alias("intrusion_start_time"),
+                *[F.col(f"fusion_{name}").alias(f"start_{name}") for name in _PLACE],
+            )
+        )
+    members = pin(members)
     known = _spread_starts(members)
     by_time = Window.partitionBy(*SIGNAL).orderBy("timestamp")
     remembering = known.select(
@@ -149,7 +164,19 @@ def fused(members: DataFrame) -> DataFrame:
     fields = ["fusion_id", "fusion_start_time", *[f"fusion_{name}" for name in _PLACE]]
     return named.select(
         *NODE, "cluster", *fields, *[F.lag(name).over(by_time).alias(f"pre_{name}") for name in fields]
-    )
+    ).filter(F.col("timestamp") > _BEFORE)
+
+
+def remembered(identities: DataFrame, memory: DataFrame | None = None, since: int | None = None) -> DataFrame:
+    """Last identity of every signal: what a later run has to know.  Signals not seen ``since`` are forgotten."""
+    columns = [*NODE, "fusion_id", "fusion_start_time", *[f"fusion_{name}" for name in _PLACE]]
+    rows = identities.select(*columns)
+    if memory is not None:
+        rows = rows.unionByName(memory.select(*columns))
+    if since is not None:
+        rows = rows.filter(F.col("timestamp") >= since)
+    rest = [c for c in columns if c not in SIGNAL]
+    return rows.groupBy(*SIGNAL).agg(F.max(F.struct(*rest)).alias("_last")).select(*SIGNAL, "_last.*")
 
 
 def attach_fusion(rows: DataFrame, identities: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ UTM_ZONE = 51
 SIMILARITY_THRESHOLD = 0.8
 WINDOW_SECONDS = 5
 SLIDE_SECONDS = 1
-WATERMARK_DELAY = "50 milliseconds"
+WATERMARK_DELAY_MS = 50
 CHECKPOINT_TRIGGER = "3 seconds"
 PARTITION_COMMIT_DELAY_SECONDS = 3600
 
