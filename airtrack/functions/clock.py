@@ -61,4 +61,5 @@ def partition_columns(epoch_ms: Column, zone: str = LOCAL_ZONE) -> dict[str, Col
 
 def batch_label(second: Column) -> Column:
     """Label ``<start_ms>-<end_ms>`` of the one-second slice that starts at ``second``."""
+    second = second.cast("bigint")
     return F.concat((second * 1000).cast("string"), F.lit("-"), ((second + 1) * 1000).cast("string"))
