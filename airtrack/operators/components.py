@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from airtrack.lineage import pin
-from airtrack.operators.similarity import DIMENSIONS, reach, similarity
+from airtrack.lineage import pin, pin_and_test
+from airtrack.operators.similarity import DIMENSIONS, around, reach, similarity
 from airtrack.settings import GRID_TASK_ROWS, SIMILARITY_THRESHOLD, SMALL_GRAPH_LINKS
 
 _MARGIN = 1e-9  # box distances this close to the reach are left to the exact comparison
@@ -60,12 +60,12 @@ def _neighbour_cells(cells: DataFrame, threshold: float) -> DataFrame:
         "_sp": F.floor(F.floor(F.col("lo_avg_speed") / side) / steps),
         "_h": F.floor(F.floor(F.col("lo_avg_height") / side) / steps),
     })
-    around = F.expr("explode(flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j)))))")
-    visiting = coarse.withColumn("_o", around).withColumns({
+    visiting = coarse.withColumn("_o", F.explode(around())).withColumns({
         "_sp": F.col("_sp") + F.col("_o.i"),
         "_h": F.col("_h") + F.col("_o.j"),
     })
-    left, right = coarse.alias("a"), visiting.alias("b")
+    # The side that was multiplied must not be broadcast on the strength of its size before that.
+    left, right = coarse.alias("a"), visiting.hint("merge").alias("b")
     met = F.col("a.cell") < F.col("b.cell")
     for key in ("timestamp", "_tr", "_sp", "_h"):
         met = met & (F.col(f"a.{key}") == F.col(f"b.{key}"))
@@ -215,12 +215,13 @@ def _label_large(links: DataFrame) -> DataFrame:
             .select("timestamp", "cell", "_old", F.least("label", F.coalesce("_heard", "label")).alias("label"))
         )
         jump = hooked.select("timestamp", F.col("cell").alias("label"), F.col("label").alias("_next"))
-        stepped = pin(
+        stepped, lowered = pin_and_test(
             hooked.join(jump, ["timestamp", "label"])
-            .select("timestamp", "cell", "_old", F.least("label", "_next").alias("label"))
+            .select("timestamp", "cell", "_old", F.least("label", "_next").alias("label")),
+            F.col("label") != F.col("_old"),
         )
         labels = stepped.select("timestamp", "cell", "label")
-        if stepped.filter(F.col("label") != F.col("_old")).isEmpty():
+        if not lowered:
             return labels
 
 
@@ -234,13 +235,15 @@ def clustered(
     placed = nodes.withColumn("cell", _cell(_cell_side(threshold)))
     vectors = placed.select("timestamp", "cell", *DIMENSIONS).distinct()
     cells = vectors.groupBy("timestamp", "cell").agg(F.count(F.lit(1)).alias("vectors"), *_box())
-    neighbours = pin(_neighbour_cells(cells, threshold))
+    neighbours, any_crowded = pin_and_test(
+        _neighbour_cells(cells, threshold), ~F.col("sure") & (F.col("comparisons") > comparisons)
+    )
     undecided = neighbours.filter(~F.col("sure"))
-    crowded = undecided.filter(F.col("comparisons") > comparisons)
     links = neighbours.filter("sure").select(*_PAIR).unionByName(
         _compared_links(vectors, undecided.filter(F.col("comparisons") <= comparisons), threshold)
     )
-    if not crowded.isEmpty():
+    if any_crowded:
+        crowded = undecided.filter(F.col("comparisons") > comparisons)
         links = links.unionByName(_refined_links(vectors, crowded, threshold))
     labels = connected(pin(links), small)
     first = placed.groupBy("timestamp", "cell").agg(F.min("signal_id").alias("_first"))

@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from airtrack.lineage import pin
+from airtrack.lineage import pin, pin_and_test
 from airtrack.operators.kinematics import NODE, SIGNAL
+from airtrack.operators.ranking import numbered
 
 _CLUSTER = ["timestamp", "cluster"]
 _PLACE = ["longitude", "latitude", "height"]
@@ -56,8 +57,6 @@ def cluster_start(members: DataFrame) -> DataFrame:
 
 def cluster_members(members: DataFrame) -> DataFrame:
     """Rows ``(timestamp, cluster_index, signal_id)``: clusters of a second counted from 0 in member order."""
-    from airtrack.operators.ranking import numbered
-
     firsts = (
         members.groupBy(*_CLUSTER)
         .agg(F.min(F.struct(*SIGNAL)).alias("_first"))
@@ -78,18 +77,21 @@ def _spread_starts(members: DataFrame) -> DataFrame:
     while True:
         remembered = state.withColumn("_known", F.min("start").over(life))
         agreed = remembered.groupBy(*_CLUSTER).agg(F.min("_known").alias("_agreed"))
-        turned = pin(
-            remembered.join(agreed, _CLUSTER).select(*NODE, "cluster", F.col("start").alias("_old"), F.col("_agreed").alias("start"))
+        turned, lowered = pin_and_test(
+            remembered.join(agreed, _CLUSTER).select(
+                *NODE, "cluster", F.col("start").alias("_old"), F.col("_agreed").alias("start")
+            ),
+            F.col("start") < F.col("_old"),
         )
         state = turned.drop("_old")
-        if turned.filter(F.col("start") < F.col("_old")).isEmpty():
+        if not lowered:
             return state
 
 
 def _origins(pointers: DataFrame) -> DataFrame:
     """Follow ``(from_timestamp, from_cluster)`` to the cluster that holds a ``place``."""
-    state = pin(pointers)
-    while not state.filter(F.col("place").isNull()).isEmpty():
+    state, waiting = pin_and_test(pointers, F.col("place").isNull())
+    while waiting:
         ahead = state.select(
             F.col("timestamp").alias("from_timestamp"), F.col("cluster").alias("from_cluster"),
             F.col("from_timestamp").alias("_next_timestamp"), F.col("from_cluster").alias("_next_cluster"),
@@ -104,7 +106,9 @@ def _origins(pointers: DataFrame) -> DataFrame:
                 F.col("_place").alias("place"),
             )
         )
-        state = pin(state.filter(F.col("place").isNotNull()).unionByName(moved))
+        state, waiting = pin_and_test(
+            state.filter(F.col("place").isNotNull()).unionByName(moved), F.col("place").isNull()
+        )
     return state
 
 

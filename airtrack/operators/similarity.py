@@ -29,6 +29,14 @@ def similarity(left: str, right: str) -> Column:
     return 1.0 / (1.0 + distance(left, right))
 
 
+def around() -> Column:
+    """Steps to the nine cells around and including one, as a constant array."""
+    return F.array(*[
+        F.struct(F.lit(i).cast("bigint").alias("i"), F.lit(j).cast("bigint").alias("j"))
+        for i in (-1, 0, 1) for j in (-1, 0, 1)
+    ])
+
+
 def similar_pairs(
     nodes: DataFrame, threshold: float = SIMILARITY_THRESHOLD, task_rows: int = GRID_TASK_ROWS
 ) -> DataFrame:
@@ -47,8 +55,7 @@ def similar_pairs(
         "_sp": F.floor(F.col("avg_speed") / width),
         "_h": F.floor(F.col("avg_height") / width),
     })
-    around = F.expr("explode(flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j)))))")
-    visiting = gridded.select("*", around.alias("_o")).select(
+    visiting = gridded.select("*", F.explode(around()).alias("_o")).select(
         *vectors.columns, "_tr", (F.col("_sp") + F.col("_o.i")).alias("_sp"), (F.col("_h") + F.col("_o.j")).alias("_h")
     )
     crowded = gridded.groupBy(*cell).count().filter(F.col("count") > task_rows)
@@ -61,7 +68,8 @@ def similar_pairs(
             "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1))
         )
         keys = [*cell, "_salt"]
-    left, right = gridded.alias("a"), visiting.alias("b")
+    # The side that was multiplied must not be broadcast on the strength of its size before that.
+    left, right = gridded.alias("a"), visiting.hint("merge").alias("b")
     met = F.col("a.signal_id") < F.col("b.signal_id")
     for key in keys:
         met = met & (F.col(f"a.{key}") == F.col(f"b.{key}"))

@@ -160,7 +160,7 @@ def _filter_blocks(tracks: DataFrame, order: list[str], block_rows: int, task_ro
         .groupBy(*key)
         .applyInPandas(_summarise, "fusion_id string, _block int, _end bigint, _element array<double>")
     )
-    starts = summaries.groupBy("fusion_id").applyInPandas(
+    starts = summaries.repartition("fusion_id").sortWithinPartitions(*key).mapInPandas(
         _chain, "fusion_id string, _block int, " + ", ".join(f"{n} {'bigint' if n == '_last' else 'double'}" for n in _STATE)
     )
     return _filter(blocked.join(starts, key, "left"), key, ["_rank"]).drop("_block", "_rank")
@@ -226,18 +226,21 @@ def _compose(first: tuple, second: tuple) -> tuple:
     )
 
 
-def _chain(summaries: pd.DataFrame) -> pd.DataFrame:
-    """State each block of a target starts from."""
-    summaries = summaries.sort_values("_block")
-    rows, total, last = [], None, None
-    for block, end, flat in zip(summaries["_block"], summaries["_end"], summaries["_element"]):
-        element = tuple(np.asarray(flat, dtype=float).reshape(5, 2, 2))
-        if total is not None:
-            _, b, c, _, _ = total
-            rows.append((summaries["fusion_id"].iloc[0], block, last, b[0, 0], b[1, 0], b[0, 1], b[1, 1], c[0, 0], c[0, 1], c[1, 1]))
-        total = element if total is None else _compose(total, element)
-        last = int(end)
-    return pd.DataFrame(rows, columns=["fusion_id", "_block", *_STATE])
+def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """State each block of a target starts from.  Summaries arrive sorted and only the running one is kept."""
+    current = total = last = None
+    for batch in batches:
+        rows = []
+        for target, block, end, flat in zip(batch["fusion_id"], batch["_block"], batch["_end"], batch["_element"]):
+            element = tuple(np.asarray(flat, dtype=float).reshape(5, 2, 2))
+            if target == current:
+                _, b, c, _, _ = total
+                rows.append((target, block, last, b[0, 0], b[1, 0], b[0, 1], b[1, 1], c[0, 0], c[0, 1], c[1, 1]))
+                total = _compose(total, element)
+            else:
+                current, total = target, element
+            last = int(end)
+        yield pd.DataFrame(rows, columns=["fusion_id", "_block", *_STATE])
 
 
 def push_payload(tracks: DataFrame) -> DataFrame:

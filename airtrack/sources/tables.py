@@ -20,6 +20,14 @@ TABLES = {
 }
 
 
+def use(spark: SparkSession, catalog: str | None = None, database: str = "ods") -> None:
+    """Make a catalog and database current; the database is created when it does not exist."""
+    if catalog:
+        spark.catalog.setCurrentCatalog(catalog)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.catalog.setCurrentDatabase(database)
+
+
 def create_table(spark: SparkSession, name: str, database: str = "ods", location: str | None = None) -> str:
     """Create the database and one partitioned table when they do not exist; returns the full name."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from airtrack.functions import clock
 from airtrack.functions.geo import with_lonlat, with_utm
-from airtrack.lineage import pin
+from airtrack.lineage import delete, pin, scratch
 from airtrack.operators import components, decode, fusion, kinematics, pairing, track
 from airtrack.operators.similarity import DIMENSIONS
 from airtrack.plans import pipelines
@@ -16,6 +16,7 @@ from airtrack.sources import tables, topics
 from airtrack.streaming.processors import FILTER_OUTPUT, WINDOW_OUTPUT, SignalWindows, TargetFilter
 
 STATE_TTL_SECONDS = 3_600
+KEPT_MEMORIES = 10  # micro-batches whose memory is kept for recovery
 
 
 def configure(spark: SparkSession) -> None:
@@ -27,11 +28,13 @@ def configure(spark: SparkSession) -> None:
 
 
 def ods_jm(messages: DataFrame, locations: dict[str, str], checkpoint_root: str, trigger: dict | None = None) -> list:
-    """Two streaming inserts from one message stream: drones and remotes."""
+    """Streaming inserts from one message stream: drones, remotes, and old messages when they have a location."""
     drones, remotes = pipelines.ods_jm(messages)
+    targets = {"ods_jm_drone": drones, "ods_jm_remote": remotes}
+    if "ods_jm_old" in locations:
+        targets["ods_jm_old"] = decode.ods_jm_old(messages)
     return [
-        tables.insert_stream(rows, name, locations[name], checkpoint_root, trigger)
-        for name, rows in (("ods_jm_drone", drones), ("ods_jm_remote", remotes))
+        tables.insert_stream(rows, name, locations[name], checkpoint_root, trigger) for name, rows in targets.items()
     ]
 
 
@@ -103,16 +106,18 @@ def dwd(
 
     def fuse(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        memory = _memory(session, memory_root, number - 1)
-        out, identities = fuse_closed_seconds(batch, memory, threshold)
-        text = pipelines.to_text(out)
-        if servers is None:
-            text.write.mode("overwrite").json(f"{folder}/{topic}/batch={number}")
-        else:
-            topics.write_topic(text, topic, servers)
-        newest = identities.agg(F.max("timestamp")).first()[0]
-        since = None if ttl_seconds is None or newest is None else newest - ttl_seconds
-        fusion.remembered(identities, memory, since).write.mode("overwrite").parquet(f"{memory_root}/{number}")
+        with scratch(session):
+            memory = _memory(session, memory_root, number - 1)
+            out, identities = fuse_closed_seconds(batch, memory, threshold)
+            text = pipelines.to_text(out)
+            if servers is None:
+                text.write.mode("overwrite").json(f"{folder}/{topic}/batch={number}")
+            else:
+                topics.write_topic(text, topic, servers)
+            newest = identities.agg(F.max("timestamp")).first()[0]
+            since = None if ttl_seconds is None or newest is None else newest - ttl_seconds
+            fusion.remembered(identities, memory, since).write.mode("overwrite").parquet(f"{memory_root}/{number}")
+        delete(session, f"{memory_root}/{number - KEPT_MEMORIES}")
 
     return topics.start(rows.writeStream.outputMode("append").foreachBatch(fuse), topic, checkpoint_root, trigger)
 
@@ -146,3 +151,10 @@ def dws(messages: DataFrame, company: int = COMPANY_ID, ttl_seconds: int | None
     configure(messages.sparkSession)
     records = pairing.good_rows(track.parse_fused(messages))
     return filtered_targets(track.project_tracks(records, company), ttl_seconds)
+
+
+def late_rows(query) -> int:
+    """Rows a running query has dropped because their window had closed."""
+    return sum(
+        operator["numRowsDroppedByWatermark"] for progress in query.recentProgress for operator in progress["stateOperators"]
+    )

@@ -38,10 +38,10 @@ def test_table_streams_equal_batch(spark, messages, tmp_path):
     topics.write_topic(messages, "jm", folder=str(tmp_path))
     stream = topics.read_topic(spark, "jm", folder=str(tmp_path), maxFilesPerTrigger="1")
     places = {name: f"{tmp_path}/{name}" for name in ("ods_jm_drone", "ods_jm_remote")}
+    named = {name: tables.create_table(spark, name, "streamed", place) for name, place in places.items()}
     for query in jobs.ods_jm(stream, places, f"{tmp_path}/cp", ONCE):
         query.awaitTermination()
-    for (name, place), rows in zip(places.items(), pipelines.ods_jm(messages)):
-        table = tables.create_table(spark, name, database="streamed", location=place)
+    for (name, table), rows in zip(named.items(), pipelines.ods_jm(messages)):
         tables.commit_partitions(spark, table, now=time.time() + 7200)
         spark.sql(f"refresh table {table}")
         got = spark.table(table)
