@@ -25,7 +25,7 @@ from airtrack.operators.ranking import numbered
 
 _CLUSTER = ["timestamp", "cluster"]
 _PLACE = ["longitude", "latitude", "height"]
-_BEFORE = -1  # the second in which remembered identities enter
+_BEFORE = -(1 << 62)  # the second, before all others, in which remembered identities enter
 
 
 def _earliest_member() -> Column:

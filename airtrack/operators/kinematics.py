@@ -8,6 +8,8 @@ result only where row-level output is wanted.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -127,11 +129,16 @@ def feature_struct() -> Column:
     return F.struct("signal_id", "lat_range", "lon_range", "time_range", "avg_speed", "avg_height")
 
 
-def attach_kinematics(rows: DataFrame, nodes: DataFrame, zone: int = UTM_ZONE) -> DataFrame:
-    """Rows with their planar position and the kinematics and features of their (signal, second)."""
+def attach_kinematics(
+    rows: DataFrame, nodes: DataFrame, zone: int = UTM_ZONE, extra: Sequence[str] = ()
+) -> DataFrame:
+    """Rows with their planar position and the kinematics and features of their (signal, second).
+
+    ``extra`` names further columns of ``nodes`` to hand to the rows in the same join.
+    """
     per_node = nodes.select(
         *NODE, "speed", "heading", "start_latitude", "start_longitude", "start_height",
-        feature_struct().alias("feature"),
+        feature_struct().alias("feature"), *extra,
     )
     placed = with_utm(rows.drop("speed", "signal_id"), zone=zone)
     return (

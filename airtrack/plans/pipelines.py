@@ -26,14 +26,11 @@ def fuse_rows(
     zone: int = UTM_ZONE,
 ) -> DataFrame:
     """Typed detections with kinematics, features, slice rank and fusion identity."""
-    nodes = components.clustered(kinematics.node_features(rows, mode, zone), threshold)
-    nodes = pin(nodes)
-    identities = fusion.fused(nodes)
-    per_node = nodes.join(identities.drop("cluster"), kinematics.NODE)
-    ranked = kinematics.slice_rank(rows)
-    out = kinematics.attach_kinematics(ranked.drop("curr_batch_time"), nodes, zone)
-    fields = [c for c in per_node.columns if "fusion_" in c]
-    return out.join(per_node.select(*kinematics.NODE, *fields), kinematics.NODE)
+    nodes = pin(components.clustered(pin(kinematics.node_features(rows, mode, zone)), threshold))
+    identities = fusion.fused(nodes).drop("cluster")
+    fields = [c for c in identities.columns if c not in kinematics.NODE]
+    ranked = kinematics.slice_rank(rows).drop("curr_batch_time")
+    return kinematics.attach_kinematics(ranked, nodes.join(identities, kinematics.NODE), zone, fields)
 
 
 def dwd(messages: DataFrame, **options) -> DataFrame:
