@@ -233,8 +233,13 @@ def clustered(
 ) -> DataFrame:
     """Add ``cluster``: the smallest ``signal_id`` of the signals connected to a node in its second."""
     placed = nodes.withColumn("cell", _cell(_cell_side(threshold)))
-    vectors = placed.select("timestamp", "cell", *DIMENSIONS).distinct()
-    cells = vectors.groupBy("timestamp", "cell").agg(F.count(F.lit(1)).alias("vectors"), *_box())
+    vectors = placed.groupBy("timestamp", "cell", *DIMENSIONS).agg(F.min("signal_id").alias("first"))
+    cells = pin(
+        vectors.groupBy("timestamp", "cell").agg(
+            F.count(F.lit(1)).alias("vectors"), F.min("first").alias("first"), *_box()
+        )
+    )
+    vectors = vectors.drop("first")
     neighbours, any_crowded = pin_and_test(
         _neighbour_cells(cells, threshold), ~F.col("sure") & (F.col("comparisons") > comparisons)
     )
@@ -246,8 +251,11 @@ def clustered(
         crowded = undecided.filter(F.col("comparisons") > comparisons)
         links = links.unionByName(_refined_links(vectors, crowded, threshold))
     labels = connected(pin(links), small)
-    first = placed.groupBy("timestamp", "cell").agg(F.min("signal_id").alias("_first"))
-    labelled = first.join(labels, ["timestamp", "cell"], "left").withColumn("label", F.coalesce("label", "cell"))
-    names = labelled.groupBy("timestamp", "label").agg(F.min("_first").alias("cluster"))
+    labelled = (
+        cells.select("timestamp", "cell", "first")
+        .join(labels, ["timestamp", "cell"], "left")
+        .withColumn("label", F.coalesce("label", "cell"))
+    )
+    names = labelled.groupBy("timestamp", "label").agg(F.min("first").alias("cluster"))
     by_cell = labelled.select("timestamp", "cell", "label").join(names, ["timestamp", "label"]).drop("label")
     return placed.join(by_cell, ["timestamp", "cell"]).drop("cell")
