@@ -8,7 +8,6 @@ planner knows the true size of what it joins.
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import threading
 import uuid
 from collections.abc import Iterator
@@ -20,14 +19,9 @@ _open = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, else a folder in the warehouse: both are shared by driver and executors."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="airtrack-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
 
 
 def pin(df: DataFrame) -> DataFrame:

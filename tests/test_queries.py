@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
-from checks import compare
+from airtrack.plans import queries
+from checks import compare, oracle_sql
 from tests.conftest import SCALE
 
-QUERIES = entry.queries()
+QUERIES = queries.all_queries()
+STATEMENTS = oracle_sql.statements()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +17,12 @@ def con():
 
 
 def test_every_query_has_a_statement():
-    assert QUERIES.keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == STATEMENTS.keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert compare.difference(QUERIES[name](spark, SCALE), con, entry.oracle_sql()[name]) is None
+    assert compare.difference(QUERIES[name](spark, SCALE), con, STATEMENTS[name]) is None
 
 
 def test_entry(spark):
