@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from airtrack.lineage import pin
@@ -41,8 +41,3 @@ def only(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     """Rows of ``docs`` whose id is in the only column of ``ids``."""
     side = sized(ids.toDF("_wanted"))
     return docs.join(side, docs[id_col].eqNullSafe(side["_wanted"]), "left_semi")
-
-
-def unit_draw(*cols: Column) -> Column:
-    """A number in [0, 1) that depends on the given values only."""
-    return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(2**53))

@@ -21,6 +21,9 @@ BLOCK = 1024
 PASS_BYTES = 4_000_000
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: A character beyond ASCII that is no letter; without one, bytes can be normalised by table.
+_ODD = re.compile(r"[^\x00-\x7f](?<![^\W\d_])")
+_SPACED = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
 
 def held_out(id_col: str) -> F.Column:
@@ -30,7 +33,12 @@ def held_out(id_col: str) -> F.Column:
 
 def letters(text: str | None) -> bytes:
     """Lower case, letters only, anything between letters as one space."""
-    return _NOT_LETTERS.sub(" ", text.lower()).strip().encode() if text else b""
+    if not text:
+        return b""
+    low = text.lower()
+    if _ODD.search(low):
+        return _NOT_LETTERS.sub(" ", low).strip().encode()
+    return b" ".join(low.encode().translate(_SPACED).split())
 
 
 def sample(

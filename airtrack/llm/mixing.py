@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airtrack.lineage import pin
-from airtrack.llm.common import WORD, sized, unit_draw
+from airtrack.llm.common import WORD, sized
 
 MAX_COPIES = 3
 WEIGHTS = (1, 2, 3)
@@ -87,9 +87,9 @@ def mix(
     probability.  Pivotal rounding settles fractions in pairs: words move between two documents of a source until one
     of them is certain, so that every document keeps its expected number of copies and the words of the source stay
     what they are.  Chunks of about ``chunk`` documents are folded independently, each leaves at most one open
-    document, and those meet in the next level of the tree, down to one document per source, which is drawn.  The
-    words taken from a source therefore differ from its target by less than the size of that one document; folds run
-    from large to small documents, which makes it a small one.
+    document, and those meet in the next level of the tree, down to one document per source, which is rounded.  The words
+    taken from a source therefore differ from its target by at most half the size of that one document; folds run from
+    large to small documents, so that large ones meet the most partners.
 
     Draws are hashes of the documents, so reruns agree.  A null text has size 0; documents of size 0 get the certain
     copies.  A null source is a source of its own.  Rows with the same id, source and size count as one document with as
@@ -122,7 +122,7 @@ def mix(
         )
         level += 1
         if buckets <= 1:
-            last = (unit_draw(F.lit(seed), F.lit(-1), "draw") < F.col("p")).cast("long")
+            last = (F.col("p") >= 0.5).cast("long")
             settled.append(open_rows.select("source", "id", "size", "m", (F.col("whole") + last).alias("total")))
             break
         buckets = -(-buckets // chunk)

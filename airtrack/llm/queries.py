@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airtrack.llm import exact_dedup, language, mixing
+from airtrack.llm import decontaminate, exact_dedup, language, main_text, mixing
 from airtrack.llm.common import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.predict(docs, language.sample(docs))
@@ -29,9 +34,17 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = main_text.main_text(pages, main_text.weights(main_text.training_pages(pages)))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontaminate": op1_decontaminate,
         "op5_language_id": op5_language_id,
         "op6_exact_dedup": op6_exact_dedup,
         "op9_source_mix": op9_source_mix,
+        "op10_main_text": op10_main_text,
     }
