@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airtrack.llm import decontaminate, exact_dedup, language, main_text, mixing
+from airtrack.llm import decontaminate, exact_dedup, language, main_text, mixing, shingle_join
 from airtrack.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shingle_join.similar_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.predict(docs, language.sample(docs))
@@ -43,6 +48,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
+        "op2_ngram_join": op2_ngram_join,
         "op5_language_id": op5_language_id,
         "op6_exact_dedup": op6_exact_dedup,
         "op9_source_mix": op9_source_mix,

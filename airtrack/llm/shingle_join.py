@@ -33,6 +33,8 @@ COUNTING_FRAGMENTS = 4
 PASS_BYTES = 4_000_000
 #: Rounds of comparing with one member before all remaining pairs are compared.
 STAR_ROUNDS = 4
+#: Remaining pairs that are compared at once rather than in another round.
+FEW_PAIRS = 1_000_000
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(2).integers(1, 2**63, 256, dtype=np.uint64)
@@ -75,10 +77,10 @@ def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
             own = np.sort(grams[a : b - n + 1])
             out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
         elif b > a:
-            whole = np.uint64(0)
-            for w in words[a:b]:
-                whole = _mix(np.array([whole * _PRIME + w + np.uint64(1)], np.uint64))[0]
-            out.append(np.array([whole], np.uint64))
+            whole = np.zeros(1, np.uint64)
+            for k in range(a, b):
+                whole = _mix(whole * _PRIME + words[k : k + 1] + np.uint64(1))
+            out.append(whole)
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -231,7 +233,7 @@ def _fragment_rows(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataF
                     batch.column(0).take(pa.array(place, pa.int64())), pa.array(parts, pa.int32()), grams_column
                 ], schema=layout)
 
-    bounds = (np.arange(COUNTING_FRAGMENTS, dtype=np.uint64) << np.uint64(62)) if COUNTING_FRAGMENTS == 4 else None
+    bounds = np.arange(COUNTING_FRAGMENTS, dtype=np.uint64) * np.uint64(2**64 // COUNTING_FRAGMENTS)
     kind = T.StructField("id", docs.schema[id_col].dataType)
     layout = pa.schema([_arrow_field(kind), ("part", pa.int32()), ("grams", pa.list_(pa.int64()))])
     schema = T.StructType([kind, T.StructField("part", T.IntegerType()), T.StructField("grams", T.ArrayType(T.LongType()))])
@@ -280,32 +282,24 @@ def links(
     ids = pin(members.select("id").distinct())
     own = pin(sets.join(sized(ids.toDF("_id")), F.col("id") == F.col("_id"), "left_semi"))
     parts = pin(_fragment_rows(only(docs, ids, id_col), id_col, text_col, n))
-    found, total = merged(members.sparkSession.createDataFrame([], ids.select(F.col("id").alias("a"), F.col("id").alias("b")).schema), _none(ids))
+    found, total = pin_counted(ids.filter("false").select(F.col("id").alias("a"), F.col("id").alias("b")))
     pairs = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    for round_ in range(STAR_ROUNDS + 1):
-        if not left:
-            break
+    for round_ in range(STAR_ROUNDS if left else 0):
         near = _sizes(pairs, own).filter(_near_in_size("n_a", "n_b", percent))
-        if round_ == STAR_ROUNDS:
-            near = near.filter(_enough_shared(percent))
-        found, now = merged(found, verified(near.select("a", "b", "n_a", "n_b"), parts, percent))
-        if round_ == STAR_ROUNDS:
-            break
-        labels = sized(components(found)) if now else None
-        apart = _apart(members.select("sig", "id"), labels)
-        members, left = pin_counted(apart)
+        before = total
+        found, total = merged(found, verified(near.select("a", "b", "n_a", "n_b"), parts, percent))
+        members, left = pin_counted(_apart(members.select("sig", "id"), sized(components(found))))
         if not left:
             break
         outside = members.filter("component <> main")
         work = outside.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.max("holders").alias("holders")).agg(
             F.sum(F.col("n") * F.col("holders"))
         ).first()[0]
-        if work <= 4 * left + 1_000_000 or round_ == STAR_ROUNDS - 1 or (round_ and now == total):
-            pairs = _all_apart(members, outside)
-            near = _sizes(pairs, own).filter(_near_in_size("n_a", "n_b", percent)).filter(_enough_shared(percent))
+        if work <= 4 * left + FEW_PAIRS or total == before or round_ == STAR_ROUNDS - 1:
+            near = _sizes(_all_apart(members, outside), own)
+            near = near.filter(_near_in_size("n_a", "n_b", percent) & _enough_shared(percent))
             found, _ = merged(found, verified(near.select("a", "b", "n_a", "n_b"), parts, percent))
             break
-        total = now
         inside = members.filter("component = main").groupBy("sig").agg(
             F.min_by("id", F.xxhash64("sig", "id", F.lit(round_))).alias("pivot")
         )
@@ -313,16 +307,9 @@ def links(
     return found
 
 
-def _none(ids: DataFrame) -> DataFrame:
-    return ids.filter("false").select(F.col("id").alias("a"), F.col("id").alias("b"))
-
-
-def _apart(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     """``sig, id, component, main, holders`` of fragments whose documents are in several components."""
-    if labels is None:
-        labelled = members.withColumn("component", F.col("id"))
-    else:
-        labelled = members.join(labels, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("component"))
+    labelled = members.join(labels, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("component"))
     labelled = pin(labelled)
     sizes = labelled.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
     several = sizes.groupBy("sig").agg(
