@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airtrack.llm import decontaminate, exact_dedup, language, main_text, mixing, shingle_join
+from airtrack.llm import decontaminate, exact_dedup, language, main_text, mixing, sanitise, shingle_join
 from airtrack.llm.common import table
 
 
@@ -32,6 +32,21 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op8_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.find(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = listed(F.filter("spans", lambda s: s["kind"] != "term"))
+    return found.select(
+        F.col("id").alias("doc_id"), *map(count, ("email", "ip", "card", "phone")), F.sha2(base, 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id").select(
@@ -51,6 +66,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_ngram_join": op2_ngram_join,
         "op5_language_id": op5_language_id,
         "op6_exact_dedup": op6_exact_dedup,
+        "op8_sanitise": op8_sanitise,
         "op9_source_mix": op9_source_mix,
         "op10_main_text": op10_main_text,
     }
