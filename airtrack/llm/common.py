@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from airtrack.lineage import pin
@@ -32,12 +32,18 @@ def sized(df: DataFrame) -> DataFrame:
 
 
 def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """Rows of ``docs`` whose id is not the only column of ``ids``; a null id equals a null id."""
+    """Rows of ``docs`` whose id is not in the only column of ``ids``; rows with a null id stay."""
     side = sized(ids.toDF("_gone"))
-    return docs.join(side, docs[id_col].eqNullSafe(side["_gone"]), "left_anti")
+    return docs.join(side, docs[id_col] == side["_gone"], "left_anti")
 
 
 def only(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     """Rows of ``docs`` whose id is in the only column of ``ids``."""
     side = sized(ids.toDF("_wanted"))
-    return docs.join(side, docs[id_col].eqNullSafe(side["_wanted"]), "left_semi")
+    return docs.join(side, docs[id_col] == side["_wanted"], "left_semi")
+
+
+def spots(seed: int, buckets: int, *cols: str) -> tuple[Column, Column]:
+    """Hash and bucket of a row, to draw at most one row per bucket however rows are stored."""
+    spot = F.xxhash64(F.lit(seed), *cols)
+    return spot.alias("spot"), F.pmod(spot, F.lit(buckets)).alias("bucket")

@@ -41,7 +41,8 @@ def duplicates(
     )
     suspects = rows.join(sized(heads), ["length", "head"], "left_semi")
     if not digests:
-        again = only(docs.select(docs[id_col].alias("id"), text.alias("text")), suspects.select("id").distinct(), "id")
+        named = docs.select(docs[id_col].alias("id"), text.alias("text"))
+        again = only(named, suspects.select("id").distinct(), "id").unionByName(named.filter("id is null"))
         suspects = pin(again.select("id", F.octet_length("text").alias("length"), F.sha2("text", 256).alias("text_sha256")))
     groups = sized(
         suspects.groupBy("length", "text_sha256")
@@ -57,6 +58,6 @@ def duplicates(
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they are."""
+    """The rows of ``docs`` that stay, all columns as they are; rows with a null id stay."""
     found = duplicates(docs, id_col, text_col)
     return without(docs, found.filter(~F.col("kept")).select("id").distinct(), id_col)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airtrack.llm.common import spots, without
+
 UNDETERMINED = "und"
 #: Bounds of the sample: pieces per language, characters per piece, languages.
 PIECES, PIECE_CHARS, MAX_LANGUAGES = 64, 500, 256
@@ -50,9 +52,9 @@ def sample(
     Of each of ``pieces`` hash buckets of ids the document with the smallest hash is taken, so the sample does not depend
     on how rows are stored.  Only rows that are not held out, with a label and at least one letter, are learned from.
     """
-    spot = F.xxhash64(F.lit(5), F.col(id_col))
+    spot, bucket = spots(5, pieces, id_col)
     usable = docs.filter(F.col(lang_col).isNotNull() & ~held_out(id_col) & F.col(text_col).rlike(r"\p{L}")).select(
-        F.col(lang_col).alias("lang"), F.pmod(spot, F.lit(pieces)).alias("bucket"), spot.alias("spot"),
+        F.col(lang_col).alias("lang"), bucket, spot,
         F.substring(F.col(text_col), 1, piece_chars).alias("piece"),
     )
     picks = usable.groupBy("lang", "bucket").agg(F.min("spot").alias("spot"))
@@ -191,3 +193,9 @@ def predict(
         T.StructField("score", T.DoubleType()),
     ])
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(judge, schema)
+
+
+def known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose language can be told, all columns as they are."""
+    found = predict(docs, sample(docs, id_col, text_col, lang_col), id_col, text_col)
+    return without(docs, found.filter(F.col("lang_pred") == UNDETERMINED).select("id").distinct(), id_col)

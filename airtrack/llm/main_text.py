@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airtrack.llm.common import spots
+
 #: Pages that weights are learned from, at most.
 TRAINING_PAGES = 512
 
@@ -157,9 +159,9 @@ def extract(page: str, score: dict[str, float]) -> str:
 
 def training_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", most: int = TRAINING_PAGES) -> list[str]:
     """At most ``most`` pages that hold an article or main element: the smallest hash of each of ``most`` buckets of ids."""
-    spot = F.xxhash64(F.lit(10), F.col(id_col))
+    spot, bucket = spots(10, most, id_col)
     labelled = pages.filter(F.col(html_col).rlike(r"(?i)<(article|main)\b")).select(
-        spot.alias("spot"), F.pmod(spot, F.lit(most)).alias("bucket"), F.col(html_col).alias("html")
+        spot, bucket, F.col(html_col).alias("html")
     )
     picks = labelled.groupBy("bucket").agg(F.min("spot").alias("spot"))
     found = labelled.join(F.broadcast(picks), ["bucket", "spot"]).groupBy("spot").agg(F.min("html").alias("html"))

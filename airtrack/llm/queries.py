@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airtrack.llm import decontaminate, exact_dedup, language, main_text, mixing, sanitise, shingle_join
+import corpus_pipeline
+from airtrack.llm import (
+    decontaminate,
+    exact_dedup,
+    language,
+    licences,
+    line_dedup,
+    main_text,
+    mixing,
+    quality,
+    sanitise,
+    shingle_join,
+)
 from airtrack.llm.common import table
 
 
@@ -21,6 +33,15 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.predict(docs, language.sample(docs))
@@ -32,6 +53,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.deduplicated(docs).select("doc_id", "text")
+
+
 def op8_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sanitise.find(table(spark, sf_dir, "documents"))
 
@@ -64,9 +90,13 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op2_ngram_join": op2_ngram_join,
+        "op3_quality": op3_quality,
+        "op4_licences": op4_licences,
         "op5_language_id": op5_language_id,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_line_dedup": op7_line_dedup,
         "op8_sanitise": op8_sanitise,
         "op9_source_mix": op9_source_mix,
         "op10_main_text": op10_main_text,
+        "pipeline": corpus_pipeline.run,
     }
