@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airtrack.lineage import pin
-from airtrack.llm.common import pin_counted
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -36,8 +35,3 @@ def components(links: DataFrame) -> DataFrame:
             break
     roots = edges.select(F.col("b").alias("a"), "b").distinct()
     return edges.unionByName(roots).toDF("id", "component").distinct()
-
-
-def merged(links: DataFrame, more: DataFrame) -> tuple[DataFrame, int]:
-    """All links so far, written once, and their number."""
-    return pin_counted(links.unionByName(more).distinct())

@@ -129,7 +129,10 @@ def _model(samples: tuple[tuple[str, bytes], ...]) -> tuple[list[str], np.ndarra
 
 
 def phrases(texts: list[bytes], code: np.ndarray, table: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Phrases of every text (rows) per language (columns), blocks of all texts advancing side by side."""
+    """Phrases of every text (rows) per language (columns), blocks of all texts advancing side by side.
+
+    A byte that no sample holds ends the phrase before it; the phrases that ends of blocks cut off are counted as one.
+    """
     sizes = np.array([len(t) for t in texts])
     blocks = np.maximum(1, -(-sizes // BLOCK))
     owner = np.repeat(np.arange(len(texts)), blocks)

@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airtrack.lineage import pin
-from airtrack.llm.common import only, pin_counted, sized, without
-from airtrack.llm.components import components, merged
+from airtrack.llm.common import only, sized, without
+from airtrack.llm.components import components
 
 #: Ratio of the largest to the smallest set size of a class; documents of a class share one cut of the order.
 CLASS_RATIO = 1.5
@@ -31,10 +31,6 @@ VARIANTS = 4
 COUNTING_FRAGMENTS = 4
 #: Bytes of text that one vectorised pass takes.
 PASS_BYTES = 4_000_000
-#: Rounds of comparing with one member before all remaining pairs are compared.
-STAR_ROUNDS = 4
-#: Remaining pairs that are compared at once rather than in another round.
-FEW_PAIRS = 1_000_000
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(2).integers(1, 2**63, 256, dtype=np.uint64)
@@ -248,7 +244,7 @@ def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` (with sizes ``n_a, n_b``) that are similar: overlaps of fragments are counted apart and summed."""
     left = parts.select(F.col("id").alias("a"), "part", F.col("grams").alias("grams_a"))
     right = parts.select(F.col("id").alias("b"), "part", F.col("grams").alias("grams_b"))
-    counted = pairs.join(left, "a").join(right, ["b", "part"]).select(
+    counted = pairs.select("a", "b", "n_a", "n_b").join(left, "a").join(right, ["b", "part"]).select(
         "a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("both")
     )
     sums = counted.groupBy("a", "b", "n_a", "n_b").agg(F.sum("both").alias("both"))
@@ -271,60 +267,67 @@ def links(
 ) -> DataFrame:
     """``a, b``: links between documents of distinct ids in ``docs`` that give the same components as all similar pairs.
 
-    Documents that share a fragment are compared with one of them, not with each other; a fragment whose documents have all
-    become one component is done.  In the others every document outside the largest component is compared with a member of
-    it, a different one for each fragment and round; what is still apart is compared completely, after pairs are dropped
-    that share fewer fragments than their sizes demand or whose sizes differ too much.
+    Documents that share a fragment are compared with the first of them, not with each other.  A fragment whose documents
+    have become one component is done; documents of the others are compared completely by their rarest n-grams.
     """
     marks = pin(_signature_rows(docs, id_col, text_col, n, percent))
     shared = marks.groupBy("sig").agg(F.count(F.lit(1)).alias("holders"), F.min("id").alias("pivot")).filter("holders > 1")
-    members, left = pin_counted(marks.join(shared.select("sig", "pivot"), "sig"))
+    members = pin(marks.join(shared.select("sig", "pivot"), "sig"))
     ids = pin(members.select("id").distinct())
     own = pin(sets.join(sized(ids.toDF("_id")), F.col("id") == F.col("_id"), "left_semi"))
     parts = pin(_fragment_rows(only(docs, ids, id_col), id_col, text_col, n))
-    found, total = pin_counted(ids.filter("false").select(F.col("id").alias("a"), F.col("id").alias("b")))
-    pairs = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    for round_ in range(STAR_ROUNDS if left else 0):
-        near = _sizes(pairs, own).filter(_near_in_size("n_a", "n_b", percent))
-        before = total
-        found, total = merged(found, verified(near.select("a", "b", "n_a", "n_b"), parts, percent))
-        members, left = pin_counted(_apart(members.select("sig", "id"), sized(components(found))))
-        if not left:
-            break
-        outside = members.filter("component <> main")
-        work = outside.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.max("holders").alias("holders")).agg(
-            F.sum(F.col("n") * F.col("holders"))
-        ).first()[0]
-        if work <= 4 * left + FEW_PAIRS or total == before or round_ == STAR_ROUNDS - 1:
-            near = _sizes(_all_apart(members, outside), own)
-            near = near.filter(_near_in_size("n_a", "n_b", percent) & _enough_shared(percent))
-            found, _ = merged(found, verified(near.select("a", "b", "n_a", "n_b"), parts, percent))
-            break
-        inside = members.filter("component = main").groupBy("sig").agg(
-            F.min_by("id", F.xxhash64("sig", "id", F.lit(round_))).alias("pivot")
-        )
-        pairs = outside.join(inside, "sig").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-    return found
+    stars = members.filter("id <> pivot").groupBy(F.col("pivot").alias("a"), F.col("id").alias("b")).agg(
+        F.count(F.lit(1)).alias("shared")
+    )
+    likely = _sizes(stars, own).filter(_near_in_size("n_a", "n_b", percent) & _enough_shared(percent))
+    found = pin(verified(likely, parts, percent))
+    open_ = _apart(members.select("sig", "id"), sized(components(found)))
+    apart = pin(open_.select("id", "component").distinct())
+    pairs = _pairs_by_rare_grams(apart, own, parts, percent)
+    near = _sizes(pairs, own).filter(_near_in_size("n_a", "n_b", percent))
+    return found.unionByName(verified(near, parts, percent))
+
+
+def _pairs_by_rare_grams(apart: DataFrame, own: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs from different components whose rarest n-grams allow the overlap that their sizes demand.
+
+    N-grams are ordered by their number of holders, those that no other document here holds come first.  A partner of a set of
+    ``n`` lacks at most ``n - threshold * n`` of its n-grams, so the two share one of so many and one more.  The first one that
+    they share is at places in both orders that leave room for the overlap; other pairs are not formed.
+    """
+    side = sized(apart.select(F.col("id").alias("_id"), "component"))
+    grams = parts.join(side, F.col("id") == F.col("_id")).select("id", F.explode("grams").alias("gram"))
+    common = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    lists = grams.join(common, "gram").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("holders", "gram"))).alias("held"))
+    rare = lists.join(own.select("id", F.col("n_shingles").alias("n")), "id").join(side, F.col("id") == F.col("_id")).withColumn(
+        "look", (F.size("held") - F.ceil(F.col("n") * percent / 100 - 1e-9) + 1).cast("int")
+    ).filter("look > 0")
+    rows = rare.select("id", "component", "n", F.size("held").alias("common"), F.posexplode(F.slice("held", F.lit(1), F.col("look"))).alias("at", "g"))
+    rows = pin(rows.select(F.col("g.gram").alias("sig"), "id", "component", "n", (F.col("common") - F.col("at")).alias("room")))
+    several = _several(rows)
+    one = several.filter("component <> main").select("sig", "main", *(F.col(c).alias(f"{c}_x") for c in ("id", "component", "n", "room")))
+    two = several.select("sig", *(F.col(c).alias(f"{c}_y") for c in ("id", "component", "n", "room")))
+    overlap = F.ceil((F.col("n_x") + F.col("n_y")) * percent / (100 + percent) - 1e-9)
+    return one.join(two, "sig").filter(
+        "component_x <> component_y and (component_y = main or id_x < id_y)"
+    ).filter((F.col("room_x") >= overlap) & (F.col("room_y") >= overlap)).select(
+        F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")
+    ).distinct()
 
 
 def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """``sig, id, component, main, holders`` of fragments whose documents are in several components."""
+    """``sig, id, component, main`` of fragments whose documents are in several components."""
     labelled = members.join(labels, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("component"))
-    labelled = pin(labelled)
-    sizes = labelled.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
+    return _several(pin(labelled))
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """Rows of ``sig, id, component`` whose ``sig`` occurs in several components, with the one that holds most, ``main``."""
+    sizes = rows.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
     several = sizes.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("holders")
-    ).filter("parts > 1").select("sig", F.col("top.component").alias("main"), "holders")
-    return labelled.join(several, "sig")
-
-
-def _all_apart(members: DataFrame, outside: DataFrame) -> DataFrame:
-    """Pairs of documents that share a fragment and are in different components, with the number of shared fragments."""
-    one = outside.select("sig", F.col("id").alias("x"), F.col("component").alias("cx"), "main")
-    two = members.select("sig", F.col("id").alias("y"), F.col("component").alias("cy"))
-    return one.join(two, "sig").filter("cx <> cy and (cy = main or x < y)").groupBy(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    ).agg(F.count(F.lit(1)).alias("shared"))
+        F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("top")
+    ).filter("parts > 1").select("sig", F.col("top.component").alias("main"))
+    return rows.join(several, "sig")
 
 
 def _enough_shared(percent: int) -> Column:

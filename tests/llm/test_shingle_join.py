@@ -72,13 +72,12 @@ def test_equals_all_pairs(spark, n, percent, seed):
     assert result(shingle_join.similar_components(docs, n=n, percent=percent)) == brute(rows, n, percent)
 
 
-@pytest.mark.parametrize("few", [0, 10**6])
-def test_large_group_of_near_copies(spark, monkeypatch, few):
-    """Members are similar to some of the group only; rounds and the complete comparison must agree."""
-    monkeypatch.setattr(shingle_join, "FEW_PAIRS", few)
+@pytest.mark.parametrize("edits", [3, 6, 10])
+def test_large_group_of_near_copies(spark, edits):
+    """Members are similar to some of the group only, and linked through others."""
     rng = random.Random(4)
     base = [f"w{k}" for k in range(120)]
-    rows = [(k, edited(base, rng, rng.randrange(0, 6))) for k in range(400)]
+    rows = [(k, edited(base, rng, rng.randrange(0, edits))) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert result(shingle_join.similar_components(docs, n=3, percent=90)) == brute(rows, 3, 90)
 
