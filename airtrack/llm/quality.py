@@ -73,12 +73,13 @@ def kneser_ney(texts: DataFrame, order: int = ORDER) -> DataFrame:
     tables = [lower.withColumn("back", F.lit(1.0))]
     for k in range(1, order + 1):
         n = [F.sum((F.col("c") == i).cast("double")).alias(f"n{i}") for i in (1, 2, 3, 4)]
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
         cut = [
-            F.coalesce(F.greatest(F.lit(0.1), F.try_divide((i + 1) * y * F.col(f"n{i + 1}"), F.col(f"n{i}")) * -1 + i), F.lit(0.5 * i))
+            F.when(y.isNull() | (F.col(f"n{i}") == 0), F.lit(0.5 * i))
+            .otherwise(F.greatest(F.lit(0.1), i - F.try_divide((i + 1) * y * F.col(f"n{i + 1}"), F.col(f"n{i}"))))
             for i in (1, 2, 3)
         ]
-        discounts = counts[k].groupBy("lang").agg(*n).filter("n1 + n2 + n3 > 0").select(
+        discounts = counts[k].groupBy("lang").agg(*n).select(
             "lang", *(F.least(d, F.lit(0.95 * i)).alias(f"d{i}") for i, d in enumerate(cut, 1))
         )
         with_cut = counts[k].join(discounts, "lang").withColumn(
