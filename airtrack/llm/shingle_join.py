@@ -29,6 +29,8 @@ CLASS_RATIO = 1.5
 VARIANTS = 4
 #: Fragments in which overlaps are counted separately.
 COUNTING_FRAGMENTS = 4
+#: Times that documents which share too few fragments to have a partner are left out of the others' counts.
+PRUNINGS = 2
 #: Bytes of text that one vectorised pass takes.
 PASS_BYTES = 4_000_000
 
@@ -123,7 +125,8 @@ class Cuts:
         return [own, own + 1] if n >= self.similar * self.bounds[own + 1] else [own]
 
     def signatures(self, grams: np.ndarray) -> tuple[np.ndarray, list[int]]:
-        """Hashes of filled fragments, and their number in the first cut for each tag."""
+        """Hashes of filled fragments, the lowest bit telling whether the tag is odd; and for each tag the number of them in the
+        first cut, and how many of them a similar set shares at least."""
         found, filled = [], []
         for tag in self.tags(len(grams)):
             k, allowed = self.fragments[tag], self.most_differing(len(grams), tag)
@@ -135,10 +138,11 @@ class Cuts:
                 count = np.diff(at)
                 label = np.uint64((tag * VARIANTS + variant) << 40) + np.arange(k, dtype=np.uint64)
                 marks = _mix(_mix((total[at[1:]] - total[at[:-1]]) + count.astype(np.uint64)) ^ _mix(label))
+                marks = marks & ~np.uint64(1) | np.uint64(tag & 1)
                 enough = np.count_nonzero(count) > allowed
                 found.append(marks if variant == VARIANTS - 1 and not enough else marks[count > 0])
                 if not variant:
-                    filled.append(int(np.count_nonzero(count)))
+                    filled += [int(np.count_nonzero(count)), int(np.count_nonzero(count)) - allowed]
                 if enough:
                     break
         return np.concatenate(found) if found else np.zeros(0, np.uint64), filled
@@ -168,21 +172,21 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def set_table(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """``id, n_shingles, set_a, set_b, own, filled, filled_next``: size and identity of every document's set, its size class
-    and filled fragments."""
+    """``id, n_shingles, set_a, set_b, own, filled, need, filled_next, need_next``: size and identity of every document's set,
+    its size class, filled fragments in this and the next class, and how many of them a similar set shares at least."""
     def run(batches):
         for batch in batches:
-            out = [[] for _ in range(6)]
+            out = [[] for _ in range(8)]
             for _, texts in _passes(batch):
                 cuts = _cuts(percent)
                 for grams in shingle_sets(texts, n):
-                    filled = (cuts.signatures(grams)[1] + [0, 0])[:2]
+                    filled = (cuts.signatures(grams)[1] + [0] * 4)[:4]
                     sums = (int(np.sum(f, dtype=np.uint64).view(np.int64)) if len(f) else 0 for f in (grams, _mix(grams ^ _PRIME)))
                     for column, value in zip(out, (len(grams), *sums, cuts.size_class(len(grams)), *filled)):
                         column.append(value)
             yield pa.record_batch([batch.column(0), *(pa.array(c, pa.int64()) for c in out)], schema=layout)
 
-    names = ("n_shingles", "set_a", "set_b", "own", "filled", "filled_next")
+    names = ("n_shingles", "set_a", "set_b", "own", "filled", "need", "filled_next", "need_next")
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *(T.StructField(x, T.LongType()) for x in names)])
     layout = pa.schema([_arrow_field(schema[0]), *((x, pa.int64()) for x in names)])
     return _rows(docs, id_col, text_col).mapInArrow(run, schema)
@@ -270,9 +274,10 @@ def links(
     Documents that share a fragment are compared with the first of them, not with each other.  A fragment whose documents
     have become one component is done; documents of the others are compared completely by their rarest n-grams.
     """
-    marks = pin(_signature_rows(docs, id_col, text_col, n, percent))
-    shared = marks.groupBy("sig").agg(F.count(F.lit(1)).alias("holders"), F.min("id").alias("pivot")).filter("holders > 1")
-    members = pin(marks.join(shared.select("sig", "pivot"), "sig"))
+    marks = _signature_rows(docs, id_col, text_col, n, percent)
+    members = pin(marks.alias("x").join(marks.alias("y"), F.expr("x.sig = y.sig and x.id <> y.id"), "left_semi"))
+    for _ in range(PRUNINGS):
+        members = _with_enough(members, sets)
     ids = pin(members.select("id").distinct())
     own = pin(sets.join(sized(ids.toDF("_id")), F.col("id") == F.col("_id"), "left_semi"))
     parts = pin(_fragment_rows(only(docs, ids, id_col), id_col, text_col, n))
@@ -288,6 +293,18 @@ def links(
     return found.unionByName(verified(near, parts, percent))
 
 
+def _with_enough(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``sig, id, pivot`` of documents that share as many fragments with others as they would with a similar set."""
+    odd = F.pmod("sig", F.lit(2))
+    counts = members.groupBy("id", odd.alias("odd")).agg(F.count(F.lit(1)).alias("shared"))
+    need = F.when(F.col("odd") == F.pmod("own", F.lit(2)), F.col("need")).otherwise(F.col("need_next"))
+    able = counts.join(sets.select(F.col("id").alias("_id"), "own", "need", "need_next"), F.col("id") == F.col("_id"))
+    able = sized(able.filter(F.col("shared") >= need).select(F.col("id").alias("_id"), "odd"))
+    left = members.select("sig", "id").join(able, (F.col("id") == F.col("_id")) & (odd == F.col("odd")), "left_semi")
+    pivots = left.groupBy("sig").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).filter("pivot < last")
+    return pin(left.join(pivots.select("sig", "pivot"), "sig"))
+
+
 def _pairs_by_rare_grams(apart: DataFrame, own: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """``a, b``: pairs from different components whose rarest n-grams allow the overlap that their sizes demand.
 
