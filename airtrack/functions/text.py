@@ -6,18 +6,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _truth(text: Column) -> Column:
+    """1 and 0 for the JSON literals ``true`` and ``false``."""
+    return F.when(text == "true", F.lit(1)).when(text == "false", F.lit(0))
+
+
 def lenient_double(text: Column) -> Column:
-    """Number of a text, 0.0 when it is none."""
-    return F.coalesce(text.try_cast("double"), F.lit(0.0))
+    """Number of a text, 0.0 when it is none; ``true`` is 1.0."""
+    return F.coalesce(_truth(text).cast("double"), text.try_cast("double"), F.lit(0.0))
 
 
 def lenient_long(text: Column) -> Column:
-    """Whole number of a text, cut toward zero, 0 when it is none."""
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Whole number of a text, cut toward zero, 0 when it is none; ``true`` is 1."""
+    number = text.try_cast("double").try_cast("bigint")
+    return F.coalesce(_truth(text).cast("bigint"), text.try_cast("bigint"), number, F.lit(0).cast("bigint"))
 
 
 def lenient_int(text: Column) -> Column:
-    return F.coalesce(text.try_cast("int"), text.try_cast("double").try_cast("int"), F.lit(0))
+    return F.coalesce(_truth(text), text.try_cast("int"), text.try_cast("double").try_cast("int"), F.lit(0))
+
+
+def whole(text: Column) -> Column:
+    """Whole number of a text, cut toward zero; null when it is none."""
+    return F.coalesce(text.try_cast("int"), text.try_cast("double").try_cast("int"))
+
+
+def present(value: Column, keys: Column, name: str) -> Column:
+    """Text of a JSON field that is there: an explicit null reads as the text ``null``; null when the key is missing."""
+    return F.when(F.array_contains(keys, name), F.coalesce(value, F.lit("null")))
+
+
+def plain_number(number: Column) -> Column:
+    """A double as text, in digits from 1e-4 up to 1e16 and with a two-digit exponent beyond."""
+    java = number.cast("string")
+    digits = F.rtrim(java.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
+    plain = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
+    parts = F.split(java, "E")
+    power = F.try_element_at(parts, F.lit(2)).try_cast("int")
+    short = F.concat(
+        F.regexp_replace(parts[0], r"\.0$", ""), F.when(power < 0, "e-").otherwise("e+"),
+        F.lpad(F.abs(power).cast("string"), 2, "0"),
+    )
+    return F.when(power.isNull(), java).when(power.between(-4, 15), plain).otherwise(short)
 
 
 def cast_lenient(text: Column, kind: str) -> Column:

@@ -19,35 +19,45 @@ NEW, OLD = "new", "old"
 def route_jm(messages: DataFrame) -> DataFrame:
     """Add ``inner`` (decoded text) and ``route``: ``new`` iff the decoded object has a ``drone`` array."""
     inner = text.inner_json(F.col("value"))
-    is_array = F.ltrim(F.get_json_object("inner", "$.drone")).startswith("[")
+    is_array = F.from_json("inner", schemas.JM_MESSAGE)["drone"].isNotNull()
     return messages.withColumn("inner", inner).withColumn(
         "route", F.when(F.coalesce(is_array, F.lit(False)), F.lit(NEW)).otherwise(F.lit(OLD))
     )
 
 
 def explode_jm(routed: DataFrame) -> DataFrame:
-    """One typed row per element of ``drone``; ``reason`` is set when a field the format requires is missing.
+    """One typed row per element of ``drone``; ``reason`` is set when the element is no object or a field is missing.
 
-    Only ``new`` messages have a ``drone`` array, so the outer explode followed by the null filter selects
-    exactly that route while the text is parsed once (a filter on ``route`` would be pushed down and parse again).
+    A field is missing when its key is; an explicit null reads as 0 or as the text ``null``.  Only ``new`` messages
+    have a ``drone`` array, so the outer explode followed by the null filter selects exactly that route while the
+    message is parsed once (a filter on ``route`` would be pushed down and parse again).  Elements are parsed one by
+    one: a bad one is one row with a reason and the others of its message stay.
     """
     carried = [c for c in routed.columns if c not in ("value", "inner", "route")]
+    wrapped = F.transform("_m.drone", lambda e: F.struct(e.alias("text")))
     elements = (
-        routed.withColumn("_m", F.from_json("inner", schemas.JM_INNER_TEXT))
-        .select(*carried, F.col("_m.station_id").alias("station_id"), F.explode_outer("_m.drone").alias("_e"))
+        routed.select(*carried, F.from_json("inner", schemas.JM_MESSAGE).alias("_m"), F.json_object_keys("inner").alias("_keys"))
+        .select(*carried, "_keys", F.col("_m.station_id").alias("_station"), F.explode_outer(wrapped).alias("_e"))
         .filter(F.col("_e").isNotNull())
+        .select(
+            *carried, text.present(F.col("_station"), F.col("_keys"), "station_id").alias("station_id"),
+            F.from_json("_e.text", schemas.JM_ELEMENT).alias("_o"), F.json_object_keys("_e.text").alias("_k"),
+        )
+    )
+    fields = {name: text.present(F.col("_o")[name], F.col("_k"), name) for name, _ in schemas.JM_DRONE_FIELDS}
+    read = text.computed_once(
+        elements.select(*carried, "station_id", F.col("_k").isNull().alias("_none"), *(f.alias(n) for n, f in fields.items()))
     )
-    required = [F.col("_e")[name] for name, _ in schemas.JM_DRONE_FIELDS]
     missing = F.col("station_id").isNull()
-    for field in required:
-        missing = missing | field.isNull()
-    typed = [text.cast_lenient(F.col("_e")[name], kind).alias(name) for name, kind in schemas.JM_DRONE_FIELDS]
-    return elements.select(
+    for name in fields:
+        missing = missing | F.col(name).isNull()
+    return read.select(
         *carried,
-        *typed,
+        *[text.cast_lenient(F.col(name), kind).alias(name) for name, kind in schemas.JM_DRONE_FIELDS],
         "station_id",
-        F.when(missing, F.lit("missing field"))
-        .when(clock.after_separator(F.col("_e.batch_num")).isNull(), F.lit("no separator in batch_num"))
+        F.when(F.col("_none"), F.lit("not an object"))
+        .when(missing, F.lit("missing field"))
+        .when(clock.after_separator(F.col("batch_num")).isNull(), F.lit("no separator in batch_num"))
         .alias("reason"),
     )
 
@@ -60,8 +70,11 @@ def with_ods_time(rows: DataFrame) -> DataFrame:
 
 def ods_jm(messages: DataFrame) -> DataFrame:
     """Typed, hour-partitioned rows of all usable elements, remotes and drones together."""
-    rows = explode_jm(route_jm(messages)).filter(F.col("reason").isNull())
-    return with_ods_time(rows).select(*_columns(schemas.ODS_JM_COLUMNS, {"scanid": F.col("scanID")}))
+    return usable_jm(explode_jm(route_jm(messages)))
+
+
+def usable_jm(elements: DataFrame) -> DataFrame:
+    return with_ods_time(elements.filter(F.col("reason").isNull())).select(*_columns(schemas.ODS_JM_COLUMNS, {"scanid": F.col("scanID")}))
 
 
 def is_drone() -> Column:
@@ -75,20 +88,22 @@ def split_by_type(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def legacy_jm(routed: DataFrame) -> DataFrame:
-    """Rows of the old flat format; a message that is none keeps its text in ``batch_num``."""
+    """Rows of the old flat format; a message that lacks one of its keys keeps its text in ``batch_num``."""
     carried = [c for c in routed.columns if c not in ("value", "inner", "route")]
     schema = ", ".join(f"{name} string" for name, _ in schemas.JM_OLD_FIELDS)
-    parsed = routed.filter(F.col("route") == OLD).withColumn("_j", F.from_json("value", schema))
+    parsed = routed.filter(F.col("route") == OLD).withColumn("_j", F.from_json("value", schema)).withColumn(
+        "_k", F.json_object_keys("value")
+    )
     complete = F.lit(True)
     for name, _ in schemas.JM_OLD_FIELDS:
-        complete = complete & F.col("_j")[name].isNotNull()
+        complete = complete & F.array_contains("_k", name)
     parsed = parsed.withColumn("_complete", F.coalesce(complete, F.lit(False)))
     defaults = {"string": F.lit(None).cast("string"), "double": F.lit(0.0), "int": F.lit(0), "bigint": F.lit(0).cast("bigint")}
     columns = []
     for name, kind in schemas.JM_OLD_FIELDS:
         fallback = F.col("value") if name == "batch_num" else defaults[kind]
         columns.append(
-            F.when(F.col("_complete"), text.cast_lenient(F.col("_j")[name], kind)).otherwise(fallback).alias(name)
+            F.when(F.col("_complete"), text.cast_lenient(text.present(F.col("_j")[name], F.col("_k"), name), kind)).otherwise(fallback).alias(name)
         )
     return parsed.select(*carried, *columns)
 
@@ -109,21 +124,23 @@ def route_aoa(messages: DataFrame) -> DataFrame:
 
 
 def typed_aoa(routed: DataFrame, now_ms: Column | int | None = None) -> DataFrame:
-    """Typed direction rows; a missing ``timestamp`` becomes ``now_ms`` (default: the current time)."""
+    """Typed direction rows; a missing ``timestamp`` becomes ``now_ms`` (default: the current time), a null one 0."""
     carried = [c for c in routed.columns if c not in ("value", "inner", "route")]
     schema = ", ".join(f"{name} string" for name, _ in schemas.AOA_FIELDS)
     if now_ms is None:
         now_ms = F.unix_millis(F.current_timestamp())
     now = F.lit(now_ms).cast("bigint")
-    parsed = routed.filter(F.col("route") == NEW).withColumn("_j", F.from_json("value", schema))
+    parsed = routed.filter(F.col("route") == NEW).withColumn("_j", F.from_json("value", schema)).withColumn(
+        "_k", F.json_object_keys("value")
+    )
     columns = []
     missing = F.lit(False)
     for name, kind in schemas.AOA_FIELDS:
-        field = F.col("_j")[name]
+        field = text.present(F.col("_j")[name], F.col("_k"), name)
         if name == "timestamp":
             columns.append(F.when(field.isNull(), now).otherwise(text.cast_lenient(field, kind)).alias(name))
         else:
-            columns.append(text.cast_lenient(field, kind).alias(name))
+            columns.append(text.cast_lenient(field if name != "devId" else F.col("_j")[name], kind).alias(name))
             if name != "devId":
                 missing = missing | field.isNull()
     return text.computed_once(

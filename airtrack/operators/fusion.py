@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from airtrack.functions import text
 from airtrack.lineage import pin, pin_and_test
 from airtrack.operators.kinematics import NODE, SIGNAL
 from airtrack.operators.ranking import numbered
@@ -41,7 +42,8 @@ def _earliest_member() -> Column:
 
 def fusion_id(start: str, longitude: str, latitude: str, height: str) -> Column:
     """Hash of the identity's start time and place."""
-    return F.md5(F.concat_ws("_", *[F.col(c).cast("string") for c in (start, longitude, latitude, height)]))
+    place = [text.plain_number(F.col(c)) for c in (longitude, latitude, height)]
+    return F.md5(F.concat_ws("_", F.col(start).cast("string"), *place))
 
 
 def cluster_start(members: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ _REQUIRED_NUMBERS = ("height", "latitude", "longitude")
 
 def _last(kind: int) -> Column:
     return F.try_element_at(
-        F.filter("_m.drone", lambda e: e["type"].try_cast("int") == kind), F.lit(-1)
+        F.filter("_elements", lambda e: e["type"].try_cast("double") == kind), F.lit(-1)
     )
 
 
@@ -29,33 +29,34 @@ def pair_messages(messages: DataFrame) -> DataFrame:
     decoded = messages.select(
         *carried, F.replace(text.inner_json(F.col("value")), F.lit(ESCAPED_SEPARATOR), F.lit("")).alias("_inner")
     )
-    parsed = decoded.withColumn("_m", F.from_json("_inner", schemas.JM_INNER_TEXT))
-    has_array = F.ltrim(F.get_json_object("_inner", "$.drone")).startswith("[")
-    picked = parsed.select(
+    parsed = decoded.withColumn("_m", F.from_json("_inner", schemas.JM_MESSAGE)).select(
         *carried,
         F.col("_inner").isNotNull().alias("_decoded"),
-        F.coalesce(has_array, F.lit(False)).alias("_has_array"),
+        F.col("_m.drone").isNotNull().alias("_has_array"),
         F.col("_m.station_id").alias("station_id"),
-        _last(DRONE_TYPE).alias("_d"),
-        _last(REMOTE_TYPE).alias("_r"),
+        F.transform("_m.drone", lambda e: F.from_json(e, schemas.JM_ELEMENT)).alias("_elements"),
+    )
+    picked = parsed.select(
+        *carried, "_decoded", F.coalesce("_has_array", F.lit(False)).alias("_has_array"), "station_id",
+        _last(DRONE_TYPE).alias("_d"), _last(REMOTE_TYPE).alias("_r"),
     )
     d = F.col("_d")
-    lasting = d["lasting_time"].try_cast("int")
+    lasting = d["lasting_time"].try_cast("double")
     typed = picked.select(
         *carried,
         d["batch_num"].alias("batch_num"),
-        d["detect_type"].try_cast("int").alias("detect_type"),
+        text.whole(d["detect_type"]).alias("detect_type"),
         d["drone_uuid"].alias("drone_uuid"),
         d["frequency"].try_cast("double").alias("frequency"),
         d["height"].try_cast("double").alias("height"),
         d["intrusion_start_time"].alias("intrusion_start_time"),
-        lasting.alias("lasting_time"),
+        text.whole(d["lasting_time"]).alias("lasting_time"),
         d["latitude"].try_cast("double").alias("latitude"),
         d["longitude"].try_cast("double").alias("longitude"),
         d["model"].alias("model"),
         F.from_json(d["scanID"], "array<struct<id:string>>").alias("scanID"),
         d["speed"].try_cast("double").alias("speed"),
-        d["type"].try_cast("int").alias("type"),
+        text.whole(d["type"]).alias("type"),
         F.col("_r.longitude").try_cast("double").alias("driverlongitude"),
         F.col("_r.latitude").try_cast("double").alias("driverlatitude"),
         "station_id",

@@ -23,11 +23,30 @@ PROCESS_VARIANCE = 1e2
 
 
 def parse_fused(messages: DataFrame) -> DataFrame:
-    """Fused records from their JSON text; ``reason`` is set for text that holds no usable record."""
+    """Fused records from their JSON text; ``reason`` is set for text that holds no usable record.
+
+    Numbers are read as text and cast: a number that is not one gives the record a reason instead of a default.
+    """
     carried = [c for c in messages.columns if c != "value"]
-    parsed = messages.select(*carried, F.from_json(text.strip_control(F.col("value")), schemas.DWD).alias("_j"))
-    bad = F.col("_j").isNull() | F.col("_j.timestamp").isNull() | clock.takeoff_text(F.col("_j.intrusion_start_time")).isNull()
-    return text.computed_once(parsed.select(*carried, "_j.*", F.when(bad, F.lit("no usable record")).alias("reason")))
+    fields = T.StructType.fromDDL(schemas.DWD).fields
+    numbers = {f.name: f.dataType for f in fields if isinstance(f.dataType, T.NumericType)}
+    as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in numbers else f.dataType) for f in fields])
+    parsed = messages.select(*carried, F.from_json(text.strip_control(F.col("value")), as_text).alias("_j"))
+    values, spoiled = [], F.lit(False)
+    for f in fields:
+        field = F.col("_j")[f.name]
+        if f.name not in numbers:
+            values.append(field.alias(f.name))
+            continue
+        number = field.try_cast(f.dataType)
+        if isinstance(f.dataType, T.IntegralType):
+            number = F.coalesce(number, field.try_cast("double").try_cast(f.dataType))
+        values.append(number.alias(f.name))
+        spoiled = spoiled | (field.isNotNull() & number.isNull())
+    read = text.computed_once(parsed.select(*carried, F.col("_j").isNull().alias("_none"), *values, spoiled.alias("_spoiled")))
+    bad = F.col("_none") | F.col("timestamp").isNull() | clock.takeoff_text(F.col("intrusion_start_time")).isNull()
+    reason = F.when(bad, F.lit("no usable record")).when(F.col("_spoiled"), F.lit("bad number")).alias("reason")
+    return text.computed_once(read.select(*carried, *[f.name for f in fields], reason))
 
 
 def project_tracks(records: DataFrame, company: int = COMPANY_ID) -> DataFrame:

@@ -15,6 +15,25 @@ def ods_jm(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return decode.split_by_type(decode.ods_jm(messages))
 
 
+def ods_jm_parts(messages: DataFrame) -> dict[str, DataFrame]:
+    """All rows that the messages become: ``drones``, ``remotes``, ``old`` messages, and ``quarantined`` elements with a reason."""
+    routed = decode.route_jm(messages)
+    elements = decode.explode_jm(routed)
+    drones, remotes = decode.split_by_type(decode.ods_jm(messages))
+    return {
+        "drones": drones, "remotes": remotes, "old": decode.ods_jm_old(messages), "quarantined": pairing.quarantined(elements),
+    }
+
+
+def ods_aoa_parts(messages: DataFrame, now_ms: Column | int | None = None) -> dict[str, DataFrame]:
+    """``usable`` rows, ``old`` messages as they are, and ``quarantined`` rows with a reason."""
+    routed = decode.route_aoa(messages)
+    return {
+        "usable": decode.ods_aoa(messages, now_ms), "old": routed.filter(F.col("route") == decode.OLD).drop("route"),
+        "quarantined": pairing.quarantined(decode.typed_aoa(routed, now_ms)),
+    }
+
+
 def ods_aoa(messages: DataFrame, now_ms: Column | int | None = None) -> DataFrame:
     return decode.ods_aoa(messages, now_ms)
 
@@ -38,6 +57,42 @@ def dwd(messages: DataFrame, **options) -> DataFrame:
     return fuse_rows(pin(pairing.good_rows(pairing.pair_messages(messages))), **options)
 
 
+def dwd_parts(messages: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+    """Fused detections, and the rows of unusable messages with their reason; one parse for both."""
+    paired = pin(pairing.pair_messages(messages))
+    return fuse_rows(pairing.good_rows(paired), **options), pairing.quarantined(paired)
+
+
+def dws_parts(messages: DataFrame, company: int = COMPANY_ID, zone: int = UTM_ZONE) -> tuple[DataFrame, DataFrame]:
+    """Filtered tracks, and the rows of unusable records with their reason; one parse for both."""
+    records = pin(track.parse_fused(messages))
+    return track.kalman(track.project_tracks(pairing.good_rows(records), company), zone=zone), pairing.quarantined(records)
+
+
+def balance(jm: DataFrame, aoa: DataFrame) -> DataFrame:
+    """``job, outcome, n``: what became of every message or element; nothing is left out."""
+    routed = decode.route_jm(jm)
+    reason = F.coalesce("reason", F.lit("usable")).alias("outcome")
+    parts = {
+        "ods_jm elements": decode.explode_jm(routed).select(reason),
+        "ods_jm messages": routed.select(F.col("route").alias("outcome")),
+        "ods_aoa messages": routed_aoa(aoa),
+        "dwd messages": pairing.pair_messages(jm).select(reason),
+    }
+    counts = [rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).withColumn("job", F.lit(job)) for job, rows in parts.items()]
+    total = counts[0]
+    for more in counts[1:]:
+        total = total.unionByName(more)
+    return total.select("job", "outcome", "n")
+
+
+def routed_aoa(messages: DataFrame) -> DataFrame:
+    """``outcome`` of every direction message."""
+    routed = decode.route_aoa(messages)
+    new = decode.typed_aoa(routed, 0).select(F.coalesce("reason", F.lit("usable")).alias("outcome"))
+    return new.unionByName(routed.filter(F.col("route") == decode.OLD).select(F.lit(decode.OLD).alias("outcome")))
+
+
 def to_text(records: DataFrame) -> DataFrame:
     """Records as JSON text, ready for a topic."""
     fields = [c for c in records.columns if c != "offset"]

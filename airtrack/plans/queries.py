@@ -100,6 +100,10 @@ def pair_pilot_drone(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def message_balance(spark: SparkSession, folder: str) -> DataFrame:
+    return pipelines.balance(_jm(spark, folder), fixtures.aoa_messages(fixtures.detections(spark, folder)))
+
+
 def utm_forward(spark: SparkSession, folder: str) -> DataFrame:
     placed = with_utm(_detections(spark, folder).select("offset", "longitude", "latitude"))
     return _rounded(placed.select("offset", "utm_x", "utm_y"), utm_x=3, utm_y=3)
@@ -227,7 +231,7 @@ def dws_pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         jm_decode_route, jm_explode_typed, jm_split_counts, ods_partition_rows, jm_legacy_fallback, aoa_route_fill,
-        pair_pilot_drone, utm_forward, utm_inverse, kinematics_causal, kinematics_lookahead, start_position,
+        pair_pilot_drone, message_balance, utm_forward, utm_inverse, kinematics_causal, kinematics_lookahead, start_position,
         slice_rank, window_features, sliding_window_counts, similarity_edges, signal_components, cluster_quality,
         cluster_members, cluster_start, fusion_ids, track_projection, kalman_track, push_payload,
         dwd_pipeline, dws_pipeline,

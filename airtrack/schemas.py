@@ -16,19 +16,10 @@ JM_DRONE_FIELDS = (
     ("type", "int"),
 )
 
-JM_INNER = (
-    "station_id string, drone array<struct<batch_num:string,detect_type:int,drone_uuid:string,"
-    "frequency:double,height:double,intrusion_start_time:string,lasting_time:int,latitude:double,"
-    "longitude:double,model:string,scanID:array<struct<id:string>>,speed:double,type:int>>"
-)
-
-# The message as text fields: every number is cast by the operator that needs it,
-# so one bad field never hides the others.
-JM_INNER_TEXT = (
-    "station_id string, drone array<struct<"
-    + ",".join(f"{name}:string" for name, _ in JM_DRONE_FIELDS)
-    + ">>"
-)
+# The message and its elements as text fields: elements are parsed one by one and every number is cast by the
+# operator that needs it, so one bad field or element never hides the others.
+JM_MESSAGE = "station_id string, drone array<string>"
+JM_ELEMENT = ", ".join(f"{name} string" for name, _ in JM_DRONE_FIELDS)
 
 JM_OLD_FIELDS = (
     ("intrusion_start_time", "string"),

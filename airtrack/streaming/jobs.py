@@ -15,7 +15,7 @@ from airtrack.settings import COMPANY_ID, SIMILARITY_THRESHOLD, UTM_ZONE, WATERM
 from airtrack.sources import tables, topics
 from airtrack.streaming.processors import FILTER_OUTPUT, WINDOW_OUTPUT, SignalWindows, TargetFilter
 
-STATE_TTL_SECONDS = 3_600
+STATE_TTL_SECONDS = None  # nothing is forgotten unless a caller asks for it
 KEPT_MEMORIES = 10  # micro-batches whose memory is kept for recovery
 
 
@@ -42,6 +42,12 @@ def ods_aoa(messages: DataFrame, location: str, checkpoint_root: str, trigger: d
     return tables.insert_stream(decode.ods_aoa(messages), "ods_aoa", location, checkpoint_root, trigger)
 
 
+def quarantine(rows: DataFrame, name: str, folder: str, checkpoint_root: str, trigger: dict | None = None):
+    """Keep the rows of a parsed stream that cannot be used, with their reason, as JSON text in ``folder/name``."""
+    bad = pipelines.to_text(pairing.quarantined(rows))
+    return topics.write_topic(bad, name, folder=folder, checkpoint=checkpoint_root, trigger=trigger)
+
+
 def signal_windows(rows: DataFrame, ttl_seconds: int | None = STATE_TTL_SECONDS, zone: int = UTM_ZONE) -> DataFrame:
     """Stream of detections with kinematics, features and slice rank, given out as their window closes."""
     others = [c for c in rows.columns if c not in ("offset", *kinematics.NODE)]

@@ -185,6 +185,13 @@ def statements() -> dict[str, str]:
             select=f"""select *, strftime(make_timestamp(("timestamp"//1000+28800)*1000000),'%Y-%m-%d') as dt,
  strftime(make_timestamp(("timestamp"//1000+28800)*1000000),'%H') as hr from ({_AOA})"""
         ),
+        "message_balance": f"""with {DETECTIONS}, {ELEMENTS},
+m as (select 'dwd messages' as job, case when kind<2 then 'not a JSON text of an object' when kind<4 then 'no drone array'
+   when kind=4 then 'no pilot element' when kind=5 then 'no start time' when kind=6 then 'bad number' else 'usable' end as outcome from det
+ union all select 'ods_jm messages', case when kind<4 then 'old' else 'new' end from det
+ union all select 'ods_jm elements', 'usable' from el
+ union all select 'ods_aoa messages', case when event_type in ('error','click') then 'old' else 'usable' end from det)
+select job, outcome, count(*) as n from m group by all""",
         "pair_pilot_drone": _chain(
             select="""select "offset", case kind when 0 then 'not a JSON text of an object' when 1 then 'not a JSON text of an object'
  when 2 then 'no drone array' when 3 then 'no drone array' when 4 then 'no pilot element' when 5 then 'no start time'

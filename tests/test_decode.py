@@ -5,7 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from airtrack.operators import decode, pairing
+from airtrack import schemas
+from airtrack.functions import text as text_functions
+from airtrack.operators import decode, pairing, track
 from airtrack.plans import pipelines
 from airtrack.sources import fixtures
 
@@ -137,3 +139,76 @@ def test_aoa_fixture_has_all_kinds(found):
     routed = decode.route_aoa(fixtures.aoa_messages(found))
     assert routed.groupBy("route").count().count() == 2
     assert decode.ods_aoa(fixtures.aoa_messages(found), 1).filter(F.col("timestamp") == 1).count() > 0
+
+
+def inner(*elements):
+    return json.dumps(json.dumps({"station_id": "1", "drone": list(elements)}, ensure_ascii=False))
+
+
+def test_a_bad_element_leaves_the_others(spark):
+    rows = decode.explode_jm(decode.route_jm(frame(spark, inner(element(), 5, None, element(type=0))))).collect()
+    assert [r.reason for r in rows] == [None, "not an object", "not an object", None]
+    row = pairing.pair_messages(frame(spark, inner(element(), 5, element(type=0)))).first()
+    assert row.reason is None and row.model == element()["model"]
+
+
+def test_text_in_brackets_is_no_array(spark):
+    value = json.dumps(json.dumps({"station_id": "1", "drone": "[x]"}))
+    assert decode.route_jm(frame(spark, value)).first()["route"] == "old"
+    assert pairing.pair_messages(frame(spark, value)).first()["reason"] == "no drone array"
+
+
+def test_explicit_null_is_not_missing(spark):
+    row = decode.explode_jm(decode.route_jm(frame(spark, inner(element() | {"speed": None, "scanID": None})))).first()
+    assert (row.reason, row.speed, row.scanID) == (None, 0.0, "null")
+    lacking = {k: v for k, v in element().items() if k != "speed"}
+    assert decode.explode_jm(decode.route_jm(frame(spark, inner(lacking)))).first()["reason"] == "missing field"
+    old = {name: 1 for name, _ in schemas.JM_OLD_FIELDS} | {"droneUK": None, "batch_num": "b"}
+    row = decode.legacy_jm(decode.route_jm(frame(spark, json.dumps(old)))).first()
+    assert (row.droneUK, row.batch_num, row.latitude) == ("null", "b", 1.0)
+
+
+def test_aoa_nulls(spark):
+    value = '{"devId":"1","batchno":"b","distance":1,"lasting_time":2,"channel":3,"model":null,"direction":4,"timestamp":null}'
+    row = decode.typed_aoa(decode.route_aoa(frame(spark, value)), 77).first()
+    assert (row.reason, row.model, row.timestamp) == (None, "null", 0)
+
+
+def test_json_truth_is_one(spark):
+    row = decode.explode_jm(decode.route_jm(frame(spark, inner(element(detect_type=True, speed=False))))).first()
+    assert (row.detect_type, row.speed) == (1, 0.0)
+
+
+def test_fractions_are_cut(spark):
+    text = inner(element(type=0.0), element(type=1.0, lasting_time=32.7))
+    row = pairing.pair_messages(frame(spark, text)).first()
+    whole = pairing.pair_messages(frame(spark, inner(element(type=0), element(lasting_time=32)))).first()
+    assert (row.reason, row.timestamp, row.lasting_time) == (None, whole.timestamp, 32)
+
+
+@pytest.mark.parametrize(
+    "changes, reason, stamp",
+    [({}, None, 5), ({"timestamp": 5.0}, None, 5), ({"utm_x": "bad"}, "bad number", 5), ({"utm_x": None}, None, 5), ({"timestamp": "x"}, "no usable record", None)],
+)
+def test_fused_numbers(spark, changes, reason, stamp):
+    record = {"timestamp": 5, "utm_x": 1.5, "intrusion_start_time": "92025ㆍ20241206145845781"} | changes
+    row = track.parse_fused(frame(spark, json.dumps(record, ensure_ascii=False))).first()
+    assert (row.reason, row.timestamp) == (reason, stamp)
+
+
+def test_every_message_is_accounted_for(messages, found):
+    total = messages.count()
+    aoa = fixtures.aoa_messages(found)
+    sums = {r.job: r.n for r in pipelines.balance(messages, aoa).groupBy("job").agg(F.sum("n").alias("n")).collect()}
+    assert sums["dwd messages"] == sums["ods_jm messages"] == total and sums["ods_aoa messages"] == aoa.count()
+    fused, bad = pipelines.dwd_parts(messages)
+    assert fused.count() + bad.count() == total
+    parts = pipelines.ods_jm_parts(messages)
+    rows = sum(parts[k].count() for k in ("drones", "remotes", "quarantined"))
+    assert rows == sums["ods_jm elements"] and parts["old"].count() == messages.count() * 4 // 20
+
+
+def test_plain_numbers(spark):
+    numbers = [0.0005, 12345678.5, 22.5, 0.0, -0.00012, 1e-05, 1.5e-07, 1e16, 123456789012345.0, -3.0, 1e15, 0.1, 114.05204512345678]
+    rows = spark.createDataFrame([(float(x),) for x in numbers], "x double").select("x", text_functions.plain_number(F.col("x")).alias("t")).collect()
+    assert [r.t for r in rows] == [repr(r.x) for r in rows]
