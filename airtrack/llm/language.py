@@ -20,7 +20,7 @@ PIECES, PIECE_CHARS, MAX_LANGUAGES = 64, 500, 256
 #: Texts are parsed in blocks of so many bytes, so that long texts need no more memory than short ones.
 BLOCK = 1024
 #: Bytes of text that one vectorised pass takes.
-PASS_BYTES = 4_000_000
+PASS_BYTES = 1_000_000
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: A character beyond ASCII that is no letter; without one, bytes can be normalised by table.

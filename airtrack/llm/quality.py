@@ -23,7 +23,7 @@ LOW, HIGH, SLACK = 0.01, 0.99, 0.12
 #: A text is averaged with so many bytes of typical loss, so that short texts are not judged by a few bytes.
 PRIOR_BYTES = 200
 #: Bytes of text that one vectorised pass takes.
-PASS_BYTES = 4_000_000
+PASS_BYTES = 1_000_000
 
 _START = "0A" * (ORDER - 1)
 

@@ -32,7 +32,7 @@ COUNTING_FRAGMENTS = 4
 #: Times that documents which share too few fragments to have a partner are left out of the others' counts.
 PRUNINGS = 2
 #: Bytes of text that one vectorised pass takes.
-PASS_BYTES = 4_000_000
+PASS_BYTES = 1_000_000
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(2).integers(1, 2**63, 256, dtype=np.uint64)
@@ -61,7 +61,7 @@ def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     word = ~_SPACE[flat]
     edge = np.flatnonzero(np.diff(word.astype(np.int8), prepend=np.int8(0)))
     start, stop = edge[::2], edge[1::2]
-    power, inverse = _powers(1 << max(22, len(flat).bit_length()))
+    power, inverse = _powers(1 << max(20, len(flat).bit_length()))
     value = np.where(word, _BYTES[_LOWER[flat]], np.uint64(0)) * power[: len(flat)]
     total = np.concatenate([[np.uint64(0)], np.cumsum(value, dtype=np.uint64)])
     words = _mix((total[stop] - total[start]) * inverse[start] + (stop - start).astype(np.uint64))
