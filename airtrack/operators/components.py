@@ -13,7 +13,6 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from airtrack.lineage import pin, pin_and_test
 from airtrack.operators.similarity import DIMENSIONS, around, reach, similarity

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtrack.functions.geo import with_lonlat, with_utm
-from airtrack.lineage import pin
+from airtrack.lineage import pin, shared_folder
 from airtrack.operators import components, decode, fusion, kinematics, pairing, quality, similarity, track
 from airtrack.plans import pipelines
-from airtrack.sources import fixtures
+from airtrack.sources import fixtures, tables, topics
+from airtrack.streaming import jobs
 
+_ONCE = {"availableNow": True}
 NOW_MS = 1_700_000_000_000  # fill-in time of direction messages without one, fixed for repeatable results
 
 
@@ -72,6 +75,40 @@ def ods_partition_rows(spark: SparkSession, folder: str) -> DataFrame:
     return decode.ods_jm(_jm(spark, folder))
 
 
+def _new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/airtrack/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def ods_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The table layer as a stream over a topic folder, read back from both tables."""
+    place = _new_folder(spark)
+    topics.write_topic(_jm(spark, folder), "jm", folder=place)
+    names = ("ods_jm_drone", "ods_jm_remote")
+    stream = topics.read_topic(spark, "jm", folder=place)
+    for query in jobs.ods_jm(stream, {name: f"{place}/{name}" for name in names}, f"{place}/checkpoints", _ONCE):
+        query.awaitTermination()
+    drones, remotes = (spark.read.schema(tables.TABLES[name]).parquet(f"{place}/{name}") for name in names)
+    return drones.unionByName(remotes)
+
+
+def aoa_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Direction messages as a stream over a topic folder, read back from their table."""
+    place = _new_folder(spark)
+    topics.write_topic(fixtures.aoa_messages(fixtures.detections(spark, folder)), "aoa", folder=place)
+    stream = topics.read_topic(spark, "aoa", folder=place)
+    jobs.ods_aoa(stream, f"{place}/ods_aoa", f"{place}/checkpoints", _ONCE, NOW_MS).awaitTermination()
+    return spark.read.schema(tables.TABLES["ods_aoa"]).parquet(f"{place}/ods_aoa")
+
+
+def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Drone rows inserted into a partitioned table, and the partitions of one day read back."""
+    place, database = _new_folder(spark), f"roundtrip_{uuid.uuid4().hex}"
+    table = tables.create_table(spark, "ods_jm_drone", database, f"{place}/ods_jm_drone")
+    tables.insert(pipelines.ods_jm(_jm(spark, folder))[0], table)
+    tables.commit_partitions(spark, table, delay_seconds=0)
+    return spark.table(table).filter("dt >= '2024-12-06'")
+
+
 def jm_legacy_fallback(spark: SparkSession, folder: str) -> DataFrame:
     messages = decode.route_jm(_jm(spark, folder)).withColumn("message", F.col("value"))
     rows = decode.legacy_jm(messages)
@@ -231,6 +268,7 @@ def dws_pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         jm_decode_route, jm_explode_typed, jm_split_counts, ods_partition_rows, jm_legacy_fallback, aoa_route_fill,
+        ods_stream, aoa_stream, table_roundtrip,
         pair_pilot_drone, message_balance, utm_forward, utm_inverse, kinematics_causal, kinematics_lookahead, start_position,
         slice_rank, window_features, sliding_window_counts, similarity_edges, signal_components, cluster_quality,
         cluster_members, cluster_start, fusion_ids, track_projection, kalman_track, push_payload,

@@ -71,8 +71,10 @@ def commit_partitions(
     for folder in files.globStatus(hadoop.Path(root, "dt=*/hr=*")) or []:
         path = folder.getPath()
         marker = hadoop.Path(path, "_SUCCESS")
+        if files.exists(marker):
+            continue
         data = [f.getModificationTime() for f in files.listStatus(path) if not f.getPath().getName().startswith(("_", "."))]
-        if not data or files.exists(marker) or min(data) + delay_seconds * 1000 > now_ms:
+        if not data or min(data) + delay_seconds * 1000 > now_ms:
             continue
         dt = urllib.parse.unquote(path.getParent().getName().split("=", 1)[1])
         hr = urllib.parse.unquote(path.getName().split("=", 1)[1])

@@ -14,8 +14,13 @@ _PARTITION_BITS = 12
 
 
 def _arrival() -> F.Column:
-    """One whole number per message that is unique in the topic and grows with the offset of its partition."""
-    return F.shiftleft("offset", _PARTITION_BITS).bitwiseOR(F.col("partition").cast("bigint")).alias("offset")
+    """One whole number per message that is unique in the topic and grows with the offset of its partition.
+
+    A topic with more partitions than the number has room for fails the job rather than mixing up messages.
+    """
+    packed = F.shiftleft("offset", _PARTITION_BITS).bitwiseOR(F.col("partition").cast("bigint"))
+    fits = F.col("partition") < 1 << _PARTITION_BITS
+    return F.when(fits, packed).otherwise(F.raise_error(F.lit("too many partitions in the topic"))).alias("offset")
 
 
 def read_topic(

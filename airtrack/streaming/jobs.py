@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from airtrack.functions import clock
 from airtrack.functions.geo import with_lonlat, with_utm
@@ -38,8 +39,10 @@ def ods_jm(messages: DataFrame, locations: dict[str, str], checkpoint_root: str,
     ]
 
 
-def ods_aoa(messages: DataFrame, location: str, checkpoint_root: str, trigger: dict | None = None):
-    return tables.insert_stream(decode.ods_aoa(messages), "ods_aoa", location, checkpoint_root, trigger)
+def ods_aoa(
+    messages: DataFrame, location: str, checkpoint_root: str, trigger: dict | None = None, now_ms: int | None = None
+):
+    return tables.insert_stream(decode.ods_aoa(messages, now_ms), "ods_aoa", location, checkpoint_root, trigger)
 
 
 def quarantine(rows: DataFrame, name: str, folder: str, checkpoint_root: str, trigger: dict | None = None):
@@ -159,8 +162,26 @@ def dws(messages: DataFrame, company: int = COMPANY_ID, ttl_seconds: int | None
     return filtered_targets(track.project_tracks(records, company), ttl_seconds)
 
 
-def late_rows(query) -> int:
-    """Rows a running query has dropped because their window had closed."""
-    return sum(
-        operator["numRowsDroppedByWatermark"] for progress in query.recentProgress for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Rows that queries have dropped because their window had closed, by query name, over the whole run.
+
+    Add it with ``spark.streams.addListener`` before the queries start.
+    """
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.dropped.setdefault(event.name or str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        name = progress.name or str(progress.id)
+        late = sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+        self.dropped[name] = self.dropped.get(name, 0) + late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass

@@ -185,6 +185,12 @@ def statements() -> dict[str, str]:
             select=f"""select *, strftime(make_timestamp(("timestamp"//1000+28800)*1000000),'%Y-%m-%d') as dt,
  strftime(make_timestamp(("timestamp"//1000+28800)*1000000),'%H') as hr from ({_AOA})"""
         ),
+        "aoa_stream": _chain(
+            select=f"""select *, strftime(make_timestamp(("timestamp"//1000+28800)*1000000),'%Y-%m-%d') as dt,
+ strftime(make_timestamp(("timestamp"//1000+28800)*1000000),'%H') as hr from ({_AOA})"""
+        ),
+        "ods_stream": _chain(ELEMENTS, select=f"select {_ODS_ALL} from odsp"),
+        "table_roundtrip": _chain(ELEMENTS, select=f"select {_ODS_ALL} from odsp where type=1 and dt>='2024-12-06'"),
         "message_balance": f"""with {DETECTIONS}, {ELEMENTS},
 m as (select 'dwd messages' as job, case when kind<2 then 'not a JSON text of an object' when kind<4 then 'no drone array'
    when kind=4 then 'no pilot element' when kind=5 then 'no start time' when kind=6 then 'bad number' else 'usable' end as outcome from det

@@ -2,9 +2,10 @@
 
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from airtrack.operators import decode
+from airtrack.operators import decode, pairing
 from airtrack.plans import pipelines
 from airtrack.sources import tables, topics
 from airtrack.streaming import jobs
@@ -93,3 +94,19 @@ def test_fused_stream_equals_batch(spark, found, messages, tmp_path):
 
     got, want = positions(spark.read.parquet(f"{tmp_path}/tracks")), positions(pipelines.dws(batch))
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+def test_unusable_messages_are_kept_by_a_stream(spark, messages, tmp_path):
+    topics.write_topic(messages, "jm", folder=str(tmp_path))
+    parsed = pairing.pair_messages(topics.read_topic(spark, "jm", folder=str(tmp_path)))
+    jobs.quarantine(parsed, "jm_bad", str(tmp_path), f"{tmp_path}/cp", ONCE).awaitTermination()
+    kept = topics.read_topic(spark, "jm_bad", folder=str(tmp_path), streaming=False)
+    want = pairing.quarantined(pairing.pair_messages(messages))
+    assert sorted(r.offset for r in kept.collect()) == sorted(r.offset for r in want.collect())
+
+
+def test_partition_numbers_have_room(spark):
+    frame = spark.createDataFrame([(5, 7), (6, 4095)], "offset bigint, partition int")
+    assert [r.offset for r in frame.select(topics._arrival()).collect()] == [5 * 4096 + 7, 6 * 4096 + 4095]
+    with pytest.raises(Exception, match="too many partitions"):
+        spark.createDataFrame([(5, 4096)], "offset bigint, partition int").select(topics._arrival()).collect()
