@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from airtrack.lineage import pin
 
-#: A side of a join is broadcast up to so many rows of a few numbers each (tens of MB), and shuffled beyond.
-BROADCAST_ROWS = 500_000
+#: A side of a join is broadcast up to so many rows and cells (tens of MB), and shuffled beyond.  A text counts as 8 cells
+#: and an array as 32.
+BROADCAST_ROWS, BROADCAST_CELLS = 500_000, 4_000_000
 
 #: A word for sizes and shingles: anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of so few rows that whole texts fit beside each other in a worker.
+
+    Spark's default of 10,000 rows is for numbers; a size that the session has chosen itself is left alone.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, "1000")
+    return df
+
+
 def pin_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """Write the rows once; the written copy and the number of its rows."""
     seen = Observation()
@@ -28,7 +40,8 @@ def pin_counted(df: DataFrame) -> tuple[DataFrame, int]:
 def sized(df: DataFrame) -> DataFrame:
     """Written once, and marked for broadcast only if it is known to be small."""
     written, n = pin_counted(df)
-    return F.broadcast(written) if n <= BROADCAST_ROWS else written
+    width = sum({"string": 8, "binary": 8, "array": 32}.get(kind.split("<")[0], 1) for _, kind in df.dtypes)
+    return F.broadcast(written) if n <= min(BROADCAST_ROWS, BROADCAST_CELLS // width) else written
 
 
 def without(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airtrack.lineage import pin
-from airtrack.llm.common import without
+from airtrack.llm.common import in_small_batches, without
 
 #: Edits that a match may hold, as a share of the item's length.
 ERROR_RATE = 0.08
@@ -152,7 +152,7 @@ def matches(
     )
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_chars))
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).filter("text is not null")
+    rows = in_small_batches(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).filter("text is not null"))
     schema = T.StructType([
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("item_id", benchmark.schema[item_col].dataType),
         T.StructField("edits", T.LongType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),

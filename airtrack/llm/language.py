@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airtrack.llm.common import spots, without
+from airtrack.llm.common import in_small_batches, spots, without
 
 UNDETERMINED = "und"
 #: Bounds of the sample: pieces per language, characters per piece, languages.
@@ -195,7 +195,8 @@ def predict(
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()),
         T.StructField("score", T.DoubleType()),
     ])
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(judge, schema)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return in_small_batches(rows).mapInArrow(judge, schema)
 
 
 def known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airtrack.lineage import pin
-from airtrack.llm.common import sized
+from airtrack.llm.common import in_small_batches, sized
 
 #: A common block is removed if its lines have so many characters in all.
 MIN_BLOCK_CHARS = 40
@@ -118,7 +118,7 @@ def repeated_lines(
             yield pa.record_batch([pa.array(ids, batch.column(0).type), pa.array(removed, pa.list_(pa.int32()))], names=["id", "removed"])
 
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("removed", T.ArrayType(T.IntegerType()))])
-    found = aligned.mapInArrow(align, schema)
+    found = in_small_batches(aligned).mapInArrow(align, schema)
     return found.select("id", F.explode("removed").alias("place")).distinct().groupBy("id").agg(
         F.sort_array(F.collect_list("place")).alias("removed")
     )

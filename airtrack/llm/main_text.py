@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airtrack.llm.common import spots
+from airtrack.llm.common import in_small_batches, spots
 
 #: Pages that weights are learned from, at most.
 TRAINING_PAGES = 512
@@ -188,4 +188,4 @@ def main_text(
         T.StructField("text", T.StringType()),
     ])
     rows = pages.select(F.col(id_col).alias("id"), F.col("url").alias("url"), F.col(html_col).alias("html"))
-    return rows.mapInArrow(run, schema)
+    return in_small_batches(rows).mapInArrow(run, schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airtrack.lineage import pin
-from airtrack.llm.common import sized, spots
+from airtrack.llm.common import in_small_batches, sized, spots
 
 #: The model predicts a byte of UTF-8 text from the three before it.
 ORDER = 4
@@ -203,7 +203,7 @@ def losses(
         T.StructField("n_bytes", T.LongType()), T.StructField("loss", T.DoubleType()),
     ])
     rows = docs.select(docs[id_col].alias("id"), docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("binary").alias("text"))
-    return rows.mapInArrow(run, schema)
+    return in_small_batches(rows).mapInArrow(run, schema)
 
 
 def _perplexity(typical: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airtrack.lineage import pin
-from airtrack.llm.common import only, sized, without
+from airtrack.llm.common import in_small_batches, only, sized, without
 from airtrack.llm.components import components
 
 #: Ratio of the largest to the smallest set size of a class; documents of a class share one cut of the order.
@@ -168,7 +168,7 @@ def _passes(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(docs[id_col].alias("id"), docs[text_col].cast("binary").alias("text"))
+    return in_small_batches(docs.select(docs[id_col].alias("id"), docs[text_col].cast("binary").alias("text")))
 
 
 def set_table(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
@@ -300,9 +300,9 @@ def _with_enough(members: DataFrame, sets: DataFrame) -> DataFrame:
     need = F.when(F.col("odd") == F.pmod("own", F.lit(2)), F.col("need")).otherwise(F.col("need_next"))
     able = counts.join(sets.select(F.col("id").alias("_id"), "own", "need", "need_next"), F.col("id") == F.col("_id"))
     able = sized(able.filter(F.col("shared") >= need).select(F.col("id").alias("_id"), "odd"))
-    left = members.select("sig", "id").join(able, (F.col("id") == F.col("_id")) & (odd == F.col("odd")), "left_semi")
+    left = pin(members.select("sig", "id").join(able, (F.col("id") == F.col("_id")) & (odd == F.col("odd")), "left_semi"))
     pivots = left.groupBy("sig").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).filter("pivot < last")
-    return pin(left.join(pivots.select("sig", "pivot"), "sig"))
+    return pin(left.join(sized(pivots.select("sig", "pivot")), "sig"))
 
 
 def _pairs_by_rare_grams(apart: DataFrame, own: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
@@ -344,7 +344,7 @@ def _several(rows: DataFrame) -> DataFrame:
     several = sizes.groupBy("sig").agg(
         F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("top")
     ).filter("parts > 1").select("sig", F.col("top.component").alias("main"))
-    return rows.join(several, "sig")
+    return rows.join(sized(several), "sig")
 
 
 def _enough_shared(percent: int) -> Column:
