@@ -7,42 +7,32 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airtrack.lineage import pin
-from airtrack.llm.common import in_small_batches, sized, spots
+from airtrack.llm.common import in_small_batches, only, sized
 
 #: The model predicts a byte of UTF-8 text from the three before it.
 ORDER = 4
-#: Bounds of the training sample of each language: documents and characters of each.
-PIECES, PIECE_CHARS, MAX_LANGUAGES = 128, 1500, 64
+#: Models are sent to tasks; so many languages may have one.
+MAX_LANGUAGES = 64
 #: Quantiles of trusted documents that bound what is kept, and how far beyond them a document may be.
 LOW, HIGH, SLACK = 0.01, 0.99, 0.12
 #: A text is averaged with so many bytes of typical loss, so that short texts are not judged by a few bytes.
 PRIOR_BYTES = 200
-#: Bytes of text that one vectorised pass takes.
-PASS_BYTES = 1_000_000
-
-_START = "0A" * (ORDER - 1)
+#: Bytes of text that one vectorised pass takes, and n-grams that a task counts before it gives them out.
+PASS_BYTES, TASK_GRAMS = 1_000_000, 2_000_000
 
 
 def training_text(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    pieces: int = PIECES, piece_chars: int = PIECE_CHARS,
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
-    """``lang, text``: the beginnings of at most ``pieces`` trusted documents per language, one per hash bucket of ids."""
-    spot, bucket = spots(3, pieces, "id")
-    trusted = docs.select(docs[id_col].alias("id"), docs[lang_col].alias("lang")).filter("lang is not null").join(
-        trusted_ids(labels, id_col), "id", "left_semi"
-    )
-    picks = trusted.select("lang", "id", spot, bucket).groupBy("lang", "bucket").agg(F.min(F.struct("spot", "id")).alias("pick"))
-    wanted = sized(picks.select(F.col("pick.id").alias("_id"), F.col("lang").alias("_lang")))
-    own = docs.select(docs[id_col].alias("_id"), docs[lang_col].alias("_lang"), F.substring(docs[text_col], 1, piece_chars).alias("text"))
-    return own.join(wanted, ["_id", "_lang"]).groupBy("_lang", "_id").agg(F.min("text").alias("text")).select(
-        F.col("_lang").alias("lang"), "text"
-    ).filter("length(text) > 0")
+    """``lang, text`` of all trusted documents, whole texts."""
+    own = docs.select(docs[id_col].alias("_id"), docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text"))
+    return only(own.filter("lang is not null and length(text) > 0"), trusted_ids(labels, id_col), "_id").select("lang", "text")
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -52,6 +42,67 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     ).distinct()
 
 
+def _codes(text: bytes, order: int) -> np.ndarray:
+    """The ``order`` bytes that end at each byte after the first ``order - 1``, as one number."""
+    raw = np.frombuffer(text, np.uint8).astype(np.uint32 if order <= 4 else np.uint64)
+    codes = raw[: len(raw) - order + 1].copy()
+    for k in range(1, order):
+        codes <<= 8
+        codes |= raw[k : k + len(codes)]
+    return codes
+
+
+def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
+    """``lang, gram, c``: n-grams of bytes (as hex) of all texts, with line breaks before each text.
+
+    Tasks count their own texts, so that only different n-grams are shuffled.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pad = b"\n" * (order - 1)
+        waiting: dict[str, list[bytes]] = {}
+        sizes: dict[str, int] = {}
+        counted: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def count(lang):
+            # A text's places are those of its own bytes; the padding between texts belongs to the next one.
+            codes = np.concatenate([_codes(pad + t, order) for t in waiting.pop(lang)])
+            sizes.pop(lang)
+            grams, c = np.unique(codes, return_counts=True)
+            if lang in counted:
+                old, n = counted[lang]
+                grams, at = np.unique(np.concatenate([old, grams]), return_inverse=True)
+                c = np.bincount(at, np.concatenate([n, c]), len(grams)).astype(np.int64)
+            counted[lang] = grams, c
+
+        def given_out():
+            for lang, (grams, c) in counted.items():
+                for k in range(0, len(grams), 100_000):
+                    part = grams[k : k + 100_000]
+                    yield pa.record_batch([
+                        pa.array([lang] * len(part), pa.string()), pa.array(part.astype(np.int64)), pa.array(c[k : k + 100_000].astype(np.int64))
+                    ], names=["lang", "code", "c"])
+            counted.clear()
+
+        for batch in batches:
+            for lang, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = cell.as_py()
+                waiting.setdefault(lang, []).append(text)
+                sizes[lang] = sizes.get(lang, 0) + len(text)
+                if sizes[lang] >= PASS_BYTES:
+                    count(lang)
+            if sum(len(g) for g, _ in counted.values()) > TASK_GRAMS:
+                yield from given_out()
+        for lang in list(waiting):
+            count(lang)
+        yield from given_out()
+
+    rows = in_small_batches(texts.select("lang", F.encode("text", "UTF-8").alias("text")).filter("length(text) > 0"))
+    parts = rows.mapInArrow(run, "lang string, code long, c long")
+    return parts.groupBy("lang", "code").agg(F.sum("c").alias("c")).select(
+        "lang", F.lpad(F.hex("code"), 2 * order, "0").alias("gram"), "c"
+    )
+
+
 def kneser_ney(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """``lang, gram, p, back``: probability of the last byte of every seen n-gram (as hex), and the weight its context leaves
     to the next shorter one; shorter n-grams of all orders included, and the empty one of each language.
@@ -60,10 +111,7 @@ def kneser_ney(texts: DataFrame, order: int = ORDER) -> DataFrame:
     order come from counts of counts.  Counting is sharded by n-gram; n-grams meet the sums of their context and the
     probability of their suffix in joins.
     """
-    coded = texts.select("lang", F.concat(F.lit(_START), F.hex(F.encode("text", "UTF-8"))).alias("h"))
-    places = F.sequence(F.lit(0), (F.length("h") / 2).cast("int") - order)
-    grams = coded.select("lang", F.explode(F.transform(places, lambda i: F.substr("h", i * 2 + 1, F.lit(order * 2)))).alias("gram"))
-    counts = {order: pin(grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")))}
+    counts = {order: pin(gram_counts(texts, order))}
     for k in range(order - 1, 0, -1):
         counts[k] = counts[k + 1].select("lang", F.substr("gram", F.lit(3)).alias("gram")).groupBy("lang", "gram").agg(
             F.count(F.lit(1)).alias("c")
@@ -99,71 +147,80 @@ def kneser_ney(texts: DataFrame, order: int = ORDER) -> DataFrame:
     return result
 
 
-def model(texts: DataFrame, order: int = ORDER) -> tuple[tuple[str, bytes, bytes, bytes], ...]:
-    """The model on the driver, per language: n-grams, probabilities and back-off weights; bounded with the sample."""
-    rows = kneser_ney(texts, order).orderBy("lang", F.length("gram"), "gram").collect()
-    out: dict[str, tuple[list, list, list]] = {}
-    for r in rows:
-        for column, value in zip(out.setdefault(r.lang, ([], [], [])), (r.gram, r.p, r.back)):
-            column.append(value)
-    if len(out) > MAX_LANGUAGES:
+def model(texts: DataFrame, order: int = ORDER) -> tuple[tuple[str, tuple[tuple[bytes, bytes, bytes], ...]], ...]:
+    """The model on the driver, per language and length of n-gram: the sorted n-grams as numbers, negative logarithms of
+    probabilities and of back-off weights; bounded with the different n-grams of a few bytes."""
+    rows = kneser_ney(texts, order).select(
+        "lang", (F.length("gram") / 2).cast("int").alias("k"), F.coalesce(F.conv("gram", 16, 10).cast("long"), F.lit(0)).alias("code"),
+        (-F.log("p")).cast("float").alias("p"), (-F.log("back")).cast("float").alias("back"),
+    ).toArrow()
+    names = sorted(rows["lang"].unique().to_pylist())
+    if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages are trusted")
-    return tuple((k, " ".join(g).encode(), np.array(p).tobytes(), np.array(b).tobytes()) for k, (g, p, b) in out.items())
+    out = []
+    for name in names:
+        own = rows.filter(pc.equal(rows["lang"], name))
+        k, code, p, back = (own[c].to_numpy() for c in ("k", "code", "p", "back"))
+        levels = []
+        for length in range(order + 1):
+            at = np.flatnonzero(k == length)
+            at = at[np.argsort(code[at])]
+            levels.append((code[at].astype(np.uint32 if order <= 4 else np.uint64).tobytes(), p[at].tobytes(), back[at].tobytes()))
+        out.append((name, tuple(levels)))
+    return tuple(out)
 
 
 class Scorer:
-    """Log probabilities of every byte after every context of one language, seen or not, as arrays."""
-
-    def __init__(self, grams: list[bytes], p: np.ndarray, back: np.ndarray, order: int = ORDER):
-        used = sorted({b for g in grams for b in g})
-        self.code = np.zeros(256, np.int64)  # 0: a byte that trusted text does not hold
-        self.code[used] = np.arange(1, len(used) + 1)
-        width = self.width = len(used) + 1
-        rows, states = [], {}
-        seen: dict[bytes, list[int]] = {}
-        for i, g in enumerate(grams):
-            if g:
-                seen.setdefault(g[:-1], []).append(i)
-        uniform = np.full(width, p[0])
-        for context in sorted(seen, key=len):
-            own = seen[context]
-            shorter = rows[states[context[1:]]] if context else uniform
-            row = shorter * back[own[0]]
-            row[self.code[[grams[i][-1] for i in own]]] = p[own]
-            states[context] = len(rows)
-            rows.append(row)
-        self.loss = -np.log(np.array(rows)).astype(np.float32).ravel()
-        place = np.zeros(1, np.int32)
-        for length in range(1, order):
-            place = np.tile(place, width)
-            for context, state in states.items():
-                if len(context) == length:
-                    at = 0
-                    for b in context:
-                        at = at * width + self.code[b]
-                    place[at] = state
-        self.place, self.order = place, order
+    """Losses of every byte after every context of one language, seen or not, by searching sorted n-grams."""
+
+    def __init__(self, levels: tuple[tuple[bytes, bytes, bytes], ...]):
+        self.order = len(levels) - 1
+        kind = np.uint32 if self.order <= 4 else np.uint64
+        self.grams, self.contexts = [], []
+        for codes, p, back in levels:
+            codes, p, back = np.frombuffer(codes, kind), np.frombuffer(p, np.float32), np.frombuffer(back, np.float32)
+            self.grams.append((codes, p))
+            contexts, first = np.unique(codes >> kind(8), return_index=True)
+            self.contexts.append((contexts, back[first]))
+
+    @staticmethod
+    def _look(table: tuple[np.ndarray, np.ndarray], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys, values = table
+        at = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
+        return keys[at] == codes, values[at]
+
+    def _loss(self, codes: np.ndarray) -> np.ndarray:
+        """An n-gram that is not seen costs its context's weight, if that is seen, and what the next shorter one costs."""
+        loss, todo = np.zeros(len(codes), np.float32), np.arange(len(codes))
+        for k in range(self.order, 0, -1):
+            seen, cost = self._look(self.grams[k], codes)
+            loss[todo[seen]] += cost[seen]
+            todo, codes = todo[~seen], codes[~seen]
+            if not len(todo):
+                return loss
+            seen, cost = self._look(self.contexts[k], codes >> codes.dtype.type(8))
+            loss[todo] += np.where(seen, cost, np.float32(0))
+            codes = codes & codes.dtype.type((1 << (8 * (k - 1))) - 1)
+        loss[todo] += self.grams[0][1][0]
+        return loss
 
     def losses(self, texts: list[bytes]) -> np.ndarray:
         """Sum of the negative log probabilities of each text's bytes."""
         pad = b"\n" * (self.order - 1)
-        codes = self.code[np.frombuffer(pad + pad.join(texts), np.uint8)]
-        context = np.zeros(len(codes) - self.order + 1, np.int64)
-        for k in range(self.order - 1):
-            context = context * self.width + codes[k : k + len(context)]
-        loss = self.loss[self.place[context].astype(np.int64) * self.width + codes[self.order - 1 :]]
+        joined = pad + pad.join(texts)
         sizes = np.array([len(t) for t in texts])
         begin = np.cumsum(sizes + self.order - 1) - sizes - (self.order - 1)
-        total = np.concatenate([[0.0], np.cumsum(loss, dtype=np.float64)])
+        total = np.zeros(len(joined) - self.order + 2)
+        for at in range(0, len(total) - 1, PASS_BYTES):
+            part = self._loss(_codes(joined[at : at + PASS_BYTES + self.order - 1], self.order))
+            total[at + 1 : at + 1 + len(part)] = part
+        np.cumsum(total, out=total)
         return total[begin + sizes] - total[begin]
 
 
 @lru_cache(maxsize=1)
 def _scorers(packed: tuple) -> dict[str, Scorer]:
-    return {
-        lang: Scorer([bytes.fromhex(g) for g in grams.decode().split(" ")], np.frombuffer(p), np.frombuffer(back))
-        for lang, grams, p, back in packed
-    }
+    return {lang: Scorer(levels) for lang, levels in packed}
 
 
 def losses(
@@ -216,7 +273,7 @@ def judged(
 ) -> DataFrame:
     """``id, model, n_bytes, perplexity, lowest, highest, kept`` of every row of ``docs``.
 
-    A model per language is trained on a bounded sample of trusted documents; perplexity is per byte over the whole text, with
+    A model per language is trained on the whole text of all its trusted documents; perplexity is per byte over the whole text, with
     :data:`PRIOR_BYTES` bytes of the language's median loss.  A document is kept if its perplexity lies between the ``low``
     and ``high`` quantiles of all trusted documents of its language, ``slack`` beyond them included: gibberish is harder to
     predict than trusted text, repetition is easier.  Rows of a language without trusted text go to the model that predicts

@@ -64,6 +64,19 @@ def test_model_equals_textbook(spark):
     assert np.allclose(scorer.losses(many), [scorer.losses([t])[0] for t in many])
 
 
+def test_model_counts_whole_texts_of_all_trusted_documents(spark):
+    rng = random.Random(4)
+    texts = ["ab" * 800 + "".join(rng.choice("xyzé ") for _ in range(30)) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t, "x", 1, "m") for i, t in enumerate([*texts, "qqqq" * 500])], DOCS)
+    labels = spark.createDataFrame([(i, 1, 0, "t") for i in range(300)] + [(300, 0, 0, "t")], LABELS)
+    (scorer,) = quality._scorers(quality.model(quality.training_text(docs, labels))).values()
+    book = Textbook([t.encode() for t in texts], quality.ORDER)
+    raw = texts[0].encode()[1590:] + b"q"
+    padded = b"\n" * 3 + raw
+    want = -sum(math.log(book.p(padded[i : i + 3], padded[i + 3])) for i in range(len(raw)))
+    assert scorer.losses([raw])[0] == pytest.approx(want, rel=1e-5)
+
+
 def test_labelled_documents(spark):
     found = {r.doc_id: r for r in queries.op3_quality(spark, "/root/testdata/sf0.1").collect()}
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()
