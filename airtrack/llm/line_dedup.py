@@ -6,6 +6,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ MIN_BLOCK_CHARS = 40
 #: Lines of so many characters at least lead to partners; shorter ones are only aligned.
 MIN_ANCHOR_CHARS = 20
 
+#: Odd factors of two rolling hashes modulo 2 ** 64.
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned places of equal lines: lines that are unique in both sides, in the longest common order, then recursively
@@ -124,12 +128,99 @@ def repeated_lines(
     )
 
 
+def runs(hashes: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """``start, stop`` and two hashes of the shortest runs of lines that have ``least`` characters: from every line on, and up
+    to every line.  Together those inside a block of ``least`` characters or more cover all its lines."""
+    n = len(hashes)
+    total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    stops = np.searchsorted(total, total[:-1] + least)
+    starts = np.searchsorted(total, total[1:] - least, side="right") - 1
+    places = np.arange(n)
+    codes = np.unique(np.concatenate([(places * (n + 1) + stops)[stops <= n], (starts * (n + 1) + places + 1)[starts >= 0]]))
+    start, stop = codes // (n + 1), codes % (n + 1)
+    sums = []
+    for factor in _FACTORS:
+        powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, factor, np.uint64)]))
+        back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, pow(factor, -1, 2**64), np.uint64)]))
+        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes.view(np.uint64) * powers[:-1])])
+        sums.append(((upto[stop] - upto[start]) * back[start]).view(np.int64))
+    return start, stop, *sums
+
+
+def repeated_blocks(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_block_chars: int = MIN_BLOCK_CHARS
+) -> DataFrame:
+    """``id, removed``: places (from 0) of the lines that lie in a block of consecutive lines with ``min_block_chars`` characters
+    which any document with a smaller id holds, too.
+
+    The result is that of comparing all pairs, wherever the block is, in whatever order and how often, and however short its
+    lines are.  No pair is formed: the shortest long enough runs of lines meet the smallest id that holds them.  There are two
+    runs per line at most.  Null texts, null and repeated ids are treated as in :func:`repeated_lines`.
+    """
+    lines = _lines(F.col("text"))
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).filter("id is not null")
+    sequences = (
+        rows.select("id", F.transform(lines, lambda x: F.xxhash64(x)).alias("hashes"), F.transform(lines, F.length).alias("sizes"))
+        .groupBy("id").agg(F.min(F.struct("hashes", "sizes")).alias("s")).select("id", "s.*")
+    )
+    kind = docs.schema[id_col].dataType
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, sizes = (c.values.to_numpy(zero_copy_only=False) for c in batch.columns[1:])
+            ends = batch.column(1).offsets.to_numpy()
+            ends_sizes = batch.column(2).offsets.to_numpy()
+            owners, parts = [], []
+            for i in range(len(batch)):
+                found = runs(hashes[ends[i] : ends[i + 1]], sizes[ends_sizes[i] : ends_sizes[i + 1]], min_block_chars)
+                owners.append(np.full(len(found[0]), i))
+                parts.append(found)
+            owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+            columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 4
+            yield pa.record_batch(
+                [batch.column(0).take(pa.array(owner)), pa.array(columns[0].astype(np.int32)), pa.array(columns[1].astype(np.int32)),
+                 pa.array(columns[2]), pa.array(columns[3])], names=["id", "start", "stop", "h1", "h2"],
+            )
+
+    def schema(*more: T.StructField) -> T.StructType:
+        return T.StructType([T.StructField("id", kind), *more])
+
+    places = [T.StructField(c, T.IntegerType()) for c in ("start", "stop")]
+    hashed = in_small_batches(sequences).mapInArrow(cut, schema(*places, *(T.StructField(c, T.LongType()) for c in ("h1", "h2"))))
+    held = pin(hashed.select("id", "start", "stop", F.xxhash64("h1", "h2", F.col("stop") - F.col("start")).alias("run")))
+    shared = held.groupBy("run").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").drop("last")
+    met = held.join(sized(shared), "run").filter("id <> first").groupBy("id").agg(
+        F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")
+    )
+
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            removed = []
+            for starts, stops in zip(batch.column(1), batch.column(2)):
+                starts, stops = starts.values.to_numpy(), stops.values.to_numpy()
+                depth = np.bincount(starts, minlength=stops.max() + 1) - np.bincount(stops, minlength=stops.max() + 1)
+                removed.append(np.flatnonzero(np.cumsum(depth)).astype(np.int32))
+            yield pa.record_batch([batch.column(0), pa.array(removed, pa.list_(pa.int32()))], names=["id", "removed"])
+
+    return in_small_batches(met).mapInArrow(cover, schema(T.StructField("removed", T.ArrayType(T.IntegerType()))))
+
+
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_block_chars: int = MIN_BLOCK_CHARS
+) -> DataFrame:
+    """``docs`` without the lines of :func:`repeated_blocks`; all rows and other columns as they are."""
+    return _cut_out(docs, repeated_blocks(docs, id_col, text_col, min_block_chars), id_col, text_col)
+
+
 def deduplicated(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_block_chars: int = MIN_BLOCK_CHARS,
     min_anchor_chars: int = MIN_ANCHOR_CHARS,
 ) -> DataFrame:
     """``docs`` with repeated blocks deleted from the text of later documents; all rows and other columns as they are."""
-    found = repeated_lines(docs, id_col, text_col, min_block_chars, min_anchor_chars)
+    return _cut_out(docs, repeated_lines(docs, id_col, text_col, min_block_chars, min_anchor_chars), id_col, text_col)
+
+
+def _cut_out(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     side = sized(found.toDF("_id", "_removed"))
     left = F.filter(_lines(docs[text_col]), lambda x, i: ~F.array_contains("_removed", i))
     text = F.when(F.col("_removed").isNull(), docs[text_col]).otherwise(F.array_join(left, "\n"))

@@ -55,7 +55,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return line_dedup.deduplicated(docs).select("doc_id", "text")
+    return line_dedup.without_repeats(docs).select("doc_id", "text")
 
 
 def op8_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:

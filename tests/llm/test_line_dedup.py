@@ -2,7 +2,7 @@
 
 import random
 
-from airtrack.llm import line_dedup
+from airtrack.llm import line_dedup, queries
 
 DOCS = "doc_id long, text string, line string, hashes int, id string"
 
@@ -69,3 +69,47 @@ def test_edges(spark):
     for r in line_dedup.deduplicated(spark.createDataFrame(rows, DOCS)).collect():
         got.setdefault(r.doc_id, []).append(r.text)
     assert got == {1: [None], 2: [""], None: [block], 3: [block, block], 4: ["own"], 5: [long], 6: ["more"], 7: [rows[-1][1]]}
+
+
+def all_pairs(docs, least):
+    """Every common block of lines of every two documents."""
+    texts, out = {i: t.split("\n") for i, t in docs.items()}, {}
+    for i, b in texts.items():
+        gone = set()
+        for a in (t for p, t in texts.items() if p < i):
+            for x in range(len(a)):
+                for y in range(len(b)):
+                    n = 0
+                    while x + n < len(a) and y + n < len(b) and a[x + n] == b[y + n]:
+                        n += 1
+                    if sum(map(len, b[y : y + n])) >= least:
+                        gone |= set(range(y, y + n))
+        out[i] = "\n".join(t for k, t in enumerate(b) if k not in gone)
+    return out
+
+
+def test_every_repeated_block_goes(spark):
+    rng = random.Random(5)
+    docs = corpus(1)
+    first, second, third = "the first line that is held by several texts", "a second line that is held by several texts", "third line of 25 characters"
+    verse = "\n".join(f"verse {k} of a" for k in range(6))
+    docs |= {200: f"{first}\nx\n{second}", 201: f"{second}\ny\n{first}", 202: f"{first}\nz\n{first}", 203: "25 characters of line one\nD", 204: third}
+    docs |= {205: f"b\n25 characters of line one\n{third}", 206: f"c\n25 characters of line one\n{third}", 207: verse, 208: "own\n" + verse}
+    docs |= {300 + k: "\n".join(rng.choice(["", "ten chars.", "twenty characters ..", "a", "line of forty characters or some more ..."]) for _ in range(12)) for k in range(25)}
+    rows = [(i, t, "l", 1, "x") for i, t in docs.items()]
+    got = {r.doc_id: r.text for r in line_dedup.without_repeats(spark.createDataFrame(rows, DOCS).repartition(3)).collect()}
+    assert got == all_pairs(docs, line_dedup.MIN_BLOCK_CHARS)
+    assert got[201] == "y" and got[202] == "z" and got[206] == "c" and got[208] == "own"
+    edges = [(1, None, None, None, None), (2, "", "l", 1, "x"), (None, first, "l", 1, "x"), (3, first, "l", 1, "x"), (3, first, "l", 1, "x"), (4, "own\n" + first, "l", 1, "x")]
+    kept = sorted((r.doc_id or 0, r.text) for r in line_dedup.without_repeats(spark.createDataFrame(edges, DOCS)).collect())
+    assert kept == [(0, first), (1, None), (2, ""), (3, first), (3, first), (4, "own")]
+    assert line_dedup.without_repeats(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_query_removes_crossed_and_short_lines(spark, tmp_path):
+    long, other = "the first line that is held by several texts", "a second line that is held by several texts"
+    verse = "\n".join(f"verse {k} of a" for k in range(6))
+    rows = [(1, f"{long}\nx\n{other}"), (2, f"{other}\ny\n{long}"), (3, verse), (4, "own\n" + verse)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: rows[0][1], 2: "y", 3: verse, 4: "own"}
