@@ -16,6 +16,7 @@ from airtrack.llm import (
     line_dedup,
     main_text,
     mixing,
+    packing,
     quality,
     sanitise,
     shingle_join,
@@ -86,6 +87,16 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    found = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.assigned(found).select(
+        F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -98,5 +109,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sanitise": op8_sanitise,
         "op9_source_mix": op9_source_mix,
         "op10_main_text": op10_main_text,
+        "op13_packing": op13_packing,
         "pipeline": corpus_pipeline.run,
     }
