@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +62,18 @@ def spots(seed: int, buckets: int, *cols: str) -> tuple[Column, Column]:
     """Hash and bucket of a row, to draw at most one row per bucket however rows are stored."""
     spot = F.xxhash64(F.lit(seed), *cols)
     return spot.alias("spot"), F.pmod(spot, F.lit(buckets)).alias("bucket")
+
+
+def term_table(inside) -> bytes:
+    """Byte translation that puts A-Z in lower case and a space for every byte that is not ``inside`` a term."""
+    return bytes((c + 32 if 65 <= c <= 90 else c) if inside(c) else 32 for c in range(256))
+
+
+def terms(raw: bytes, table: bytes, step: int = 1_000_000) -> Iterator[list[bytes]]:
+    """The terms of a text in UTF-8, in lists of bounded size."""
+    raw, first = raw.translate(table), 0
+    while first < len(raw):
+        end = raw.find(b" ", first + step) if first + step < len(raw) else len(raw)
+        end = len(raw) if end < 0 else end
+        yield raw[first:end].split()
+        first = end + 1

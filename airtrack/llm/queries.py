@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from airtrack.llm import (
     decontaminate,
+    divergence,
     exact_dedup,
     language,
     licences,
@@ -19,6 +20,7 @@ from airtrack.llm import (
     packing,
     quality,
     sanitise,
+    search,
     shingle_join,
 )
 from airtrack.llm.common import table
@@ -87,6 +89,15 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -109,6 +120,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sanitise": op8_sanitise,
         "op9_source_mix": op9_source_mix,
         "op10_main_text": op10_main_text,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_lexical_search": op12_lexical_search,
         "op13_packing": op13_packing,
         "pipeline": corpus_pipeline.run,
     }
