@@ -9,8 +9,10 @@ another.  Pieces of the last bins, fewer than ``k`` per class whatever the input
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterator
+import json
+import re
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +32,7 @@ END = 2
 #: A cut leaves no piece of fewer tokens, unless full sequences leave fewer of the document.
 LEAST = 16
 #: Words whose tokens a task remembers, and the longest of them.
-REMEMBERED, WORD_CHARS = 400_000, 64
+REMEMBERED, WORD_CHARS = 600_000, 64
 #: Bytes of tokens after which a task hands its pieces on.
 BATCH_BYTES = 16_000_000
 
@@ -52,33 +54,69 @@ def cut(length: int, capacity: int = CAPACITY, least: int = LEAST) -> list[int]:
     return out
 
 
-class _Encoder:
-    """Texts to tokens, as little-endian unsigned 32-bit numbers.
+class _Words(dict):
+    """Words to their tokens, as little-endian unsigned 32-bit numbers.
 
-    White space is never part of a token here, so the tokens of a text are those of its words one after another, and a word is
-    looked up once per task.
+    White space is never part of a token here, so the tokens of a text are those of its words one after another, and a task looks a
+    word up once.  Where the tokenizer takes runs of lower-cased letters and of signs apart and merges bytes, as the one of 49 thousand
+    entries does, Latin letters before signs go to its merges directly.
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        super().__init__()
         from tokenizers import Tokenizer
 
-        self.model, self.known = Tokenizer.from_file(path), {}
-
-    def _encoded(self, words: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.model.encode_batch_fast(words, add_special_tokens=False)]
-
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list({w for words in split for w in words}.difference(self.known))
-        self.known.update(zip((w for w in new if len(w) <= WORD_CHARS), self._encoded([w for w in new if len(w) <= WORD_CHARS])))
-        for words in split:
-            if max(map(len, words)) <= WORD_CHARS:
-                yield b"".join(map(self.known.__getitem__, words))
-            else:
-                yield b"".join(self.known[w] if w in self.known else self._encoded([w])[0] for w in words)
+        self.tokenizer, self.letters = Tokenizer.from_file(path), {}
+        self.merges = self.tokenizer.model.tokenize
+        spec = json.loads(self.tokenizer.to_str())
+        kinds = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        pattern = splits[0].get("pattern", {}).get("Regex", "")
+        self.direct = (
+            kinds == ["NFC", "Replace", "Lowercase"] and [x.get("type") for x in splits] == ["Split", "ByteLevel"]
+            and "|[\\p{L}]+|" in pattern and pattern.endswith("|[^\\s\\p{L}\\p{N}]+") and spec["model"]["type"] == "BPE"
+        )
+
+    def _merged(self, letters: str) -> bytes:
+        letters = letters.lower()
+        found = self.letters.get(letters)
+        if found is None:
+            units = letters if letters.isascii() else "".join(map(_byte_characters().__getitem__, letters.encode()))
+            found = self.letters[letters] = _packed([t.id for t in self.merges(units)])
+        return found
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > REMEMBERED:
+            self.clear()
+            self.letters.clear()
+        if self.direct and word.isascii() and word.isalpha():
+            found = self._merged(word)
+        elif self.direct and (parts := _LETTERS_AND_SIGNS.fullmatch(word)):
+            found = self._merged(parts[1]) + (self[parts[2]] if parts[2] else b"")
+        else:
+            found = _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if len(word) <= WORD_CHARS:
+            self[word] = found
+        return found
+
+    def tokens(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
+
+
+#: Latin letters whose lower case is one letter, and signs that begin no special token and no contraction.
+_LETTERS_AND_SIGNS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=>?@\[-`{-~]*)")
+
+
+@lru_cache(maxsize=1)
+def _byte_characters() -> list[str]:
+    """The character that stands for a byte: itself if it is printable, else the next one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in shown]
+    return [chr(b if b in shown else 256 + others.index(b)) for b in range(256)]
 
 
 def pieces(
@@ -95,10 +133,10 @@ def pieces(
         kind, T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
         T.StructField("doc_tokens", T.LongType()), T.StructField("part", T.LongType()), T.StructField("number", T.LongType()),
     ])
-    layout, last = to_arrow_schema(schema), np.array([end], "<u4").tobytes()
+    layout, last = to_arrow_schema(schema), _packed([end])
 
     def run(batches):
-        encoder, part, numbers = _Encoder(tokenizer), TaskContext.get().partitionId(), {}
+        words, part, numbers = _Words(tokenizer), TaskContext.get().partitionId(), {}
         cuts = [cut(n, capacity, least) for n in range(capacity)]
         for batch in batches:
             owner, columns, held = [], [[] for _ in range(5)], 0
@@ -110,8 +148,8 @@ def pieces(
                     pa.array(np.full(len(owner), part), pa.int64()), pa.array(columns[4], pa.int64()),
                 ], schema=layout)
 
-            for i, ids in enumerate(encoder.texts([x or "" for x in batch.column(1).to_pylist()])):
-                ids, start = ids + last, 0
+            for i, text in enumerate(batch.column(1)):
+                ids, start = words.tokens(text.as_py() or "") + last, 0
                 total = len(ids) // 4
                 for size in [capacity] * (total // capacity) + cuts[total % capacity]:
                     number = numbers.get(size, 0)

@@ -13,7 +13,8 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 MODEL = Tokenizer.from_file(PATH)
 STRANGE = [
     None, "", " ", "\n\n \t", "one", "It's   the end. Don't\tstop", "a ́b é ́", "x" * 9000, "ΣΑΣ σας <|endoftext|> <|startoftext|>9",
-    "中文 文字\x0bvt\x1ffs\x85nel", "İstanbul ﬁne ½ ² Ⅷ", "word " * 30000, "same text", "same text", "😀 emoji 👩‍👩‍👧 1234567",
+    "中文 文字\x0bvt\x1ffs\x85nel", "İstanbul ﬁne ½ ² Ⅷ", "word " * 30000, "same text", "same text", "Été, ÀÉÎ-à ÿß! naïve... don't l'été <b> <|x a<|endoftext|>b (HELLO) [ok] co-op «q» e\u0301te\u0301 ﬀ ŒUVRE ",
+    "😀 emoji 👩‍👩‍👧 1234567",
 ]
 
 
