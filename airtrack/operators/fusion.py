@@ -4,9 +4,9 @@ In every second each cluster takes over the earliest start it knows: the earlies
 their last cluster, or the earliest start of a member itself if that is strictly earlier.  All members then
 remember the result.  That rule is sequential in time, but it is solved here for all seconds at once:
 
-1. The start a cluster ends up with is the minimum over everything that reaches it forward in time.  Taking turns,
-   the minimum is spread along each signal's life (a running minimum, any distance in one step) and across each
-   cluster, until nothing changes; the number of turns is the number of signals a start was handed through.
+1. The start a cluster ends up with is the minimum over everything that reaches it forward in time.  Every cluster
+   points to the earliest start its members have met (any distance back in their lives), and pointers are followed
+   twice as far in every turn, so turns grow with the logarithm of the signals a start was handed through.
 2. With the starts known, each cluster either begins an identity or points to the one earlier cluster it takes its
    identity from.  Following the pointers twice as far in every turn leads to the origin.
 
@@ -65,53 +65,62 @@ def cluster_members(members: DataFrame) -> DataFrame:
         .select(*_CLUSTER, "_first.drone_uuid", "_first.batch_num")
     )
     indexed = numbered(firsts, ["timestamp"], SIGNAL, "_n").select(
-        *_CLUSTER, (F.col("_n") - 1).alias("cluster_index")
+        *_CLUSTER, (F.col("_n") - 1).cast("int").alias("cluster_index")
     )
     return members.select(*_CLUSTER, "signal_id").join(indexed, _CLUSTER).select(
         "timestamp", "cluster_index", "signal_id"
     )
 
 
+def _doubled(state: DataFrame, done: Column, carried: list[str]) -> DataFrame:
+    """Follow ``(from_timestamp, from_cluster)`` until ``done``, twice as far in every turn; ``carried`` comes from the end."""
+    state, waiting = pin_and_test(state, ~done)
+    while waiting:
+        ahead = state.select(
+            F.col("timestamp").alias("from_timestamp"), F.col("cluster").alias("from_cluster"),
+            F.col("from_timestamp").alias("_next_timestamp"), F.col("from_cluster").alias("_next_cluster"),
+            *(F.col(c).alias(f"_{c}") for c in carried),
+        )
+        kept = [c for c in state.columns if c not in (*_CLUSTER, "from_timestamp", "from_cluster", *carried)]
+        moved = state.filter(~done).join(ahead, ["from_timestamp", "from_cluster"]).select(
+            *_CLUSTER, *kept, F.col("_next_timestamp").alias("from_timestamp"), F.col("_next_cluster").alias("from_cluster"),
+            *(F.col(f"_{c}").alias(c) for c in carried),
+        )
+        state, waiting = pin_and_test(state.filter(done).unionByName(moved), ~done)
+    return state
+
+
 def _spread_starts(members: DataFrame) -> DataFrame:
-    """Members with ``start``: the start their cluster ends up with."""
-    life = Window.partitionBy(*SIGNAL).orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
-    state = members.select(*NODE, "cluster", F.col("intrusion_start_time").alias("start"))
+    """Members with ``start``: the start their cluster ends up with, the least of all that reach it forward in time.
+
+    In every phase a cluster points to where the earliest start that its members have met before was first held, however long ago
+    that is in their lives, and the pointers are doubled: a start that is handed on from signal to signal any number of times arrives
+    in one phase, in a number of turns that grows with the logarithm of the hand-overs.  A further phase is needed only where a start
+    that came from far undercuts one that a cluster had preferred to point to.
+    """
+    life = Window.partitionBy(*SIGNAL).orderBy("timestamp").rowsBetween(Window.unboundedPreceding, -1)
+    held = pin(members.groupBy(*_CLUSTER).agg(F.min("intrusion_start_time").alias("start")))
+    rows = members.select(*NODE, "cluster")
     while True:
-        remembered = state.withColumn("_known", F.min("start").over(life))
-        agreed = remembered.groupBy(*_CLUSTER).agg(F.min("_known").alias("_agreed"))
-        turned, lowered = pin_and_test(
-            remembered.join(agreed, _CLUSTER).select(
-                *NODE, "cluster", F.col("start").alias("_old"), F.col("_agreed").alias("start")
+        known = rows.join(held, _CLUSTER)
+        met = known.select(*_CLUSTER, F.min(F.struct("start", *_CLUSTER)).over(life).alias("_met"))
+        best = met.filter(F.col("_met").isNotNull()).groupBy(*_CLUSTER).agg(F.min("_met").alias("_best"))
+        points = F.col("_best.start") <= F.col("start")
+        pointers, lowered = pin_and_test(
+            held.join(best, _CLUSTER, "left").select(
+                *_CLUSTER, "start", F.when(points, F.col("_best.timestamp")).alias("from_timestamp"),
+                F.when(points, F.col("_best.cluster")).alias("from_cluster"), (F.col("_best.start") < F.col("start")).alias("_lower"),
             ),
-            F.col("start") < F.col("_old"),
+            F.col("_lower"),
         )
-        state = turned.drop("_old")
         if not lowered:
-            return state
+            return rows.join(held, _CLUSTER)
+        held = _doubled(pointers.drop("_lower"), F.col("from_cluster").isNull(), ["start"]).select(*_CLUSTER, "start")
 
 
 def _origins(pointers: DataFrame) -> DataFrame:
     """Follow ``(from_timestamp, from_cluster)`` to the cluster that holds a ``place``."""
-    state, waiting = pin_and_test(pointers, F.col("place").isNull())
-    while waiting:
-        ahead = state.select(
-            F.col("timestamp").alias("from_timestamp"), F.col("cluster").alias("from_cluster"),
-            F.col("from_timestamp").alias("_next_timestamp"), F.col("from_cluster").alias("_next_cluster"),
-            F.col("place").alias("_place"),
-        )
-        moved = (
-            state.filter(F.col("place").isNull())
-            .join(ahead, ["from_timestamp", "from_cluster"])
-            .select(
-                *_CLUSTER, "start",
-                F.col("_next_timestamp").alias("from_timestamp"), F.col("_next_cluster").alias("from_cluster"),
-                F.col("_place").alias("place"),
-            )
-        )
-        state, waiting = pin_and_test(
-            state.filter(F.col("place").isNotNull()).unionByName(moved), F.col("place").isNull()
-        )
-    return state
+    return _doubled(pointers, F.col("place").isNotNull(), ["place"])
 
 
 def fused(members: DataFrame, memory: DataFrame | None = None) -> DataFrame:

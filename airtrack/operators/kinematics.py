@@ -154,9 +154,10 @@ def kinematics(rows: DataFrame, mode: str = CAUSAL, zone: int = UTM_ZONE) -> Dat
 
 def slice_rank(rows: DataFrame, **limits) -> DataFrame:
     """Add ``curr_batch_time`` and ``curr_batch_first``: arrival order of a row in its signal's second."""
-    return numbered(rows, NODE, ["offset"], "curr_batch_first", **limits).withColumn(
-        "curr_batch_time", clock.batch_label(F.col("timestamp"))
-    )
+    ranked = numbered(rows, NODE, ["offset"], "curr_batch_first", **limits)
+    return ranked.withColumns({
+        "curr_batch_first": F.col("curr_batch_first").cast("int"), "curr_batch_time": clock.batch_label(F.col("timestamp")),
+    })
 
 
 def sliding_counts(rows: DataFrame, window_seconds: int = WINDOW_SECONDS) -> DataFrame:

@@ -15,7 +15,7 @@ from airtrack.settings import TASK_ROWS
 def numbered(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, task_rows: int = TASK_ROWS
 ) -> DataFrame:
-    """Add ``name`` = 1, 2, ... per key in the given total order.
+    """Add ``name`` = 1, 2, ... (bigint) per key in the given total order.
 
     The key counts (one narrow pre-aggregated pass) decide the plan.  When every key fits one task this
     is a plain window.  Otherwise rows are range-partitioned on key and order, which splits any key into
@@ -23,7 +23,7 @@ def numbered(
     """
     counts = df.groupBy(*keys).count()
     if counts.filter(F.col("count") > task_rows).isEmpty():
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
 
     sliced = pin(df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -37,6 +37,6 @@ def numbered(
     return (
         sliced.withColumn("_rank", F.row_number().over(in_slice))
         .join(bases, [*keys, "_slice"])
-        .withColumn(name, (F.col("_base") + F.col("_rank")).cast("int"))
+        .withColumn(name, (F.col("_base") + F.col("_rank")).cast("bigint"))
         .select(*df.columns, name)
     )

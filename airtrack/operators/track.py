@@ -6,16 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from airtrack import schemas
 from airtrack.functions import clock, text
 from airtrack.functions.geo import with_lonlat
-from airtrack.operators.ranking import numbered
-from airtrack.settings import COMPANY_ID, TASK_ROWS, TRACK_BLOCK_ROWS, TRACK_STATUS, UTM_ZONE
+from airtrack.lineage import pin
+from airtrack.settings import COMPANY_ID, TRACK_STATUS, UTM_ZONE
 
 # Fixed values of the filter model.
 OBSERVATION_VARIANCE = 1e3
@@ -103,163 +104,190 @@ def next_state(state: tuple, timestamp: int, x: float, y: float) -> tuple:
     )
 
 
-_STATE = ("_last", "_px", "_vx", "_py", "_vy", "_a", "_b", "_c")
-
-
-def _filter_sorted(keys: list[str], carried: bool):
-    """Filter rows that arrive sorted by key and time; a key may continue in the next Arrow batch."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, state = None, None
-        for batch in batches:
-            rows = len(batch)
-            fx, fy = np.empty(rows), np.empty(rows)
-            key_rows = zip(*[batch[k].tolist() for k in keys])
-            times, xs, ys = batch["timestamp"].tolist(), batch["utm_x"].tolist(), batch["utm_y"].tolist()
-            states = list(zip(*[batch[name].tolist() for name in _STATE])) if carried else None
-            for i, key in enumerate(key_rows):
-                if key != current:
-                    current = key
-                    state = None
-                    if carried and states[i][1] == states[i][1]:  # a block that continues a target
-                        state = (int(states[i][0]), *states[i][1:])
-                state = (
-                    first_state(times[i], xs[i], ys[i]) if state is None else next_state(state, times[i], xs[i], ys[i])
-                )
-                fx[i], fy[i] = state[1], state[3]
-            out = batch.drop(columns=list(_STATE)) if carried else batch
-            yield out.assign(fused_x=fx, fused_y=fy)
-
-    return run
-
-
-def _filter(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    carried = "_px" in df.columns
-    kept = [field for field in df.schema.fields if field.name not in _STATE]
-    schema = T.StructType([*kept, T.StructField("fused_x", T.DoubleType()), T.StructField("fused_y", T.DoubleType())])
-    return (
-        df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(_filter_sorted(keys, carried), schema)
-    )
-
-
 def kalman(
     tracks: DataFrame,
     order: tuple[str, ...] = ("timestamp", "offset"),
     zone: int = UTM_ZONE,
-    block_rows: int = TRACK_BLOCK_ROWS,
-    task_rows: int = TASK_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add the filtered position (``fused_x/y`` and ``fused_longitude/latitude``) per ``fusion_id``.
 
-    Targets are filtered side by side, each in time order.  A target with more than ``block_rows`` rows is cut
-    into blocks that are filtered in parallel: the filter steps of a block compose into one small summary, the
-    summaries give each block the state it starts from, and the result is that of filtering row after row.
+    The steps of the filter compose associatively (Saerkkae and Garcia-Fernandez 2021), so the filter is a prefix scan.  Rows are
+    dealt in slices of even size by target and time, however many rows one target has, and every slice is scanned on its own.  What
+    is then open is the state in which the first target of a slice comes in: a chain over one summary per slice, and one closed
+    formula per row.  ``slices`` sets their number, else Spark does.
     """
-    order = list(order)
-    sizes = tracks.groupBy("fusion_id").count().filter(F.col("count") > block_rows)
-    if sizes.isEmpty():
-        filtered = _filter(tracks, ["fusion_id"], order)
-    else:
-        long_ids = sizes.select("fusion_id")
-        short = _filter(tracks.join(long_ids, "fusion_id", "left_anti"), ["fusion_id"], order)
-        long = _filter_blocks(tracks.join(long_ids, "fusion_id", "left_semi"), order, block_rows, task_rows)
-        filtered = short.unionByName(long.select(*short.columns))
+    by = ["fusion_id", *order]
+    dealt = tracks.repartitionByRange(*by) if slices is None else tracks.repartitionByRange(slices, *by)
+    ranged = dealt.sortWithinPartitions(*by).withColumn("_slice", F.spark_partition_id())
+    schema = T.StructType([
+        *ranged.schema.fields, T.StructField("_row", T.LongType()), T.StructField("_open", T.BooleanType()),
+        T.StructField("fused_x", T.DoubleType()), T.StructField("fused_y", T.DoubleType()),
+        T.StructField("_element", T.ArrayType(T.DoubleType())),
+    ])
+    scanned = pin(ranged.mapInArrow(_scan_slice(to_arrow_schema(schema)), schema))
+    last = F.struct("fusion_id", "timestamp", "_element")
+    ends = scanned.groupBy("_slice").agg(
+        F.min_by(F.struct("fusion_id", "timestamp", "utm_x", "utm_y"), "_row").alias("first"),
+        F.max_by(last, F.when(F.col("_open"), F.col("_row"))).alias("open"),
+        F.max_by(last, "_row").alias("last"),
+    )
+    flat = ends.select("_slice", "first.*", *(F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in ("open", "last") for c in ("fusion_id", "timestamp", "_element")))
+    chained = flat.repartition(1).sortWithinPartitions("_slice").mapInPandas(
+        _chain, "_slice int, " + ", ".join(f"{name} double" for name in _STATE)
+    )
+    joined = scanned.join(F.broadcast(chained), "_slice")
+    x, y = _entered()
+    filtered = joined.select(
+        *tracks.columns, F.when(F.col("_open"), x).otherwise(F.col("fused_x")).alias("fused_x"),
+        F.when(F.col("_open"), y).otherwise(F.col("fused_y")).alias("fused_y"),
+    )
     return with_lonlat(filtered, "fused_x", "fused_y", "fused_longitude", "fused_latitude", zone)
 
 
-def _filter_blocks(tracks: DataFrame, order: list[str], block_rows: int, task_rows: int) -> DataFrame:
-    key = ["fusion_id", "_block"]
-    ranked = numbered(tracks, ["fusion_id"], order, "_rank", task_rows)
-    blocked = ranked.withColumn("_block", F.floor((F.col("_rank") - 1) / block_rows).cast("int"))
-    by_block = Window.partitionBy("fusion_id").orderBy("_block")
-    ends = blocked.groupBy(*key).agg(F.max("timestamp").alias("_end")).withColumn("_before", F.lag("_end").over(by_block))
-    summaries = (
-        blocked.select(*key, "_rank", "timestamp", "utm_x", "utm_y")
-        .join(ends.drop("_end"), key)
-        .groupBy(*key)
-        .applyInPandas(_summarise, "fusion_id string, _block int, _end bigint, _element array<double>")
-    )
-    starts = summaries.repartition("fusion_id").sortWithinPartitions(*key).mapInPandas(
-        _chain, "fusion_id string, _block int, " + ", ".join(f"{n} {'bigint' if n == '_last' else 'double'}" for n in _STATE)
-    )
-    return _filter(blocked.join(starts, key, "left"), key, ["_rank"]).drop("_block", "_rank")
-
-
-def _summarise(block: pd.DataFrame) -> pd.DataFrame:
-    """The steps of one block as one element (A, b, C, eta, J) of the parallel filter of Saerkkae and
-    Garcia-Fernandez (2021); the first block of a target is simply filtered."""
-    block = block.sort_values("_rank")
-    times = block["timestamp"].to_numpy()
-    xs, ys = block["utm_x"].to_numpy(), block["utm_y"].to_numpy()
-    before = block["_before"].iloc[0]
-    if pd.isna(before):
-        state = first_state(int(times[0]), xs[0], ys[0])
-        for i in range(1, len(times)):
-            state = next_state(state, int(times[i]), xs[i], ys[i])
-        _, px, vx, py, vy, a, b, c = state
-        zero = np.zeros((2, 2))
-        element = (zero, np.array([[px, py], [vx, vy]]), np.array([[a, b], [b, c]]), zero, zero)
-    else:
-        dt = np.diff(np.concatenate(([before], times))).astype(float)
-        dt[dt <= 0] = 1.0
-        n, spread = len(dt), PROCESS_VARIANCE + OBSERVATION_VARIANCE
-        gain = PROCESS_VARIANCE / spread
-        z = np.stack([xs, ys], axis=1)
-        step = np.tile(np.eye(2), (n, 1, 1))
-        step[:, 0, 1] = dt
-        seen = np.stack([np.ones(n), dt], axis=1)[:, :, None]
-        keep = np.diag([1 - gain, 1.0])
-        element = (
-            keep @ step,
-            np.stack([gain * z, np.zeros_like(z)], axis=1),
-            np.tile(keep * PROCESS_VARIANCE, (n, 1, 1)),
-            seen * z[:, None, :] / spread,
-            seen @ seen.transpose(0, 2, 1) / spread,
-        )
-        while len(element[0]) > 1:
-            even = len(element[0]) // 2 * 2
-            joined = _compose(tuple(m[0:even:2] for m in element), tuple(m[1:even:2] for m in element))
-            element = tuple(np.concatenate([j, m[even:]]) for j, m in zip(joined, element))
-        element = tuple(m[0] for m in element)
-    return pd.DataFrame({
-        "fusion_id": [block["fusion_id"].iloc[0]],
-        "_block": [block["_block"].iloc[0]],
-        "_end": [int(times[-1])],
-        "_element": [np.concatenate([m.ravel() for m in element]).tolist()],
-    })
+#: State of the first target of a slice after the slice's first row.
+_STATE = ("_px", "_vx", "_py", "_vy", "_a", "_b", "_c")
+_UNIT = np.eye(2)[:, :, None]
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of 2 x 2 matrices that lie along the last axis."""
+    return a[:, 0, None] * b[None, 0] + a[:, 1, None] * b[None, 1]
+
+
+def _turned(a: np.ndarray) -> np.ndarray:
+    return a.swapaxes(0, 1)
 
 
 def _compose(first: tuple, second: tuple) -> tuple:
-    """Element of two consecutive runs of steps (arrays of elements are composed pairwise)."""
+    """Elements (A, b, C, eta, J) of runs of steps that follow each other."""
     a1, b1, c1, e1, j1 = first
     a2, b2, c2, e2, j2 = second
-    unit = np.eye(2)
-    forward = a2 @ np.linalg.inv(unit + c1 @ j2)
-    backward = np.swapaxes(a1, -1, -2) @ np.linalg.inv(unit + j2 @ c1)
+    k = _UNIT + _times(c1, j2)
+    inverse = np.array([[k[1, 1], -k[0, 1]], [-k[1, 0], k[0, 0]]]) / (k[0, 0] * k[1, 1] - k[0, 1] * k[1, 0])
+    forward, onward = _times(a2, inverse), _times(inverse, a1)
     return (
-        forward @ a1,
-        forward @ (b1 + c1 @ e2) + b2,
-        forward @ c1 @ np.swapaxes(a2, -1, -2) + c2,
-        backward @ (e2 - j2 @ b1) + e1,
-        backward @ j2 @ a1 + j1,
+        _times(forward, a1),
+        _times(forward, b1 + _times(c1, e2)) + b2,
+        _times(_times(forward, c1), _turned(a2)) + c2,
+        _times(_turned(onward), e2 - _times(j2, b1)) + e1,
+        _times(_times(_turned(onward), j2), a1) + j1,
+    )
+
+
+def _prefixes(elements: tuple) -> tuple:
+    """Every run of steps from the first one on; pairs are composed first, so the work is twice the number of rows."""
+    n = elements[0].shape[2]
+    if n == 1:
+        return elements
+    even = n // 2 * 2
+    pairs = _prefixes(_compose(tuple(m[..., 0:even:2] for m in elements), tuple(m[..., 1:even:2] for m in elements)))
+    out = tuple(np.empty((2, 2, n)) for _ in elements)
+    odd = _compose(tuple(m[..., : (n - 1) // 2] for m in pairs), tuple(m[..., 2::2] for m in elements))
+    for whole, one, two, three in zip(out, elements, pairs, odd):
+        whole[..., 0], whole[..., 1::2], whole[..., 2::2] = one[..., 0], two, three
+    return out
+
+
+def _elements(dt: np.ndarray, x: np.ndarray, y: np.ndarray, starts: np.ndarray) -> tuple:
+    """One element per row; a row that starts a target forgets what was before."""
+    n, spread = len(dt), PROCESS_VARIANCE + OBSERVATION_VARIANCE
+    gain = PROCESS_VARIANCE / spread
+    dt = np.where(dt <= 0, 1.0, dt)
+    zero, one, z = np.zeros(n), np.ones(n), np.stack([x, y])
+    go = ~starts
+    return (
+        np.array([[one * (1 - gain), (1 - gain) * dt], [zero, one]]) * go,
+        np.array([np.where(starts, z, gain * z), np.zeros((2, n))]),
+        np.array([[np.where(starts, 1.0, 1 - gain), zero], [zero, one]]) * PROCESS_VARIANCE,
+        np.array([z, dt * z]) / spread * go,
+        np.array([[one, dt], [dt, dt * dt]]) / spread * go,
+    )
+
+
+def _scan_slice(layout: pa.Schema):
+    """Scan the sorted rows of a slice batch by batch; rows of its first target keep their element, because it may have begun earlier."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, key, time, rows, is_open, held = None, None, None, 0, True, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            if held is not None:
+                yield _made(held, layout, False)
+            ids = batch.column("fusion_id")
+            codes = ids.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            starts = np.diff(codes, prepend=codes[:1]) != 0
+            starts[0] = rows > 0 and ids[0].as_py() != key
+            times = batch.column("timestamp").to_numpy(zero_copy_only=False)
+            x, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("utm_x", "utm_y"))
+            elements = _elements(np.diff(times, prepend=times[:1] if time is None else time).astype(float), x, y, starts)
+            if not rows:  # whatever comes in is in the state after the first row
+                for matrix, value in zip(elements, (_UNIT, 0, 0, 0, 0)):
+                    matrix[..., :1] = value
+            found = _prefixes(elements)
+            found = found if total is None else _compose(total, found)
+            total = tuple(m[..., -1:] for m in found)
+            opened = np.logical_and(is_open, np.cumsum(starts) == 0)
+            held = (batch, rows, opened, found)
+            rows, is_open, key, time = rows + n, bool(opened[-1]), ids[n - 1].as_py(), times[-1:]
+        if held is not None:
+            yield _made(held, layout, True)
+
+    return run
+
+
+def _made(held: tuple, layout: pa.Schema, final: bool) -> pa.RecordBatch:
+    batch, rows, opened, found = held
+    n = batch.num_rows
+    kept = opened.copy()
+    kept[-1] |= final
+    flat = np.concatenate([m.reshape(4, n) for m in found])[:, kept]
+    ends = np.concatenate([[0], np.cumsum(kept) * len(flat)]).astype(np.int32)
+    elements = pa.ListArray.from_arrays(
+        pa.array(ends, mask=np.append(~kept, False)), pa.array(flat.T.ravel())
     )
+    return pa.record_batch([
+        *batch.columns, pa.array(np.arange(rows, rows + n)), pa.array(opened), pa.array(found[1][0, 0]), pa.array(found[1][0, 1]), elements
+    ], schema=layout)
 
 
 def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """State each block of a target starts from.  Summaries arrive sorted and only the running one is kept."""
-    current = total = last = None
+    """State after the first row of each slice.  One summary per slice arrives, in order, and one state is kept."""
+    key = time = state = None
     for batch in batches:
-        rows = []
-        for target, block, end, flat in zip(batch["fusion_id"], batch["_block"], batch["_end"], batch["_element"]):
-            element = tuple(np.asarray(flat, dtype=float).reshape(5, 2, 2))
-            if target == current:
-                _, b, c, _, _ = total
-                rows.append((target, block, last, b[0, 0], b[1, 0], b[0, 1], b[1, 1], c[0, 0], c[0, 1], c[1, 1]))
-                total = _compose(total, element)
-            else:
-                current, total = target, element
-            last = int(end)
-        yield pd.DataFrame(rows, columns=["fusion_id", "_block", *_STATE])
+        out = []
+        for row in batch.itertuples(index=False):
+            here = (row.timestamp, row.utm_x, row.utm_y)
+            same = state is not None and row.fusion_id == key
+            state = next_state((time, *state), *here)[1:] if same else first_state(*here)[1:]
+            out.append((row._0, *state))
+            px, vx, py, vy, a, b, c = state
+            start = (np.zeros((2, 2, 1)), np.array([[px, py], [vx, vy]])[..., None], np.array([[a, b], [b, c]])[..., None]) + (np.zeros((2, 2, 1)),) * 2
+            run = _compose(start, tuple(np.asarray(row.open__element, float).reshape(5, 2, 2, 1)))
+            key, time = row.open_fusion_id, row.open_timestamp
+            if row.last_fusion_id != key:
+                run = tuple(np.asarray(row.last__element, float).reshape(5, 2, 2, 1))
+                key, time = row.last_fusion_id, row.last_timestamp
+            mean, spread = run[1][..., 0], run[2][..., 0]
+            state = (mean[0, 0], mean[1, 0], mean[0, 1], mean[1, 1], spread[0, 0], spread[0, 1], spread[1, 1])
+        yield pd.DataFrame(out, columns=["_slice", *_STATE])
+
+
+def _entered() -> tuple:
+    """Filtered position of a row of a slice's first target: its element applied to the state that comes in."""
+    a00, a01, _, _, b00, b01, _, _, _, _, _, _, e00, e01, e10, e11, j00, j01, j10, j11 = (F.col("_element")[i] for i in range(20))
+    ca, cb, cc = (F.col(c) for c in ("_a", "_b", "_c"))
+    k00, k01 = 1 + ca * j00 + cb * j10, ca * j01 + cb * j11
+    k10, k11 = cb * j00 + cc * j10, 1 + cb * j01 + cc * j11
+
+    def axis(place: str, velocity: str, e0, e1, b):
+        w0, w1 = F.col(place) + ca * e0 + cb * e1, F.col(velocity) + cb * e0 + cc * e1
+        v0, v1 = k11 * w0 - k01 * w1, k00 * w1 - k10 * w0
+        return (a00 * v0 + a01 * v1) / (k00 * k11 - k01 * k10) + b
+
+    return axis("_px", "_vx", e00, e10, b00), axis("_py", "_vy", e01, e11, b01)
 
 
 def push_payload(tracks: DataFrame) -> DataFrame:

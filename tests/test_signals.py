@@ -199,6 +199,35 @@ def test_fusion_equals_second_by_second_replay(spark, seed):
         assert r.pre_fusion_id == (identity(before) if before else None)
 
 
+MEMBERS = (
+    "timestamp bigint, drone_uuid string, batch_num string, cluster string, intrusion_start_time string, start_longitude double, "
+    "start_latitude double, start_height double"
+)
+
+
+def relay(signals, start):
+    """Signal after signal takes over for a few seconds each; every one meets the one before in one second."""
+    rows = []
+    for i in range(signals):
+        for t in range(3 * i, 3 * i + 4):
+            shared = "C%d" % (t // 3 - (t == 3 * i)) if t % 3 == 0 else "C%d" % i
+            rows.append((t, f"U{i:04d}", "B", shared, start(i), float(i), 1.5, 0.0))
+    return rows
+
+
+@pytest.mark.parametrize("start", [lambda i: f"9ㆍ{i:04d}", lambda i: f"9ㆍ{(i * 7919) % 1000:04d}"])
+def test_relay_of_500_signals_takes_few_passes(spark, start, monkeypatch):
+    rows, passes = relay(500, start), []
+    frame = pin(spark.createDataFrame(rows, MEMBERS))
+    real = fusion.pin_and_test
+    monkeypatch.setattr(fusion, "pin_and_test", lambda *a: passes.append(1) or real(*a))
+    want = replay(rows)
+    got = fusion.fused(frame).collect()
+    assert len(got) == len(rows)
+    assert all((r.fusion_start_time, r.fusion_longitude, r.fusion_latitude, r.fusion_height) == want[(r.timestamp, r.drone_uuid)][0] for r in got)
+    assert len(passes) <= 60
+
+
 def test_fusion_in_parts_with_memory(spark):
     frame, rows = random_members(spark, 3)
     whole = {(r.timestamp, r.drone_uuid): (r.fusion_id, r.pre_fusion_id) for r in fusion.fused(frame).collect()}
@@ -243,18 +272,45 @@ def matrix_filter(points):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [10**6, 7])
-def test_kalman_equals_matrix_filter(spark, block_rows):
+@pytest.mark.parametrize("slices", [None, 2, 9])
+def test_kalman_equals_matrix_filter(spark, slices):
     draw = random.Random(8)
-    tracks = {f"F{k}": sorted((draw.randint(0, 60), i, draw.random() * 500, draw.random() * 500) for i in range(n)) for k, n in enumerate((1, 5, 40))}
+    tracks = {f"F{k}": sorted((draw.randint(0, 60), i, draw.random() * 500, draw.random() * 500) for i in range(n)) for k, n in enumerate((1, 5, 40, 2, 90))}
     rows = [(i, f, t, x, y) for f, points in tracks.items() for t, i, x, y in points]
     frame = spark.createDataFrame(rows, "offset bigint, fusion_id string, timestamp bigint, utm_x double, utm_y double")
-    got = {(r.fusion_id, r.offset): (r.fused_x, r.fused_y) for r in track.kalman(frame, block_rows=block_rows, task_rows=10).collect()}
+    got = {(r.fusion_id, r.offset): (r.fused_x, r.fused_y) for r in track.kalman(frame, slices=slices).collect()}
+    assert len(got) == len(rows)
     for f, points in tracks.items():
         for (t, i, x, y), want in zip(points, matrix_filter([(t, x, y) for t, i, x, y in points])):
             assert got[(f, i)] == pytest.approx(want, abs=1e-8)
 
 
+def test_one_target_of_300000_rows(spark):
+    """Slices, Arrow batches and other targets cut it; the result is that of one row after another."""
+    n = 300_000
+    frame = spark.range(n + 20).selectExpr(
+        "id as offset", f"case when id < {n} then 'M' when id < {n} + 10 then 'A' else 'Z' end as fusion_id",
+        "id div 3 + id % 2 as timestamp", "4e6 + 500 * sin(id / 700) + id % 11 as utm_x", "5e5 + id / 9 + id % 7 as utm_y", "id % 5 as other",
+    )
+    found = track.kalman(frame, slices=8)
+    assert found.columns == [*frame.columns, "fused_x", "fused_y", "fused_longitude", "fused_latitude"]
+    got = found.select("offset", "fused_x", "fused_y").toPandas().set_index("offset").sort_index()
+    rows = frame.toPandas().sort_values(["fusion_id", "timestamp", "offset"])
+    state = key = None
+    for r in rows.itertuples():
+        here = (r.timestamp, r.utm_x, r.utm_y)
+        state = track.next_state(state, *here) if r.fusion_id == key else track.first_state(*here)
+        key = r.fusion_id
+        if r.offset % 97 == 0 or r.offset >= n:
+            assert got.loc[r.offset].tolist() == pytest.approx([state[1], state[3]], abs=1e-6)
+
+
+def test_kalman_of_nothing(spark):
+    schema = "offset bigint, fusion_id string, timestamp bigint, utm_x double, utm_y double"
+    assert track.kalman(spark.createDataFrame([], schema)).count() == 0
+    assert track.kalman(spark.createDataFrame([(1, None, 5, 1.0, 2.0), (2, None, 6, 1.0, 2.0)], schema)).count() == 2
+
+
 def test_track_defaults(spark):
     frame = spark.createDataFrame(
         [('{"timestamp":5,"intrusion_start_time":"92025ㆍ20241226174202401","scanID":[{"id":"92025"},{},{"id":"7"}]}', 1), ("[]", 2), ("{", 3), ('{"timestamp":5}', 4)],
