@@ -252,14 +252,96 @@ def push_payload(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def dwd_pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    rows = pipelines.dwd(_jm(spark, folder)).select(
+def _dwd_columns(rows: DataFrame) -> DataFrame:
+    rows = rows.select(
         *_FUSED, "utm_x", "utm_y", "speed", "heading", "curr_batch_first",
         F.col("feature.time_range").alias("time_range"), F.col("feature.avg_speed").alias("avg_speed"),
     )
     return _rounded(rows, utm_x=3, utm_y=3, speed=3, heading=2, avg_speed=3)
 
 
+def dwd_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return _dwd_columns(pipelines.dwd(_jm(spark, folder)))
+
+
+_SLICES, _FILES = 3, 4
+
+
+def _sent(rows: DataFrame, place: str, topic: str, closing: DataFrame | None = None) -> list[Callable[[], None]]:
+    """Steps that send ``value, offset`` rows with a ``timestamp`` to a topic folder, one stretch of time each."""
+    low, high = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
+    width = (high - low) // _SLICES + 1
+
+    def step(part: DataFrame) -> Callable[[], None]:
+        return lambda: part.select("value", "offset").repartition(_FILES).write.mode("append").json(f"{place}/{topic}")
+
+    stretch = F.floor((F.col("timestamp") - low) / width)
+    return [step(rows.filter(stretch == k)) for k in range(_SLICES)] + ([step(closing)] if closing is not None else [])
+
+
+def _jm_steps(spark: SparkSession, folder: str, place: str) -> list[Callable[[], None]]:
+    """All messages in time order, then one of another drone a minute later, which closes all windows but its own."""
+    found = pin(fixtures.detections(spark, folder))
+    timed = fixtures.jm_messages(found).join(found.select("offset", "timestamp"), "offset")
+    late = F.col("high") - F.col("last.timestamp") + F.col("last.lasting_time") + 60
+    last = found.agg(F.max_by(F.struct(*found.columns), "offset").alias("last"), F.max("timestamp").alias("high")).select(
+        "last.*", late.cast("int").alias("_lasting")
+    )
+    after = last.withColumns({
+        "offset": F.floor(F.col("offset") / 20) * 20 + 28, "drone_uuid": F.lit("UAV9999999"), "lasting_time": F.col("_lasting"),
+    })
+    return _sent(timed, place, "jm", fixtures.jm_messages(after.drop("_lasting")))
+
+
+def _dwd_text(spark: SparkSession, folder: str, place: str) -> DataFrame:
+    """The columns of :func:`dwd_pipeline` from what the stream has sent."""
+    numbers = "speed double, heading double, utm_x double, utm_y double, fusion_longitude double, fusion_latitude double, fusion_height double"
+    schema = (
+        f"signal_id string, timestamp bigint, fusion_id string, fusion_start_time string, pre_fusion_id string, {numbers}, "
+        "curr_batch_first int, feature struct<time_range:int,avg_speed:double>"
+    )
+    text = spark.read.schema("value string, offset bigint").json(f"{place}/dwd_jm_drone")
+    rows = text.select("offset", F.from_json("value", schema).alias("j")).select("offset", "j.*")
+    return _dwd_columns(rows)
+
+
+def _streamed(spark: SparkSession, steps: list[Callable[[], None]], place: str) -> None:
+    """Send some steps, run the job until all is read, and leave its checkpoint for the next run."""
+    for send in steps:
+        send()
+    source = topics.read_topic(spark, "jm", folder=place, maxFilesPerTrigger=str(_FILES))
+    jobs.dwd(source, place, f"{place}/checkpoints", trigger=_ONCE).awaitTermination()
+
+
+def dwd_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Fused detections by the stream, in several micro-batches."""
+    place = _new_folder(spark)
+    _streamed(spark, _jm_steps(spark, folder, place), place)
+    return _dwd_text(spark, folder, place)
+
+
+def recovery_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by a job that stops while windows are open and is started again from its checkpoint."""
+    place = _new_folder(spark)
+    steps = _jm_steps(spark, folder, place)
+    _streamed(spark, steps[:1], place)
+    _streamed(spark, steps[1:], place)
+    return _dwd_text(spark, folder, place)
+
+
+def dws_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Tracks by the stream over the text of fused detections."""
+    place = _new_folder(spark)
+    fused = pipelines.dwd(_jm(spark, folder))
+    fields = [c for c in fused.columns if c != "offset"]
+    for send in _sent(pin(fused.select("offset", "timestamp", F.to_json(F.struct(*fields)).alias("value"))), place, "dwd_jm_drone"):
+        send()
+    tracks = jobs.dws(topics.read_topic(spark, "dwd_jm_drone", folder=place, maxFilesPerTrigger=str(_FILES)))
+    sink = tracks.writeStream.format("parquet").option("path", f"{place}/tracks")
+    topics.start(sink, "dws", f"{place}/checkpoints", _ONCE).awaitTermination()
+    return _rounded(_track_columns(spark.read.schema(tracks.schema).parquet(f"{place}/tracks")), **_FILTERED)
+
+
 def dws_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     fused_text = pin(pipelines.to_text(pipelines.dwd(_jm(spark, folder))))
     return _rounded(_track_columns(pipelines.dws(fused_text)), **_FILTERED)
@@ -272,6 +354,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         pair_pilot_drone, message_balance, utm_forward, utm_inverse, kinematics_causal, kinematics_lookahead, start_position,
         slice_rank, window_features, sliding_window_counts, similarity_edges, signal_components, cluster_quality,
         cluster_members, cluster_start, fusion_ids, track_projection, kalman_track, push_payload,
-        dwd_pipeline, dws_pipeline,
+        dwd_pipeline, dws_pipeline, dwd_stream, recovery_stream, dws_stream,
     )
     return {query.__name__: query for query in listed}

@@ -8,16 +8,16 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from airtrack.functions import clock
 from airtrack.functions.geo import with_lonlat, with_utm
-from airtrack.lineage import delete, pin, scratch
+from airtrack.lineage import pin, scratch
 from airtrack.operators import components, decode, fusion, kinematics, pairing, track
 from airtrack.operators.similarity import DIMENSIONS
 from airtrack.plans import pipelines
 from airtrack.settings import COMPANY_ID, SIMILARITY_THRESHOLD, UTM_ZONE, WATERMARK_DELAY_MS, WINDOW_SECONDS
 from airtrack.sources import tables, topics
+from airtrack.streaming import memory
 from airtrack.streaming.processors import FILTER_OUTPUT, WINDOW_OUTPUT, SignalWindows, TargetFilter
 
 STATE_TTL_SECONDS = None  # nothing is forgotten unless a caller asks for it
-KEPT_MEMORIES = 10  # micro-batches whose memory is kept for recovery
 
 
 def configure(spark: SparkSession) -> None:
@@ -52,14 +52,20 @@ def quarantine(rows: DataFrame, name: str, folder: str, checkpoint_root: str, tr
 
 
 def signal_windows(rows: DataFrame, ttl_seconds: int | None = STATE_TTL_SECONDS, zone: int = UTM_ZONE) -> DataFrame:
-    """Stream of detections with kinematics, features and slice rank, given out as their window closes."""
-    others = [c for c in rows.columns if c not in ("offset", *kinematics.NODE)]
+    """Stream of detections with kinematics, features and slice rank, given out as their window closes.
+
+    Rows with a ``reason`` are given out at once, with all their fields as JSON text in ``payload``; they are dealt by offset.
+    """
+    fields = [c for c in rows.columns if c != "offset"]
+    others = [c for c in fields if c not in (*kinematics.NODE, "reason")]
+    reason = F.col("reason") if "reason" in rows.columns else F.lit(None).cast("string")
     speed = F.col("speed") if "speed" in rows.columns else F.lit(0.0)
+    bad, spread = reason.isNotNull(), F.concat(F.lit("unusable "), F.pmod("offset", F.lit(1024)).cast("string"))
     keyed = with_utm(rows, zone=zone).select(
-        *kinematics.NODE, "offset", "latitude", "longitude", "height", speed.cast("double").alias("speed"),
-        "utm_x", "utm_y",
-        F.to_json(F.struct(*others)).alias("payload"),
-        F.timestamp_seconds("timestamp").alias("event_ts"),
+        *(F.when(bad, spread).otherwise(F.col(c)).alias(c) for c in kinematics.SIGNAL), "timestamp", "offset",
+        "latitude", "longitude", "height", speed.cast("double").alias("speed"), "utm_x", "utm_y",
+        F.to_json(F.struct(*fields)).alias("payload"), reason.alias("reason"),
+        F.when(~bad, F.timestamp_seconds("timestamp")).alias("event_ts"),
     )
     windows = (
         keyed.withWatermark("event_ts", f"{WINDOW_SECONDS * 1000 + WATERMARK_DELAY_MS} milliseconds")
@@ -70,7 +76,7 @@ def signal_windows(rows: DataFrame, ttl_seconds: int | None = STATE_TTL_SECONDS,
     kept = [F.col(f"_p.{c}").alias(c) for c in others if c not in ("speed",)]
     return windows.withColumn("_p", F.from_json("payload", schema)).select(
         *kinematics.NODE, "offset", *kept, "utm_x", "utm_y", "speed", "heading",
-        "start_latitude", "start_longitude", "start_height", "curr_batch_first", *DIMENSIONS,
+        "start_latitude", "start_longitude", "start_height", "curr_batch_first", *DIMENSIONS, "reason", "payload",
     )
 
 
@@ -104,36 +110,48 @@ def dwd(
     """Sensor messages to a topic of fused detections.
 
     A second is complete when the watermark closes its window, and all signals of that second are given out in
-    the same micro-batch; the batch operators then fuse it, spread over the cluster.  What signals remember is a
-    table per micro-batch in the shared folder: a repeated micro-batch starts from the same memory and overwrites
-    its own result, so recovery repeats nothing downstream.
+    the same micro-batch; the batch operators then fuse it, spread over the cluster.  What signals remember is dealt into
+    buckets (:mod:`airtrack.streaming.memory`): a micro-batch reads and writes those of its own signals, and a repeated one
+    starts from the same memory and overwrites its own result, so recovery repeats nothing downstream.  Messages that cannot be
+    used go to ``<topic>_bad`` in the same micro-batch, from the same parse.
     """
     spark = messages.sparkSession
     configure(spark)
-    rows = signal_windows(pairing.good_rows(pairing.pair_messages(messages)), ttl_seconds)
+    rows = signal_windows(pairing.pair_messages(messages), ttl_seconds)
     memory_root = f"{checkpoint_root}/memory"
 
+    def send(text: DataFrame, name: str, number: int) -> None:
+        if servers is None:
+            text.select("value", "offset").write.mode("overwrite").json(f"{folder}/{name}/batch={number}")
+        else:
+            topics.write_topic(text, name, servers, key=F.col("key"))
+
     def fuse(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         with scratch(session):
-            memory = _memory(session, memory_root, number - 1)
-            out, identities = fuse_closed_seconds(batch, memory, threshold)
-            text = pipelines.to_text(out)
-            if servers is None:
-                text.write.mode("overwrite").json(f"{folder}/{topic}/batch={number}")
-            else:
-                topics.write_topic(text, topic, servers)
+            given = pin(batch)
+            unusable = given.filter(F.col("reason").isNotNull())
+            send(unusable.select(F.col("payload").alias("value"), "offset", F.col("offset").alias("key")), f"{topic}_bad", number)
+            closed = given.filter(F.col("reason").isNull()).drop("reason", "payload")
+            versions, buckets = memory.manifest(session, memory_root, number - 1), memory.touched(closed)
+            known = memory.read(session, memory_root, versions, buckets)
+            out, identities = fuse_closed_seconds(closed, known, threshold)
+            key = F.concat_ws("|", "signal_id", "timestamp", "offset").alias("key")
+            fields = [c for c in out.columns if c != "offset"]
+            send(out.select("offset", F.to_json(F.struct(*fields)).alias("value"), key), topic, number)
             newest = identities.agg(F.max("timestamp")).first()[0]
             since = None if ttl_seconds is None or newest is None else newest - ttl_seconds
-            fusion.remembered(identities, memory, since).write.mode("overwrite").parquet(f"{memory_root}/{number}")
-        delete(session, f"{memory_root}/{number - KEPT_MEMORIES}")
+            memory.write(memory_root, number, versions, buckets, identities, known, since)
+        memory.forget(session, memory_root, number - memory.KEPT)
 
     return topics.start(rows.writeStream.outputMode("append").foreachBatch(fuse), topic, checkpoint_root, trigger)
 
 
-def _memory(spark: SparkSession, root: str, number: int) -> DataFrame | None:
-    """Memory written by micro-batch ``number``; none before the first."""
-    return None if number < 0 else spark.read.parquet(f"{root}/{number}")
+def signal_state(spark: SparkSession, checkpoint_root: str, topic: str = "dwd_jm_drone") -> DataFrame:
+    """Last position that every signal of a fused stream has given out, read from the stream's checkpoint."""
+    configure(spark)
+    state = spark.read.format("statestore").option("path", f"{checkpoint_root}/{topic}").option("stateVarName", "last").load()
+    return state.select("key.*", "value.*")
 
 
 def filtered_targets(tracks: DataFrame, ttl_seconds: int | None = STATE_TTL_SECONDS, zone: int = UTM_ZONE) -> DataFrame:

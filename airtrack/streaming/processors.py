@@ -17,7 +17,7 @@ WINDOW_OUTPUT = (
     "drone_uuid string, batch_num string, timestamp bigint, offset bigint, payload string, "
     "utm_x double, utm_y double, speed double, heading double, start_latitude double, start_longitude double, "
     "start_height double, curr_batch_first int, lat_range double, lon_range double, time_range int, "
-    "avg_speed double, avg_height double"
+    "avg_speed double, avg_height double, reason string"
 )
 
 
@@ -29,13 +29,20 @@ def _named(ddl: str) -> Row:
     return Row(*[column.split()[0] for column in ddl.split(", ")])
 
 
+def _unusable(drone_uuid, batch_num, offset, payload, reason) -> Row:
+    names = [column.split()[0] for column in WINDOW_OUTPUT.split(", ")]
+    known = {"drone_uuid": drone_uuid, "batch_num": batch_num, "offset": offset, "payload": payload, "reason": reason}
+    return Row(*names)(*(known.get(name) for name in names))
+
+
 class SignalWindows(StatefulProcessor):
     """Five-second windows of one signal, each giving out the rows of its first second when it closes.
 
     State: the rows of seconds whose window is open, the last position given out, and the start position.
     The watermark lags by the window length, so the window that starts at a second closes when the watermark
     passes that second, and a row counts as late only when its own window has closed.  Positions are forgotten
-    ``ttl_seconds`` of event time after the last row (``None`` keeps them).
+    ``ttl_seconds`` of event time after the last row (``None`` keeps them).  A row with a ``reason`` cannot be used; it
+    is given out at once as it is.
     """
 
     def __init__(self, ttl_seconds: int | None = None):
@@ -50,6 +57,9 @@ class SignalWindows(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         fresh: dict[int, list[Row]] = {}
         for row in rows:
+            if row.reason is not None:
+                yield _unusable(*key, row.offset, row.payload, row.reason)
+                continue
             fresh.setdefault(row.timestamp, []).append(
                 (row.offset, row.latitude, row.longitude, row.height, row.speed, row.utm_x, row.utm_y, row.payload)
             )
@@ -58,7 +68,6 @@ class SignalWindows(StatefulProcessor):
             self._open.updateValue((second,), ([tuple(r) for r in held[0]] + added if held else added,))
             if not held:
                 self._handle.registerTimer(second * 1000)
-        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         second, forget = divmod(expiredTimerInfo.getExpiryTimeInMs(), 1000)
@@ -104,7 +113,7 @@ class SignalWindows(StatefulProcessor):
         if self._ttl is not None:
             self._handle.registerTimer((second + self._ttl) * 1000 + 1)
         for rank, (offset, _, _, _, _, x, y, payload) in enumerate(window[second], start=1):
-            yield _named(WINDOW_OUTPUT)(*key, second, offset, payload, x, y, *steps[second], *start, rank, *features)
+            yield _named(WINDOW_OUTPUT)(*key, second, offset, payload, x, y, *steps[second], *start, rank, *features, None)
 
     def close(self) -> None:
         pass

@@ -161,7 +161,7 @@ _PIPE = {"base": MESSAGE_DETECTIONS, "speed": "7.5e0"}
 
 
 def statements() -> dict[str, str]:
-    return {
+    named = {
         "jm_decode_route": _chain(
             select="""select "offset", case when kind<4 then 'old' else 'new' end as route from det"""
         ),
@@ -280,3 +280,5 @@ select job, outcome, count(*) as n from m group by all""",
  from (select {_TRACK} from fused) f join filtered k on k."offset"=f."offset" """,
         ),
     }
+    streams = {"dwd_stream": "dwd_pipeline", "recovery_stream": "dwd_pipeline", "dws_stream": "dws_pipeline"}
+    return named | {stream: named[batch] for stream, batch in streams.items()}
