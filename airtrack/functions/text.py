@@ -11,9 +11,15 @@ def _truth(text: Column) -> Column:
     return F.when(text == "true", F.lit(1)).when(text == "false", F.lit(0))
 
 
+def finite(text: Column) -> Column:
+    """Number of a text, null when it is none; ``inf`` and ``nan`` are words, not numbers."""
+    number = text.try_cast("double")
+    return F.when((number > float("-inf")) & (number < float("inf")), number)
+
+
 def lenient_double(text: Column) -> Column:
     """Number of a text, 0.0 when it is none; ``true`` is 1.0."""
-    return F.coalesce(_truth(text).cast("double"), text.try_cast("double"), F.lit(0.0))
+    return F.coalesce(_truth(text).cast("double"), finite(text), F.lit(0.0))
 
 
 def lenient_long(text: Column) -> Column:

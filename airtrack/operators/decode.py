@@ -34,19 +34,22 @@ def explode_jm(routed: DataFrame) -> DataFrame:
     one: a bad one is one row with a reason and the others of its message stay.
     """
     carried = [c for c in routed.columns if c not in ("value", "inner", "route")]
-    wrapped = F.transform("_m.drone", lambda e: F.struct(e.alias("text")))
+    wrapped = F.transform("_m.drone", lambda e: F.struct(e.alias("text"), F.lit(False).alias("empty")))
+    none = F.array(F.struct(F.lit(None).cast("string").alias("text"), F.lit(True).alias("empty")))  # one row, with a reason
+    each = F.when(F.size("_m.drone") == 0, none).otherwise(wrapped)
     elements = (
         routed.select(*carried, F.from_json("inner", schemas.JM_MESSAGE).alias("_m"), F.json_object_keys("inner").alias("_keys"))
-        .select(*carried, "_keys", F.col("_m.station_id").alias("_station"), F.explode_outer(wrapped).alias("_e"))
+        .select(*carried, "_keys", F.col("_m.station_id").alias("_station"), F.explode_outer(each).alias("_e"))
         .filter(F.col("_e").isNotNull())
         .select(
             *carried, text.present(F.col("_station"), F.col("_keys"), "station_id").alias("station_id"),
             F.from_json("_e.text", schemas.JM_ELEMENT).alias("_o"), F.json_object_keys("_e.text").alias("_k"),
+            F.col("_e.empty").alias("_empty"),
         )
     )
     fields = {name: text.present(F.col("_o")[name], F.col("_k"), name) for name, _ in schemas.JM_DRONE_FIELDS}
     read = text.computed_once(
-        elements.select(*carried, "station_id", F.col("_k").isNull().alias("_none"), *(f.alias(n) for n, f in fields.items()))
+        elements.select(*carried, "station_id", "_empty", F.col("_k").isNull().alias("_none"), *(f.alias(n) for n, f in fields.items()))
     )
     missing = F.col("station_id").isNull()
     for name in fields:
@@ -55,13 +58,25 @@ def explode_jm(routed: DataFrame) -> DataFrame:
         *carried,
         *[text.cast_lenient(F.col(name), kind).alias(name) for name, kind in schemas.JM_DRONE_FIELDS],
         "station_id",
-        F.when(F.col("_none"), F.lit("not an object"))
+        F.when(F.col("_empty"), F.lit("no elements"))
+        .when(F.col("_none"), F.lit("not an object"))
         .when(missing, F.lit("missing field"))
         .when(clock.after_separator(F.col("batch_num")).isNull(), F.lit("no separator in batch_num"))
         .alias("reason"),
     )
 
 
+def parse_jm(messages: DataFrame) -> DataFrame:
+    """All that the messages become, in one table: the columns of :func:`explode_jm` and ``old``, the text of an old message.
+
+    Every message has a row; a reader picks its rows by ``reason`` and ``old``, so one written copy serves any number of tables.
+    """
+    routed = text.computed_once(route_jm(messages))
+    carried = [c for c in routed.columns if c not in ("value", "inner", "route")]
+    old = routed.filter(F.col("route") == OLD).select(*carried, F.col("value").alias("old"))
+    return explode_jm(routed).unionByName(old, allowMissingColumns=True)
+
+
 def with_ods_time(rows: DataFrame) -> DataFrame:
     """Add the epoch-millisecond ``timestamp`` and its ``dt`` / ``hr`` partition values."""
     stamped = rows.withColumn("timestamp", clock.ods_event_ms(F.col("batch_num"), F.col("lasting_time")))
@@ -109,7 +124,11 @@ def legacy_jm(routed: DataFrame) -> DataFrame:
 
 
 def ods_jm_old(messages: DataFrame) -> DataFrame:
-    rows = legacy_jm(route_jm(messages)).withColumns(clock.partition_columns(F.col("timestamp")))
+    return old_rows(route_jm(messages))
+
+
+def old_rows(routed: DataFrame) -> DataFrame:
+    rows = legacy_jm(routed).withColumns(clock.partition_columns(F.col("timestamp")))
     return rows.select(*_columns(schemas.ODS_JM_OLD_COLUMNS, {}))
 
 

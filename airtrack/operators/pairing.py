@@ -47,18 +47,18 @@ def pair_messages(messages: DataFrame) -> DataFrame:
         d["batch_num"].alias("batch_num"),
         text.whole(d["detect_type"]).alias("detect_type"),
         d["drone_uuid"].alias("drone_uuid"),
-        d["frequency"].try_cast("double").alias("frequency"),
-        d["height"].try_cast("double").alias("height"),
+        text.finite(d["frequency"]).alias("frequency"),
+        text.finite(d["height"]).alias("height"),
         d["intrusion_start_time"].alias("intrusion_start_time"),
         text.whole(d["lasting_time"]).alias("lasting_time"),
-        d["latitude"].try_cast("double").alias("latitude"),
-        d["longitude"].try_cast("double").alias("longitude"),
+        text.finite(d["latitude"]).alias("latitude"),
+        text.finite(d["longitude"]).alias("longitude"),
         d["model"].alias("model"),
         F.from_json(d["scanID"], "array<struct<id:string>>").alias("scanID"),
-        d["speed"].try_cast("double").alias("speed"),
+        text.finite(d["speed"]).alias("speed"),
         text.whole(d["type"]).alias("type"),
-        F.col("_r.longitude").try_cast("double").alias("driverlongitude"),
-        F.col("_r.latitude").try_cast("double").alias("driverlatitude"),
+        text.finite(F.col("_r.longitude")).alias("driverlongitude"),
+        text.finite(F.col("_r.latitude")).alias("driverlatitude"),
         "station_id",
         F.concat(d["drone_uuid"], F.lit("_"), d["batch_num"]).alias("signal_id"),
         clock.event_seconds(d["batch_num"], lasting).alias("timestamp"),

@@ -39,7 +39,7 @@ def parse_fused(messages: DataFrame) -> DataFrame:
         if f.name not in numbers:
             values.append(field.alias(f.name))
             continue
-        number = field.try_cast(f.dataType)
+        number = text.finite(field) if isinstance(f.dataType, T.DoubleType) else field.try_cast(f.dataType)
         if isinstance(f.dataType, T.IntegralType):
             number = F.coalesce(number, field.try_cast("double").try_cast(f.dataType))
         values.append(number.alias(f.name))

@@ -16,12 +16,18 @@ def ods_jm(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def ods_jm_parts(messages: DataFrame) -> dict[str, DataFrame]:
-    """All rows that the messages become: ``drones``, ``remotes``, ``old`` messages, and ``quarantined`` elements with a reason."""
-    routed = decode.route_jm(messages)
-    elements = decode.explode_jm(routed)
-    drones, remotes = decode.split_by_type(decode.ods_jm(messages))
+    """All rows that the messages become: ``drones``, ``remotes``, ``old`` messages, and ``quarantined`` elements with a reason.
+
+    The text is parsed once, into a written table that all four read.
+    """
+    parsed = pin(decode.parse_jm(messages))
+    elements = parsed.filter(F.col("old").isNull()).drop("old")
+    drones, remotes = decode.split_by_type(decode.usable_jm(elements))
+    carried = [c for c in messages.columns if c != "value"]
+    old = parsed.filter(F.col("old").isNotNull()).select(*carried, F.col("old").alias("value"))
     return {
-        "drones": drones, "remotes": remotes, "old": decode.ods_jm_old(messages), "quarantined": pairing.quarantined(elements),
+        "drones": drones, "remotes": remotes, "old": decode.old_rows(old.withColumn("route", F.lit(decode.OLD))),
+        "quarantined": pairing.quarantined(elements),
     }
 
 

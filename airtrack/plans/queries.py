@@ -91,6 +91,17 @@ def ods_stream(spark: SparkSession, folder: str) -> DataFrame:
     return drones.unionByName(remotes)
 
 
+def fan_out_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same two tables, filled together by one stream in several micro-batches and read through their views."""
+    place, database = _new_folder(spark), f"together_{uuid.uuid4().hex}"
+    _jm(spark, folder).select("value", "offset").repartition(_FILES).write.json(f"{place}/jm")
+    tables.create_fan_out(spark, ["ods_jm_drone", "ods_jm_remote", "ods_jm_old"], f"{place}/tables", database)
+    stream = topics.read_topic(spark, "jm", folder=place, maxFilesPerTrigger="2")
+    jobs.ods_jm_together(stream, f"{place}/bad", f"{place}/checkpoints", database, _ONCE).awaitTermination()
+    drones, remotes = (spark.table(f"{database}.{name}") for name in ("ods_jm_drone", "ods_jm_remote"))
+    return drones.unionByName(remotes)
+
+
 def aoa_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Direction messages as a stream over a topic folder, read back from their table."""
     place = _new_folder(spark)
@@ -350,7 +361,7 @@ def dws_pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         jm_decode_route, jm_explode_typed, jm_split_counts, ods_partition_rows, jm_legacy_fallback, aoa_route_fill,
-        ods_stream, aoa_stream, table_roundtrip,
+        ods_stream, fan_out_stream, aoa_stream, table_roundtrip,
         pair_pilot_drone, message_balance, utm_forward, utm_inverse, kinematics_causal, kinematics_lookahead, start_position,
         slice_rank, window_features, sliding_window_counts, similarity_edges, signal_components, cluster_quality,
         cluster_members, cluster_start, fusion_ids, track_projection, kalman_track, push_payload,

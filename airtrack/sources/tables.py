@@ -51,6 +51,43 @@ def insert_stream(rows: DataFrame, name: str, location: str, checkpoint_root: st
     return start(writer, name, checkpoint_root, trigger)
 
 
+def create_fan_out(spark: SparkSession, names: list[str], root: str, database: str = "ods") -> None:
+    """Tables that one stream fills together: ``<name>_batches`` keyed by micro-batch as well, and the view ``<name>`` of all
+    micro-batches that are complete in every table.
+
+    A micro-batch is complete when its number is in ``<root>/complete``, which is written last.  Readers of the views prune by
+    ``dt`` and ``hr`` as before and never see a part of a micro-batch, nor a table that is ahead of the others.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.complete_batches (number BIGINT, batch BIGINT) USING parquet PARTITIONED BY (batch) LOCATION '{root}/complete'")
+    for name in names:
+        table = f"{database}.{name}_batches"
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({TABLES[name]}, batch BIGINT) USING parquet "
+            f"PARTITIONED BY (dt, hr, batch) LOCATION '{root}/{name}'"
+        )
+        columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != "batch")
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {columns} FROM {table} "
+            f"WHERE batch IN (SELECT number FROM {database}.complete_batches)"
+        )
+
+
+def write_batch(parts: dict[str, DataFrame], number: int, database: str = "ods") -> None:
+    """Write the rows of one micro-batch to the tables of :func:`create_fan_out`, then list it as complete.
+
+    Partitions are overwritten, so a micro-batch that failed half-way and is repeated leaves one copy.
+    """
+    spark = next(iter(parts.values())).sparkSession
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    batch = F.lit(number).cast("bigint").alias("batch")
+    for name, rows in parts.items():
+        table = f"{database}.{name}_batches"
+        kept = rows.select(*[c for c in spark.table(table).columns if c != "batch"], batch)
+        kept.hint("rebalance", F.col("dt"), F.col("hr")).write.mode("overwrite").insertInto(table)
+    spark.range(1).select(batch.alias("number"), batch).write.mode("overwrite").insertInto(f"{database}.complete_batches")
+
+
 def commit_partitions(
     spark: SparkSession,
     table: str,

@@ -39,6 +39,24 @@ def ods_jm(messages: DataFrame, locations: dict[str, str], checkpoint_root: str,
     ]
 
 
+def ods_jm_together(
+    messages: DataFrame, bad: str, checkpoint_root: str, database: str = "ods", trigger: dict | None = None
+):
+    """All tables of the drone messages from one stream and one parse, each micro-batch visible in all of them or in none.
+
+    The tables are those of ``tables.create_fan_out``; elements that cannot be used go to the folder ``bad`` as JSON text.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        with scratch(session):
+            parts = pipelines.ods_jm_parts(batch)
+            pipelines.to_text(parts["quarantined"]).write.mode("overwrite").json(f"{bad}/batch={number}")
+            kept = {"ods_jm_drone": parts["drones"], "ods_jm_remote": parts["remotes"], "ods_jm_old": parts["old"]}
+            tables.write_batch(kept, number, database)
+
+    return topics.start(messages.writeStream.foreachBatch(write), "ods_jm_together", checkpoint_root, trigger)
+
+
 def ods_aoa(
     messages: DataFrame, location: str, checkpoint_root: str, trigger: dict | None = None, now_ms: int | None = None
 ):

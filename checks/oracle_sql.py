@@ -280,5 +280,5 @@ select job, outcome, count(*) as n from m group by all""",
  from (select {_TRACK} from fused) f join filtered k on k."offset"=f."offset" """,
         ),
     }
-    streams = {"dwd_stream": "dwd_pipeline", "recovery_stream": "dwd_pipeline", "dws_stream": "dws_pipeline"}
+    streams = {"fan_out_stream": "ods_stream", "dwd_stream": "dwd_pipeline", "recovery_stream": "dwd_pipeline", "dws_stream": "dws_pipeline"}
     return named | {stream: named[batch] for stream, batch in streams.items()}

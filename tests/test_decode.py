@@ -56,6 +56,23 @@ def test_missing_field_is_quarantined_not_dropped(spark):
     assert sorted(str(r.reason) for r in rows.collect()) == ["None", "missing field"]
 
 
+def test_every_message_is_in_a_part(spark):
+    """Old, usable, unusable elements and empty arrays: nothing is in none of the parts."""
+    bad = element(height=None)
+    messages = frame(spark, message(element(), element(type=0)), message(), message(bad), "not json", message(element(height="inf")), json.dumps(json.dumps({"drone": [None, 3]})))
+    parts = {k: v.collect() for k, v in pipelines.ods_jm_parts(messages).items()}
+    assert [len(parts[k]) for k in ("drones", "remotes", "old")] == [2, 1, 1]
+    assert sorted(r.reason for r in parts["quarantined"]) == ["missing field", "no elements", "not an object", "not an object"]
+    assert [r.height for r in parts["drones"]] == [124.0, 0.0]
+
+
+@pytest.mark.parametrize("word", ["inf", "-Infinity", "NaN"])
+def test_words_are_no_numbers(spark, word):
+    row = pairing.pair_messages(frame(spark, message(element(height=word), element(type=0)))).first()
+    assert row.reason == "bad number"
+    assert spark.createDataFrame([(word,)], "t string").select(text_functions.lenient_double(F.col("t"))).first()[0] == 0.0
+
+
 def test_lenient_numbers_and_scan_text(spark):
     row = decode.ods_jm(frame(spark, message(element(height="abc", speed="2.5", detect_type=1.9)))).first()
     assert (row.height, row.speed, row.detect_type, row.scanid) == (0.0, 2.5, 1, '[{"id":"92025"}]')

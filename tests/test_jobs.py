@@ -96,6 +96,90 @@ def test_fused_stream_equals_batch(spark, found, messages, tmp_path):
     assert got.count() == want.count() and got.exceptAll(want).isEmpty()
 
 
+def test_failed_batch_is_in_no_table(spark, messages, tmp_path, monkeypatch):
+    """A micro-batch that fails between two tables shows in neither view, and once in both after it is repeated."""
+    database, names = "together", ["ods_jm_drone", "ods_jm_remote", "ods_jm_old"]
+    tables.create_fan_out(spark, names, f"{tmp_path}/tables", database)
+    for part in ("offset % 2 = 0", "offset % 2 = 1"):
+        messages.filter(part).select("value", "offset").coalesce(1).write.mode("append").json(f"{tmp_path}/jm")
+
+    def run():
+        stream = topics.read_topic(spark, "jm", folder=str(tmp_path), maxFilesPerTrigger="1")
+        return jobs.ods_jm_together(stream, f"{tmp_path}/bad", f"{tmp_path}/cp", database, ONCE)
+
+    def shown():
+        out = []
+        for name in names:
+            spark.sql(f"refresh table {database}.{name}_batches")
+            spark.sql(f"refresh table {database}.complete_batches")
+            out.append(spark.table(f"{database}.{name}"))
+        return out
+
+    real = tables.write_batch
+
+    def failing(parts, number, database):
+        if number == 1:  # the first table is written, the second one is not
+            parts = parts | {"ods_jm_remote": parts["ods_jm_remote"].withColumn("model", F.raise_error(F.lit("lost")).cast("string"))}
+        real(parts, number, database)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "write_batch", failing)
+        with pytest.raises(Exception, match="lost"):
+            run().awaitTermination()
+    first = pipelines.ods_jm_parts(messages.filter("offset % 2 = 0"))
+    assert [t.count() for t in shown()] == [first[k].count() for k in ("drones", "remotes", "old")]
+    run().awaitTermination()
+    whole = pipelines.ods_jm_parts(messages)
+    for got, key in zip(shown(), ("drones", "remotes", "old")):
+        assert got.count() == whole[key].count() and got.exceptAll(whole[key].select(*got.columns)).isEmpty()
+    bad = spark.read.schema("value string").json(f"{tmp_path}/bad")
+    assert bad.count() == whole["quarantined"].count()
+
+
+def test_a_batch_of_one_signal_opens_one_bucket(spark, tmp_path):
+    """Memory is dealt by signal and versioned by micro-batch; a repeated micro-batch starts from the same versions."""
+    from airtrack.operators import fusion
+    from airtrack.streaming import memory
+    from tests.test_signals import MEMBERS, replay
+
+    rows = [(t, f"U{i:03d}", "B", f"C{i // 2}", f"9ㆍ{i:04d}", float(i), 1.5, 0.0) for i in range(300) for t in range(2)]
+    rows += [(5, "U007", "B", "C0", "9ㆍ0007", 7.0, 1.5, 0.0)]
+    root, versions = f"{tmp_path}/memory", {}
+    for number, part in enumerate(([r for r in rows if r[0] == t] for t in (0, 1, 5))):
+        members = spark.createDataFrame(part, MEMBERS)
+        for _ in range(2):  # the second time as after a failure
+            versions = memory.manifest(spark, root, number - 1)
+            buckets = memory.touched(members)
+            known = memory.read(spark, root, versions, buckets)
+            identities = fusion.fused(members, known)
+            versions = memory.write(root, number, versions, buckets, identities, known)
+    assert len(buckets) == 1 and len(known.inputFiles()) <= 2
+    assert set(versions.values()) == {1, 2} and sum(v == 2 for v in versions.values()) == 1
+    want = replay(rows)[(5, "U007")]
+    got = identities.first()
+    assert (got.fusion_start_time, got.fusion_longitude) == want[0][:2]
+    whole = memory.read(spark, root, versions, sorted(versions))
+    assert whole.count() == 300 and whole.select("drone_uuid").distinct().count() == 300
+    memory.forget(spark, root, 0)
+    memory.forget(spark, root, 1)
+    assert memory.read(spark, root, versions, sorted(versions)).count() == 300
+
+
+def test_state_of_a_stopped_stream_can_be_read(spark, messages, found, tmp_path):
+    topics.write_topic(messages, "jm", folder=str(tmp_path))
+    stream = topics.read_topic(spark, "jm", folder=str(tmp_path))
+    jobs.dwd(stream, str(tmp_path), f"{tmp_path}/cp", trigger=ONCE).awaitTermination()
+    sent = spark.read.schema("value string, offset bigint").json(f"{tmp_path}/dwd_jm_drone")
+    last = sent.select(F.json_tuple("value", "drone_uuid", "batch_num", "timestamp").alias("d", "b", "t"))
+    want = last.groupBy("d", "b").agg(F.max(F.col("t").cast("bigint")).alias("t"))
+    state = jobs.signal_state(spark, f"{tmp_path}/cp").select("drone_uuid", "batch_num", "timestamp")
+    assert state.count() == want.count() > 0 and state.exceptAll(want).isEmpty()
+    bad = spark.read.schema("value string, offset bigint").json(f"{tmp_path}/dwd_jm_drone_bad")
+    quarantined = pairing.quarantined(pairing.pair_messages(messages))
+    assert bad.count() == quarantined.count() > 0
+    assert bad.select(F.get_json_object("value", "$.reason")).exceptAll(quarantined.select("reason")).isEmpty()
+
+
 def test_unusable_messages_are_kept_by_a_stream(spark, messages, tmp_path):
     topics.write_topic(messages, "jm", folder=str(tmp_path))
     parsed = pairing.pair_messages(topics.read_topic(spark, "jm", folder=str(tmp_path)))
