@@ -196,6 +196,27 @@ def window_features(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(features, lat_range=9, lon_range=9, avg_speed=3, avg_height=6)
 
 
+def window_features_lookahead(spark: SparkSession, folder: str) -> DataFrame:
+    nodes = kinematics.node_features(_detections(spark, folder), kinematics.LOOKAHEAD)
+    features = nodes.select("signal_id", "timestamp", *similarity.DIMENSIONS)
+    return _rounded(features, lat_range=9, lon_range=9, avg_speed=3, avg_height=6)
+
+
+def window_stream_lookahead(spark: SparkSession, folder: str) -> DataFrame:
+    """Kinematics and features of every usable message by the stream, with values of the seconds ahead."""
+    place = _new_folder(spark)
+    for send in _jm_steps(spark, folder, place):
+        send()
+    source = topics.read_topic(spark, "jm", folder=place, maxFilesPerTrigger=str(_FILES))
+    jobs.configure(spark)
+    rows = jobs.signal_windows(pairing.good_rows(pairing.pair_messages(source)), mode=kinematics.LOOKAHEAD)
+    rows = rows.select("offset", "timestamp", "speed", "heading", "curr_batch_first", "time_range", "avg_speed", "avg_height")
+    sink = rows.writeStream.format("parquet").option("path", f"{place}/windows")
+    topics.start(sink, "windows", f"{place}/checkpoints", _ONCE).awaitTermination()
+    given = spark.read.schema(rows.schema).parquet(f"{place}/windows")
+    return _rounded(given, speed=3, heading=2, avg_speed=3, avg_height=6)
+
+
 def sliding_window_counts(spark: SparkSession, folder: str) -> DataFrame:
     return kinematics.sliding_counts(_detections(spark, folder))
 
@@ -275,6 +296,10 @@ def dwd_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return _dwd_columns(pipelines.dwd(_jm(spark, folder)))
 
 
+def dwd_pipeline_lookahead(spark: SparkSession, folder: str) -> DataFrame:
+    return _dwd_columns(pipelines.dwd(_jm(spark, folder), mode=kinematics.LOOKAHEAD))
+
+
 _SLICES, _FILES = 3, 4
 
 
@@ -363,8 +388,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         jm_decode_route, jm_explode_typed, jm_split_counts, ods_partition_rows, jm_legacy_fallback, aoa_route_fill,
         ods_stream, fan_out_stream, aoa_stream, table_roundtrip,
         pair_pilot_drone, message_balance, utm_forward, utm_inverse, kinematics_causal, kinematics_lookahead, start_position,
-        slice_rank, window_features, sliding_window_counts, similarity_edges, signal_components, cluster_quality,
+        slice_rank, window_features, window_features_lookahead, window_stream_lookahead, sliding_window_counts, similarity_edges, signal_components, cluster_quality,
         cluster_members, cluster_start, fusion_ids, track_projection, kalman_track, push_payload,
-        dwd_pipeline, dws_pipeline, dwd_stream, recovery_stream, dws_stream,
+        dwd_pipeline, dwd_pipeline_lookahead, dws_pipeline, dwd_stream, recovery_stream, dws_stream,
     )
     return {query.__name__: query for query in listed}

@@ -69,7 +69,9 @@ def quarantine(rows: DataFrame, name: str, folder: str, checkpoint_root: str, tr
     return topics.write_topic(bad, name, folder=folder, checkpoint=checkpoint_root, trigger=trigger)
 
 
-def signal_windows(rows: DataFrame, ttl_seconds: int | None = STATE_TTL_SECONDS, zone: int = UTM_ZONE) -> DataFrame:
+def signal_windows(
+    rows: DataFrame, ttl_seconds: int | None = STATE_TTL_SECONDS, zone: int = UTM_ZONE, mode: str = kinematics.CAUSAL
+) -> DataFrame:
     """Stream of detections with kinematics, features and slice rank, given out as their window closes.
 
     Rows with a ``reason`` are given out at once, with all their fields as JSON text in ``payload``; they are dealt by offset.
@@ -88,7 +90,7 @@ def signal_windows(rows: DataFrame, ttl_seconds: int | None = STATE_TTL_SECONDS,
     windows = (
         keyed.withWatermark("event_ts", f"{WINDOW_SECONDS * 1000 + WATERMARK_DELAY_MS} milliseconds")
         .groupBy(*kinematics.SIGNAL)
-        .transformWithState(SignalWindows(ttl_seconds), WINDOW_OUTPUT, "Append", "EventTime")
+        .transformWithState(SignalWindows(ttl_seconds, mode == kinematics.LOOKAHEAD), WINDOW_OUTPUT, "Append", "EventTime")
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in others)
     kept = [F.col(f"_p.{c}").alias(c) for c in others if c not in ("speed",)]
@@ -124,6 +126,7 @@ def dwd(
     ttl_seconds: int | None = STATE_TTL_SECONDS,
     threshold: float = SIMILARITY_THRESHOLD,
     trigger: dict | None = None,
+    mode: str = kinematics.CAUSAL,
 ):
     """Sensor messages to a topic of fused detections.
 
@@ -135,7 +138,7 @@ def dwd(
     """
     spark = messages.sparkSession
     configure(spark)
-    rows = signal_windows(pairing.pair_messages(messages), ttl_seconds)
+    rows = signal_windows(pairing.pair_messages(messages), ttl_seconds, mode=mode)
     memory_root = f"{checkpoint_root}/memory"
 
     def send(text: DataFrame, name: str, number: int) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from airtrack.operators.track import first_state, next_state
-from airtrack.settings import WINDOW_SECONDS
+from airtrack.settings import SLIDE_SECONDS, WINDOW_SECONDS
 
 _ROW = "offset bigint, latitude double, longitude double, height double, speed double, x double, y double, payload string"
 
@@ -41,12 +41,14 @@ class SignalWindows(StatefulProcessor):
     State: the rows of seconds whose window is open, the last position given out, and the start position.
     The watermark lags by the window length, so the window that starts at a second closes when the watermark
     passes that second, and a row counts as late only when its own window has closed.  Positions are forgotten
-    ``ttl_seconds`` of event time after the last row (``None`` keeps them).  A row with a ``reason`` cannot be used; it
+    ``ttl_seconds`` of event time after the last row (``None`` keeps them).  With ``lookahead`` a row carries the step of the last
+    second before the newest one of its window, as ``kinematics.node_features`` does.  A row with a ``reason`` cannot be used; it
     is given out at once as it is.
     """
 
-    def __init__(self, ttl_seconds: int | None = None):
+    def __init__(self, ttl_seconds: int | None = None, lookahead: bool = False):
         self._ttl = ttl_seconds
+        self._lookahead = lookahead
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
@@ -98,6 +100,8 @@ class SignalWindows(StatefulProcessor):
                 dx, dy = first[5] - last[1], first[6] - last[2]
                 steps[t] = (math.sqrt(dx * dx + dy * dy) / (t - last[0]), math.degrees(math.atan2(dy, dx)) % 360)
             last = (t, final[5], final[6])
+        if self._lookahead:
+            steps[second] = steps[max(t for t in window if t < second + WINDOW_SECONDS - SLIDE_SECONDS)]
         rows = [row for t in sorted(window) for row in window[t]]
         latitudes, longitudes = [r[1] for r in rows], [r[2] for r in rows]
         features = (

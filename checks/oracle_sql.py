@@ -71,6 +71,16 @@ LOOKAHEAD = _REAL + """
 kin as (select *, last_value(real_speed) over w as speed, last_value(real_heading) over w as heading from carried
   window w as (partition by signal_id order by "timestamp" range between current row and 3 following))"""
 
+LOOKAHEAD_FEATURES = LOOKAHEAD + """,
+feat as (select distinct on (signal_id,"timestamp") signal_id, "timestamp", drone_uuid, batch_num, intrusion_start_time,
+  start_latitude, start_longitude, start_height, lat_range, lon_range, time_range, avg_speed, avg_height, rk from (
+  select *, max(latitude) over w-min(latitude) over w as lat_range, max(longitude) over w-min(longitude) over w as lon_range,
+  cast(max("timestamp") over w-min("timestamp") over w as int) as time_range,
+  (count(*) over same*speed+coalesce(sum(real_speed) over later,0e0))/count(*) over w as avg_speed, avg(height) over w as avg_height from kin
+  window w as (partition by signal_id order by "timestamp" range between current row and 4 following),
+   same as (partition by signal_id order by "timestamp" range between current row and current row),
+   later as (partition by signal_id order by "timestamp" range between 1 following and 4 following)) order by rk)"""
+
 EDGES = """
 edge as (select * from (select a."timestamp" as "timestamp", a.signal_id as l, b.signal_id as r,
   1e0/(1e0+sqrt((a.lat_range-b.lat_range)**2+(a.lon_range-b.lon_range)**2+(a.time_range-b.time_range)**2
@@ -227,6 +237,17 @@ select job, outcome, count(*) as n from m group by all""",
             UTM, CAUSAL,
             select="""select signal_id, "timestamp", round(lat_range,9) as lat_range, round(lon_range,9) as lon_range, time_range,
  round(avg_speed,3) as avg_speed, round(avg_height,6) as avg_height from feat""",
+        ),
+        "window_features_lookahead": _chain(
+            UTM, LOOKAHEAD_FEATURES,
+            select="""select signal_id, "timestamp", round(lat_range,9) as lat_range, round(lon_range,9) as lon_range, time_range,
+ round(avg_speed,3) as avg_speed, round(avg_height,6) as avg_height from feat""",
+        ),
+        "window_stream_lookahead": _chain(
+            UTM, LOOKAHEAD_FEATURES, **_PIPE,
+            select="""select k."offset" as "offset", k."timestamp" as "timestamp", round(k.speed,3) as speed, round(k.heading,2) as heading,
+ cast(k.rk as int) as curr_batch_first, f.time_range as time_range, round(f.avg_speed,3) as avg_speed, round(f.avg_height,6) as avg_height
+ from kin k join feat f on f.signal_id=k.signal_id and f."timestamp"=k."timestamp" """,
         ),
         "sliding_window_counts": _chain(
             select="""select drone_uuid, batch_num, "timestamp"-b as window_start, count(*) as "rows"
@@ -271,6 +292,12 @@ select job, outcome, count(*) as n from m group by all""",
             UTM, CAUSAL, FUSION, **_PIPE,
             select=f"""select {_FUSED_OUT}, round(f.utm_x,3) as utm_x, round(f.utm_y,3) as utm_y, round(f.speed,3) as speed,
  round(f.heading,2) as heading, cast(f.rk as int) as curr_batch_first, t.time_range as time_range, round(t.avg_speed,3) as avg_speed
+ from fused f join feat t on t.signal_id=f.signal_id and t."timestamp"=f."timestamp" """,
+        ),
+        "dwd_pipeline_lookahead": _chain(
+            UTM, LOOKAHEAD_FEATURES, FUSION, **_PIPE,
+            select=f"""select {_FUSED_OUT}, round(f.utm_x,3) as utm_x, round(f.utm_y,3) as utm_y, round(f.speed,3) as speed,
+ round(f.heading,2) as heading, cast(f.rk as int) as curr_batch_first, t.time_range as time_range, round(t.avg_speed,3) as avg_speed
  from fused f join feat t on t.signal_id=f.signal_id and t."timestamp"=f."timestamp" """,
         ),
         "dws_pipeline": _chain(
