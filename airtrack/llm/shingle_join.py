@@ -288,9 +288,8 @@ def links(
     found = pin(verified(likely, parts, percent))
     open_ = _apart(members.select("sig", "id"), sized(components(found)))
     apart = pin(open_.select("id", "component").distinct())
-    pairs = _pairs_by_rare_grams(apart, own, parts, percent)
-    near = _sizes(pairs, own).filter(_near_in_size("n_a", "n_b", percent))
-    return found.unionByName(verified(near, parts, percent))
+    hubs, pairs = _pairs_by_rare_grams(apart, own, parts, percent)
+    return found.unionByName(hubs).unionByName(verified(_sizes(pairs, own), parts, percent))
 
 
 def _with_enough(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -305,12 +304,12 @@ def _with_enough(members: DataFrame, sets: DataFrame) -> DataFrame:
     return pin(left.join(sized(pivots.select("sig", "pivot")), "sig"))
 
 
-def _pairs_by_rare_grams(apart: DataFrame, own: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: pairs from different components whose rarest n-grams allow the overlap that their sizes demand.
+def _pairs_by_rare_grams(apart: DataFrame, own: DataFrame, parts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links, and pairs ``a, b`` from different components, among documents that share one of their rarest n-grams.
 
     N-grams are ordered by their number of holders, those that no other document here holds come first.  A partner of a set of
-    ``n`` lacks at most ``n - threshold * n`` of its n-grams, so the two share one of so many and one more.  The first one that
-    they share is at places in both orders that leave room for the overlap; other pairs are not formed.
+    ``n`` lacks at most ``n - threshold * n`` of its n-grams, so the two share one of so many and one more, at places in both
+    orders that leave room for the overlap.
     """
     side = sized(apart.select(F.col("id").alias("_id"), "component"))
     grams = parts.join(side, F.col("id") == F.col("_id")).select("id", F.explode("grams").alias("gram"))
@@ -319,17 +318,65 @@ def _pairs_by_rare_grams(apart: DataFrame, own: DataFrame, parts: DataFrame, per
     rare = lists.join(own.select("id", F.col("n_shingles").alias("n")), "id").join(side, F.col("id") == F.col("_id")).withColumn(
         "look", (F.size("held") - F.ceil(F.col("n") * percent / 100 - 1e-9) + 1).cast("int")
     ).filter("look > 0")
-    rows = rare.select("id", "component", "n", F.size("held").alias("common"), F.posexplode(F.slice("held", F.lit(1), F.col("look"))).alias("at", "g"))
-    rows = pin(rows.select(F.col("g.gram").alias("sig"), "id", "component", "n", (F.col("common") - F.col("at")).alias("room")))
-    several = _several(rows)
-    one = several.filter("component <> main").select("sig", "main", *(F.col(c).alias(f"{c}_x") for c in ("id", "component", "n", "room")))
-    two = several.select("sig", *(F.col(c).alias(f"{c}_y") for c in ("id", "component", "n", "room")))
-    overlap = F.ceil((F.col("n_x") + F.col("n_y")) * percent / (100 + percent) - 1e-9)
-    return one.join(two, "sig").filter(
-        "component_x <> component_y and (component_y = main or id_x < id_y)"
-    ).filter((F.col("room_x") >= overlap) & (F.col("room_y") >= overlap)).select(
-        F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")
-    ).distinct()
+    rows = rare.select("id", "component", "n", F.explode(F.slice("held", F.lit(1), F.col("look"))).alias("g"))
+    rows = pin(rows.select(F.col("g.gram").alias("sig"), "id", "component", "n"))
+    return _pairs_in_families(pin(_several(rows).select("sig", "id", "component", "n")), parts, percent)
+
+
+def _pairs_in_families(several: DataFrame, parts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links, and pairs that can be similar, among documents that share a ``sig`` with another component.
+
+    A family is what shared signatures connect.  Most n-grams of near copies are held by nearly all of the family, so they do not
+    tell which two are similar; what a document deviates in from the family's majority does: the n-grams that it holds and most lack
+    and those that it lacks and most hold.  Differences between sets are differences between deviations.  With ``q = (100 - percent)
+    / (100 + percent)`` and ``u = deviations - q * n``, two documents are similar if and only if they share ``(u_x + u_y) / 2``
+    deviations.  Where that is nothing at all, both are similar to the document of the least ``u``, so these links need no pair; all
+    others share one of their rarest deviations, at places that leave room for so many.
+    """
+    more, less = 100 + percent, 100 - percent
+    hubs = several.groupBy("sig").agg(F.min("id").alias("hub"))
+    edges = several.join(sized(hubs), "sig").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    families = sized(components(edges).select("id", F.col("component").alias("family")))
+    docs = pin(several.select("id", "component", "n").distinct().join(families, "id"))
+    side = sized(docs.select(F.col("id").alias("_id"), "family"))
+    grams = pin(parts.join(side, F.col("id") == F.col("_id")).select("family", "id", F.explode("grams").alias("gram")))
+    sizes = docs.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+    held = grams.groupBy("family", "gram").agg(F.count(F.lit(1)).alias("holders")).join(sized(sizes), "family")
+    major = F.col("holders") * 2 > F.col("size")
+    held = held.select("family", "gram", major.alias("major"), F.when(major, F.col("size") - F.col("holders")).otherwise(F.col("holders")).alias("weight"))
+    held = pin(held.filter("major or weight > 1"))
+    centres = held.filter("major").groupBy("family").agg(F.collect_list(F.struct("weight", "gram")).alias("centre"))
+    of = F.struct("weight", "gram")
+    split = grams.join(held, ["family", "gram"]).groupBy("id").agg(
+        F.collect_list(F.when(F.col("major"), of)).alias("major"), F.collect_list(F.when(~F.col("major"), of)).alias("minor")
+    )
+    none = F.array().cast("array<struct<weight:bigint,gram:bigint>>")
+    known = docs.join(split, "id").join(centres, "family", "left").withColumn("centre", F.coalesce("centre", none))
+    lacks = F.array_except("centre", "major")
+    shared = F.sort_array(F.filter(F.concat("minor", lacks), lambda d: d["weight"] > 1))
+    known = known.withColumn("all", F.col("n") + F.size("centre") - 2 * F.size("major")).select(
+        "family", "id", "component", "n", "all", (more * F.col("all") - less * F.col("n")).alias("u"), shared.alias("deviations")
+    )
+    known = pin(known)
+    least = known.groupBy("family").agg(F.min(F.struct("u", "id", "component")).alias("z"))
+    joined = known.drop("deviations").join(sized(least.select("family", F.col("z.u").alias("u_z"), F.col("z.id").alias("z"), F.col("z.component").alias("of_z"))), "family")
+    near = pin(joined.filter("u + u_z <= 0 and component <> of_z").select("id", "z", "component", "of_z"))
+    found = near.select(F.least("id", "z").alias("a"), F.greatest("id", "z").alias("b"))
+    merged = components(near.select(F.col("component").alias("a"), F.col("of_z").alias("b")))
+    merged = sized(merged.select(F.col("id").alias("component"), F.col("component").alias("into")))
+    known = known.join(merged, "component", "left").withColumn("component", F.coalesce("into", "component"))
+    needed = F.greatest(F.lit(1), F.ceil((F.col("u") + F.col("u_z")) / (2 * more) - 1e-9), F.ceil(F.col("all") - F.col("n") * less / percent - 1e-9))
+    known = known.join(sized(least.select("family", F.col("z.u").alias("u_z"))), "family").withColumn(
+        "look", (F.size("deviations") - needed + 1).cast("int")
+    ).filter("look > 0")
+    rows = known.select("family", "id", "component", "n", "u", F.size("deviations").alias("all"), F.posexplode(F.slice("deviations", F.lit(1), F.col("look"))).alias("at", "d"))
+    rows = pin(rows.select("family", F.col("d.gram").alias("gram"), "id", "component", "n", "u", (F.col("all") - F.col("at")).alias("room")))
+    one, two = (rows.select("family", "gram", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "component", "n", "u", "room"))) for s in "xy")
+    both = F.ceil((F.col("u_x") + F.col("u_y")) / (2 * more) - 1e-9)
+    pairs = one.join(two, ["family", "gram"]).filter("component_x <> component_y and id_x < id_y").filter(
+        (both >= 1) & (F.col("room_x") >= both) & (F.col("room_y") >= both) & _near_in_size("n_x", "n_y", percent)
+    )
+    return found, pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()
 
 
 def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:

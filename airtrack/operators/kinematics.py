@@ -71,16 +71,28 @@ def signal_seconds(rows: DataFrame) -> DataFrame:
     )
 
 
-def node_features(rows: DataFrame, mode: str = CAUSAL, zone: int = UTM_ZONE) -> DataFrame:
+def with_flights(seconds: DataFrame, gap_seconds: int) -> DataFrame:
+    """Add ``_flight``: how often the signal had been silent for more than ``gap_seconds`` before the row."""
+    by_time = Window.partitionBy(*SIGNAL).orderBy("timestamp")
+    cut = F.col("timestamp") - F.lag("timestamp").over(by_time) > gap_seconds
+    return seconds.withColumn("_cut", F.coalesce(cut.cast("int"), F.lit(0))).withColumn("_flight", F.sum("_cut").over(by_time)).drop("_cut")
+
+
+def node_features(rows: DataFrame, mode: str = CAUSAL, zone: int = UTM_ZONE, gap_seconds: int | None = None) -> DataFrame:
     """Kinematics and window features per (signal, second).
 
     ``causal``: speed and heading come from the step that led to the second.  ``lookahead``: a row carries the
-    value of the last step seen before its five-second window had closed, i.e. up to three seconds ahead.
+    value of the last step seen before its five-second window had closed, i.e. up to three seconds ahead.  A signal that was
+    silent for more than ``gap_seconds``, which must not be shorter than a window, starts anew.
     """
-    seconds = signal_seconds(rows)
+    seconds, keys = signal_seconds(rows), list(SIGNAL)
+    if gap_seconds is not None:
+        if gap_seconds < WINDOW_SECONDS:
+            raise ValueError(f"a gap must last {WINDOW_SECONDS} seconds at least")
+        seconds, keys = with_flights(seconds, gap_seconds), [*SIGNAL, "_flight"]
     placed = with_utm(seconds, "first_lon", "first_lat", "first_x", "first_y", zone)
     placed = with_utm(placed, "last_lon", "last_lat", "last_x", "last_y", zone)
-    by_time = Window.partitionBy(*SIGNAL).orderBy("timestamp")
+    by_time = Window.partitionBy(*keys).orderBy("timestamp")
     ahead = WINDOW_SECONDS - SLIDE_SECONDS
     window = by_time.rangeBetween(0, ahead)
     stepped = placed.withColumns({
@@ -148,8 +160,8 @@ def attach_kinematics(
     )
 
 
-def kinematics(rows: DataFrame, mode: str = CAUSAL, zone: int = UTM_ZONE) -> DataFrame:
-    return attach_kinematics(rows, node_features(rows, mode, zone), zone)
+def kinematics(rows: DataFrame, mode: str = CAUSAL, zone: int = UTM_ZONE, gap_seconds: int | None = None) -> DataFrame:
+    return attach_kinematics(rows, node_features(rows, mode, zone, gap_seconds), zone)
 
 
 def slice_rank(rows: DataFrame, **limits) -> DataFrame:

@@ -16,6 +16,7 @@ from airtrack.sources import fixtures, tables, topics
 from airtrack.streaming import jobs
 
 _ONCE = {"availableNow": True}
+GAP_SECONDS = 6  # silence after which a signal starts anew, in the queries that cut flights
 NOW_MS = 1_700_000_000_000  # fill-in time of direction messages without one, fixed for repeatable results
 
 
@@ -163,8 +164,8 @@ def utm_inverse(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(back.select("offset", "longitude", "latitude"), longitude=9, latitude=9)
 
 
-def _kinematics(spark: SparkSession, folder: str, mode: str) -> DataFrame:
-    rows = kinematics.kinematics(_detections(spark, folder), mode)
+def _kinematics(spark: SparkSession, folder: str, mode: str, gap_seconds: int | None = None) -> DataFrame:
+    rows = kinematics.kinematics(_detections(spark, folder), mode, gap_seconds=gap_seconds)
     return _rounded(
         rows.select(
             "offset", "signal_id", "timestamp", "utm_x", "utm_y", "speed", "heading",
@@ -202,21 +203,37 @@ def window_features_lookahead(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(features, lat_range=9, lon_range=9, avg_speed=3, avg_height=6)
 
 
-def window_stream_lookahead(spark: SparkSession, folder: str) -> DataFrame:
-    """Kinematics and features of every usable message by the stream, with values of the seconds ahead."""
+def _windows(spark: SparkSession, folder: str, **options) -> DataFrame:
+    """Kinematics and features of every usable message by the stream."""
     place = _new_folder(spark)
     for send in _jm_steps(spark, folder, place):
         send()
     source = topics.read_topic(spark, "jm", folder=place, maxFilesPerTrigger=str(_FILES))
     jobs.configure(spark)
-    rows = jobs.signal_windows(pairing.good_rows(pairing.pair_messages(source)), mode=kinematics.LOOKAHEAD)
-    rows = rows.select("offset", "timestamp", "speed", "heading", "curr_batch_first", "time_range", "avg_speed", "avg_height")
+    rows = jobs.signal_windows(pairing.good_rows(pairing.pair_messages(source)), **options).select(
+        "offset", "timestamp", "speed", "heading", "start_latitude", "curr_batch_first", "time_range", "avg_speed", "avg_height"
+    )
     sink = rows.writeStream.format("parquet").option("path", f"{place}/windows")
     topics.start(sink, "windows", f"{place}/checkpoints", _ONCE).awaitTermination()
     given = spark.read.schema(rows.schema).parquet(f"{place}/windows")
     return _rounded(given, speed=3, heading=2, avg_speed=3, avg_height=6)
 
 
+def window_stream_lookahead(spark: SparkSession, folder: str) -> DataFrame:
+    """With values of the seconds ahead."""
+    return _windows(spark, folder, mode=kinematics.LOOKAHEAD)
+
+
+def expiry_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """With signals that start anew after six seconds of silence."""
+    return _windows(spark, folder, ttl_seconds=GAP_SECONDS)
+
+
+def kinematics_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch form of the same cut, over all detections."""
+    return _kinematics(spark, folder, kinematics.CAUSAL, GAP_SECONDS)
+
+
 def sliding_window_counts(spark: SparkSession, folder: str) -> DataFrame:
     return kinematics.sliding_counts(_detections(spark, folder))
 
@@ -388,7 +405,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         jm_decode_route, jm_explode_typed, jm_split_counts, ods_partition_rows, jm_legacy_fallback, aoa_route_fill,
         ods_stream, fan_out_stream, aoa_stream, table_roundtrip,
         pair_pilot_drone, message_balance, utm_forward, utm_inverse, kinematics_causal, kinematics_lookahead, start_position,
-        slice_rank, window_features, window_features_lookahead, window_stream_lookahead, sliding_window_counts, similarity_edges, signal_components, cluster_quality,
+        slice_rank, window_features, window_features_lookahead, window_stream_lookahead, expiry_stream, kinematics_gaps, sliding_window_counts, similarity_edges, signal_components, cluster_quality,
         cluster_members, cluster_start, fusion_ids, track_projection, kalman_track, push_payload,
         dwd_pipeline, dwd_pipeline_lookahead, dws_pipeline, dwd_stream, recovery_stream, dws_stream,
     )

@@ -74,8 +74,13 @@ def signal_windows(
 ) -> DataFrame:
     """Stream of detections with kinematics, features and slice rank, given out as their window closes.
 
+    A signal that was silent for more than ``ttl_seconds``, which must not be shorter than a window, is forgotten and starts anew,
+    as with ``gap_seconds`` of ``kinematics.node_features``.
+
     Rows with a ``reason`` are given out at once, with all their fields as JSON text in ``payload``; they are dealt by offset.
     """
+    if ttl_seconds is not None and ttl_seconds < WINDOW_SECONDS:
+        raise ValueError(f"state must be kept {WINDOW_SECONDS} seconds at least")
     fields = [c for c in rows.columns if c != "offset"]
     others = [c for c in fields if c not in (*kinematics.NODE, "reason")]
     reason = F.col("reason") if "reason" in rows.columns else F.lit(None).cast("string")

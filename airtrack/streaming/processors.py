@@ -85,6 +85,9 @@ class SignalWindows(StatefulProcessor):
                 window[second + ahead] = sorted((tuple(r) for r in held[0]), key=lambda r: r[0])
         if second not in window:
             return
+        if self._ttl is not None and self._last.exists() and second - self._last.get()[0] > self._ttl:
+            self._last.clear()  # its timer comes later in the same micro-batch
+            self._start.clear()
         if not self._start.exists():
             _, latitude, longitude, height, *_ = window[second][0]
             self._start.update((latitude, longitude, height))

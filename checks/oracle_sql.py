@@ -71,6 +71,13 @@ LOOKAHEAD = _REAL + """
 kin as (select *, last_value(real_speed) over w as speed, last_value(real_heading) over w as heading from carried
   window w as (partition by signal_id order by "timestamp" range between current row and 3 following))"""
 
+# A signal starts anew after more than six seconds of silence.
+GAPS = CAUSAL.replace("partition by signal_id", "partition by signal_id,flight").replace("from o\n", """from (
+  select *, sum(cut) over (partition by signal_id order by "timestamp","offset") as flight from (
+   select *, case when "timestamp"-lag("timestamp") over (partition by signal_id order by "timestamp","offset")>6 then 1 else 0 end as cut
+   from o))
+""")
+
 LOOKAHEAD_FEATURES = LOOKAHEAD + """,
 feat as (select distinct on (signal_id,"timestamp") signal_id, "timestamp", drone_uuid, batch_num, intrusion_start_time,
   start_latitude, start_longitude, start_height, lat_range, lon_range, time_range, avg_speed, avg_height, rk from (
@@ -165,6 +172,9 @@ _TRACK = """"offset", fusion_id, "timestamp", round(utm_x,3) as utm_x, round(utm
 _LABEL = """cast("timestamp"*1000 as varchar)||'-'||cast(("timestamp"+1)*1000 as varchar)"""
 _KIN = """select "offset", signal_id, "timestamp", round(utm_x,3) as utm_x, round(utm_y,3) as utm_y, round(speed,3) as speed,
  round(heading,2) as heading, start_latitude, start_longitude, start_height from kin"""
+_WINDOWS = """select k."offset" as "offset", k."timestamp" as "timestamp", round(k.speed,3) as speed, round(k.heading,2) as heading,
+ k.start_latitude as start_latitude, cast(k.rk as int) as curr_batch_first, f.time_range as time_range, round(f.avg_speed,3) as avg_speed,
+ round(f.avg_height,6) as avg_height from kin k join feat f on f.signal_id=k.signal_id and f."timestamp"=k."timestamp" """
 _FUSED_OUT = """f."offset" as "offset", f.signal_id as signal_id, f."timestamp" as "timestamp", fusion_id, fusion_start_time,
  fusion_longitude, fusion_latitude, fusion_height, pre_fusion_id"""
 _PIPE = {"base": MESSAGE_DETECTIONS, "speed": "7.5e0"}
@@ -243,12 +253,9 @@ select job, outcome, count(*) as n from m group by all""",
             select="""select signal_id, "timestamp", round(lat_range,9) as lat_range, round(lon_range,9) as lon_range, time_range,
  round(avg_speed,3) as avg_speed, round(avg_height,6) as avg_height from feat""",
         ),
-        "window_stream_lookahead": _chain(
-            UTM, LOOKAHEAD_FEATURES, **_PIPE,
-            select="""select k."offset" as "offset", k."timestamp" as "timestamp", round(k.speed,3) as speed, round(k.heading,2) as heading,
- cast(k.rk as int) as curr_batch_first, f.time_range as time_range, round(f.avg_speed,3) as avg_speed, round(f.avg_height,6) as avg_height
- from kin k join feat f on f.signal_id=k.signal_id and f."timestamp"=k."timestamp" """,
-        ),
+        "window_stream_lookahead": _chain(UTM, LOOKAHEAD_FEATURES, select=_WINDOWS, **_PIPE),
+        "expiry_stream": _chain(UTM, GAPS, select=_WINDOWS, **_PIPE),
+        "kinematics_gaps": _chain(UTM, GAPS, select=_KIN),
         "sliding_window_counts": _chain(
             select="""select drone_uuid, batch_num, "timestamp"-b as window_start, count(*) as "rows"
  from det, (select unnest(range(5)) as b) group by all"""
