@@ -229,6 +229,28 @@ def expiry_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _windows(spark, folder, ttl_seconds=GAP_SECONDS)
 
 
+def late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages that a sensor sends again a minute late, as the stream sets them aside."""
+    place, held = _new_folder(spark), F.col("offset") % 100 == 59
+    found = pin(fixtures.detections(spark, folder))
+    timed = pin(fixtures.jm_messages(found).join(found.select("offset", "timestamp"), "offset"))
+    closing = _jm_steps(spark, folder, f"{place}/closing")[-1]
+    for send in _sent(timed.filter(~held), place, "jm"):
+        send()
+    closing()
+    spark.read.schema("value string, offset bigint").json(f"{place}/closing/jm").repartition(_FILES).write.mode("append").json(f"{place}/jm")
+    source = topics.read_topic(spark, "jm", folder=place, maxFilesPerTrigger=str(_FILES))
+    jobs.configure(spark)
+    late = jobs.late_rows(jobs.signal_windows(pairing.good_rows(pairing.pair_messages(source))))
+    for more in (None, timed.filter(held)):
+        if more is not None:
+            more.select("value", "offset").repartition(_FILES).write.mode("append").json(f"{place}/jm")
+        sink = late.writeStream.format("parquet").option("path", f"{place}/late")
+        topics.start(sink, "late", f"{place}/checkpoints", _ONCE).awaitTermination()
+    rows = spark.read.schema(late.schema).parquet(f"{place}/late")
+    return rows.select("offset", "timestamp", "window_from", "window_to", F.get_json_object("payload", "$.signal_id").alias("signal_id"))
+
+
 def kinematics_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """The batch form of the same cut, over all detections."""
     return _kinematics(spark, folder, kinematics.CAUSAL, GAP_SECONDS)
@@ -405,7 +427,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         jm_decode_route, jm_explode_typed, jm_split_counts, ods_partition_rows, jm_legacy_fallback, aoa_route_fill,
         ods_stream, fan_out_stream, aoa_stream, table_roundtrip,
         pair_pilot_drone, message_balance, utm_forward, utm_inverse, kinematics_causal, kinematics_lookahead, start_position,
-        slice_rank, window_features, window_features_lookahead, window_stream_lookahead, expiry_stream, kinematics_gaps, sliding_window_counts, similarity_edges, signal_components, cluster_quality,
+        slice_rank, window_features, window_features_lookahead, window_stream_lookahead, expiry_stream, kinematics_gaps, late_rows, sliding_window_counts, similarity_edges, signal_components, cluster_quality,
         cluster_members, cluster_start, fusion_ids, track_projection, kalman_track, push_payload,
         dwd_pipeline, dwd_pipeline_lookahead, dws_pipeline, dwd_stream, recovery_stream, dws_stream,
     )

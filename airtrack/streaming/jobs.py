@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
 
 from airtrack.functions import clock
 from airtrack.functions.geo import with_lonlat, with_utm
@@ -15,7 +14,7 @@ from airtrack.plans import pipelines
 from airtrack.settings import COMPANY_ID, SIMILARITY_THRESHOLD, UTM_ZONE, WATERMARK_DELAY_MS, WINDOW_SECONDS
 from airtrack.sources import tables, topics
 from airtrack.streaming import memory
-from airtrack.streaming.processors import FILTER_OUTPUT, WINDOW_OUTPUT, SignalWindows, TargetFilter
+from airtrack.streaming.processors import FILTER_OUTPUT, LATE, WINDOW_OUTPUT, SignalWindows, TargetFilter
 
 STATE_TTL_SECONDS = None  # nothing is forgotten unless a caller asks for it
 
@@ -77,7 +76,9 @@ def signal_windows(
     A signal that was silent for more than ``ttl_seconds``, which must not be shorter than a window, is forgotten and starts anew,
     as with ``gap_seconds`` of ``kinematics.node_features``.
 
-    Rows with a ``reason`` are given out at once, with all their fields as JSON text in ``payload``; they are dealt by offset.
+    Rows with a ``reason`` are given out at once, with all their fields as JSON text in ``payload``; they are dealt by offset.  So
+    are rows that come after their window, with the reason ``late``: the column that carries the watermark ends before the stateful
+    operator, so that Spark drops nothing and the operator sees late rows, too.
     """
     if ttl_seconds is not None and ttl_seconds < WINDOW_SECONDS:
         raise ValueError(f"state must be kept {WINDOW_SECONDS} seconds at least")
@@ -94,6 +95,7 @@ def signal_windows(
     )
     windows = (
         keyed.withWatermark("event_ts", f"{WINDOW_SECONDS * 1000 + WATERMARK_DELAY_MS} milliseconds")
+        .drop("event_ts")
         .groupBy(*kinematics.SIGNAL)
         .transformWithState(SignalWindows(ttl_seconds, mode == kinematics.LOOKAHEAD), WINDOW_OUTPUT, "Append", "EventTime")
     )
@@ -105,6 +107,14 @@ def signal_windows(
     )
 
 
+def late_rows(windows: DataFrame) -> DataFrame:
+    """Rows of :func:`signal_windows` that came after their window, with the first and last start of the windows they missed."""
+    late = windows.filter(F.col("reason") == LATE)
+    return late.select(
+        *kinematics.NODE, "offset", (F.col("timestamp") - WINDOW_SECONDS + 1).alias("window_from"), F.col("timestamp").alias("window_to"), "payload"
+    )
+
+
 def fuse_closed_seconds(rows: DataFrame, memory: DataFrame | None, threshold: float = SIMILARITY_THRESHOLD):
     """Fuse the rows of closed seconds; returns the rows with identities, and the identities."""
     rows = pin(rows.withColumn("signal_id", kinematics.signal_id()))
@@ -139,7 +149,7 @@ def dwd(
     the same micro-batch; the batch operators then fuse it, spread over the cluster.  What signals remember is dealt into
     buckets (:mod:`airtrack.streaming.memory`): a micro-batch reads and writes those of its own signals, and a repeated one
     starts from the same memory and overwrites its own result, so recovery repeats nothing downstream.  Messages that cannot be
-    used go to ``<topic>_bad`` in the same micro-batch, from the same parse.
+    used go to ``<topic>_bad``, and those that come too late to ``<topic>_late``, in the same micro-batch, from the same parse.
     """
     spark = messages.sparkSession
     configure(spark)
@@ -156,8 +166,9 @@ def dwd(
         session = batch.sparkSession
         with scratch(session):
             given = pin(batch)
-            unusable = given.filter(F.col("reason").isNotNull())
-            send(unusable.select(F.col("payload").alias("value"), "offset", F.col("offset").alias("key")), f"{topic}_bad", number)
+            for name, rows_of in ((f"{topic}_late", F.col("reason") == LATE), (f"{topic}_bad", F.col("reason") != LATE)):
+                aside = given.filter(rows_of)
+                send(aside.select(F.col("payload").alias("value"), "offset", F.col("offset").alias("key")), name, number)
             closed = given.filter(F.col("reason").isNull()).drop("reason", "payload")
             versions, buckets = memory.manifest(session, memory_root, number - 1), memory.touched(closed)
             known = memory.read(session, memory_root, versions, buckets)
@@ -204,28 +215,3 @@ def dws(messages: DataFrame, company: int = COMPANY_ID, ttl_seconds: int | None
     configure(messages.sparkSession)
     records = pairing.good_rows(track.parse_fused(messages))
     return filtered_targets(track.project_tracks(records, company), ttl_seconds)
-
-
-class LateRows(StreamingQueryListener):
-    """Rows that queries have dropped because their window had closed, by query name, over the whole run.
-
-    Add it with ``spark.streams.addListener`` before the queries start.
-    """
-
-    def __init__(self):
-        self.dropped: dict[str, int] = {}
-
-    def onQueryStarted(self, event):
-        self.dropped.setdefault(event.name or str(event.id), 0)
-
-    def onQueryProgress(self, event):
-        progress = event.progress
-        name = progress.name or str(progress.id)
-        late = sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
-        self.dropped[name] = self.dropped.get(name, 0) + late
-
-    def onQueryIdle(self, event):
-        pass
-
-    def onQueryTerminated(self, event):
-        pass

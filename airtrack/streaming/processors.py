@@ -29,9 +29,14 @@ def _named(ddl: str) -> Row:
     return Row(*[column.split()[0] for column in ddl.split(", ")])
 
 
-def _unusable(drone_uuid, batch_num, offset, payload, reason) -> Row:
+LATE = "late"
+
+
+def _unusable(drone_uuid, batch_num, timestamp, offset, payload, reason) -> Row:
     names = [column.split()[0] for column in WINDOW_OUTPUT.split(", ")]
-    known = {"drone_uuid": drone_uuid, "batch_num": batch_num, "offset": offset, "payload": payload, "reason": reason}
+    known = {
+        "drone_uuid": drone_uuid, "batch_num": batch_num, "timestamp": timestamp, "offset": offset, "payload": payload, "reason": reason,
+    }
     return Row(*names)(*(known.get(name) for name in names))
 
 
@@ -40,10 +45,10 @@ class SignalWindows(StatefulProcessor):
 
     State: the rows of seconds whose window is open, the last position given out, and the start position.
     The watermark lags by the window length, so the window that starts at a second closes when the watermark
-    passes that second, and a row counts as late only when its own window has closed.  Positions are forgotten
+    passes that second, and a row counts as late only when the watermark has passed it.  Positions are forgotten
     ``ttl_seconds`` of event time after the last row (``None`` keeps them).  With ``lookahead`` a row carries the step of the last
     second before the newest one of its window, as ``kinematics.node_features`` does.  A row with a ``reason`` cannot be used; it
-    is given out at once as it is.
+    is given out at once as it is, and so is a row that comes after its window, with the reason ``late``.
     """
 
     def __init__(self, ttl_seconds: int | None = None, lookahead: bool = False):
@@ -58,9 +63,10 @@ class SignalWindows(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         fresh: dict[int, list[Row]] = {}
+        closed = timerValues.getCurrentWatermarkInMs()
         for row in rows:
-            if row.reason is not None:
-                yield _unusable(*key, row.offset, row.payload, row.reason)
+            if row.reason is not None or row.timestamp * 1000 <= closed:
+                yield _unusable(*key, row.timestamp, row.offset, row.payload, row.reason or LATE)
                 continue
             fresh.setdefault(row.timestamp, []).append(
                 (row.offset, row.latitude, row.longitude, row.height, row.speed, row.utm_x, row.utm_y, row.payload)

@@ -255,6 +255,11 @@ select job, outcome, count(*) as n from m group by all""",
         ),
         "window_stream_lookahead": _chain(UTM, LOOKAHEAD_FEATURES, select=_WINDOWS, **_PIPE),
         "expiry_stream": _chain(UTM, GAPS, select=_WINDOWS, **_PIPE),
+        "late_rows": _chain(
+            base=MESSAGE_DETECTIONS,
+            select="""select "offset", "timestamp", "timestamp"-4 as window_from, "timestamp" as window_to,
+ drone_uuid||'_'||batch_num as signal_id from det where "offset"%100=59""",
+        ),
         "kinematics_gaps": _chain(UTM, GAPS, select=_KIN),
         "sliding_window_counts": _chain(
             select="""select drone_uuid, batch_num, "timestamp"-b as window_start, count(*) as "rows"
