@@ -1,10 +1,12 @@
 """Tables, topics and streams."""
 
+import json
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from airtrack import schemas
 from airtrack.operators import decode, pairing
 from airtrack.plans import pipelines
 from airtrack.sources import tables, topics
@@ -49,6 +51,40 @@ def test_table_streams_equal_batch(spark, messages, tmp_path):
         assert got.count() == rows.count() and got.exceptAll(rows).isEmpty()
 
 
+def test_old_messages_stream_into_their_table(spark, messages, tmp_path):
+    topics.write_topic(messages, "jm", folder=str(tmp_path))
+    places = {name: f"{tmp_path}/{name}" for name in ("ods_jm_drone", "ods_jm_remote", "ods_jm_old")}
+    for query in jobs.ods_jm(topics.read_topic(spark, "jm", folder=str(tmp_path)), places, f"{tmp_path}/cp", ONCE):
+        query.awaitTermination()
+    got = spark.read.schema(tables.TABLES["ods_jm_old"]).parquet(places["ods_jm_old"])
+    want = decode.ods_jm_old(messages)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+
+
+def test_current_database(spark):
+    tables.use(spark, database="elsewhere")
+    try:
+        assert spark.catalog.currentDatabase() == "elsewhere"
+        tables.create_table(spark, "ods_aoa", "elsewhere")
+        assert spark.table("ods_aoa").columns[-2:] == ["dt", "hr"]
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+
+
+def test_time_difference_messages_are_typed(spark, tmp_path):
+    fields = [part.split()[0].strip("`") for part in schemas.TDOA.split(", ")]
+    value = json.dumps({name: 1 for name in fields})
+    spark.createDataFrame([(value, 7), ("no json", 8)], "value string, offset bigint").write.json(f"{tmp_path}/tdoa")
+    rows = topics.read_tdoa(spark, folder=str(tmp_path), streaming=False)
+    assert rows.columns == ["offset", *fields]
+    got = {r.offset: r for r in rows.collect()}
+    assert all(got[7][name] is not None for name in fields) and all(got[8][name] is None for name in fields)
+    stream = topics.read_tdoa(spark, folder=str(tmp_path))
+    sink = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+    topics.start(sink, "tdoa", f"{tmp_path}/cp", ONCE).awaitTermination()
+    assert spark.read.schema(rows.schema).parquet(f"{tmp_path}/out").exceptAll(rows).isEmpty()
+
+
 def test_duplicates_are_dropped(spark, tmp_path):
     frame = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "value string, offset bigint")
     frame.write.json(f"{tmp_path}/t")
