@@ -345,17 +345,21 @@ def _pairs_in_families(several: DataFrame, parts: DataFrame, percent: int) -> tu
     major = F.col("holders") * 2 > F.col("size")
     held = held.select("family", "gram", major.alias("major"), F.when(major, F.col("size") - F.col("holders")).otherwise(F.col("holders")).alias("weight"))
     held = pin(held.filter("major or weight > 1"))
-    centres = held.filter("major").groupBy("family").agg(F.collect_list(F.struct("weight", "gram")).alias("centre"))
+    centres = held.filter("major").groupBy("family").agg(F.collect_list("gram").alias("centre"))
     of = F.struct("weight", "gram")
     split = grams.join(held, ["family", "gram"]).groupBy("id").agg(
-        F.collect_list(F.when(F.col("major"), of)).alias("major"), F.collect_list(F.when(~F.col("major"), of)).alias("minor")
+        F.collect_list(F.when(F.col("major"), F.col("gram"))).alias("major"),
+        F.collect_list(F.when(~F.col("major") & (F.col("weight") > 1), of)).alias("minor"),
     )
-    none = F.array().cast("array<struct<weight:bigint,gram:bigint>>")
-    known = docs.join(split, "id").join(centres, "family", "left").withColumn("centre", F.coalesce("centre", none))
-    lacks = F.array_except("centre", "major")
-    shared = F.sort_array(F.filter(F.concat("minor", lacks), lambda d: d["weight"] > 1))
-    known = known.withColumn("all", F.col("n") + F.size("centre") - 2 * F.size("major")).select(
-        "family", "id", "component", "n", "all", (more * F.col("all") - less * F.col("n")).alias("u"), shared.alias("deviations")
+    split = docs.join(split, "id").join(centres, "family", "left").withColumn("centre", F.coalesce("centre", F.array().cast("array<bigint>")))
+    split = pin(split.withColumn("lacks", F.array_except("centre", "major")).withColumn("all", F.col("n") + F.size("centre") - 2 * F.size("major")).drop("centre", "major"))
+    rare = held.filter("major and weight > 1").select("family", "gram", "weight")
+    lacks = split.select("family", "id", F.explode("lacks").alias("gram")).join(rare, ["family", "gram"]).groupBy("id").agg(
+        F.collect_list(of).alias("lacked")
+    )
+    known = split.drop("lacks").join(lacks, "id", "left").select(
+        "family", "id", "component", "n", "all", (more * F.col("all") - less * F.col("n")).alias("u"),
+        F.sort_array(F.concat("minor", F.coalesce("lacked", F.array().cast("array<struct<weight:bigint,gram:bigint>>")))).alias("deviations"),
     )
     known = pin(known)
     least = known.groupBy("family").agg(F.min(F.struct("u", "id", "component")).alias("z"))
