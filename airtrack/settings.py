@@ -22,4 +22,3 @@ PARTITION_COMMIT_DELAY_SECONDS = 3600
 # Tunables; results do not depend on them.
 TASK_ROWS = 4_000_000  # rows of one key that one task may sort on its own
 GRID_TASK_ROWS = 4_000  # rows of one grid cell that meet in one join key before it is salted
-SMALL_GRAPH_LINKS = 200_000  # links of one second that one task may union on its own

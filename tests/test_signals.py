@@ -63,10 +63,10 @@ def test_similar_pairs(spark, threshold, task_rows):
     assert all(abs(got[k] - want[k]) < 1e-12 for k in got)
 
 
-@pytest.mark.parametrize("threshold, small, comparisons", [(0.8, 10**6, 10**6), (0.8, 0, 0), (0.4, 10**6, 4)])
-def test_clusters(spark, threshold, small, comparisons):
+@pytest.mark.parametrize("threshold, comparisons", [(0.8, 10**6), (0.8, 0), (0.4, 4)])
+def test_clusters(spark, threshold, comparisons):
     frame, rows = random_nodes(spark, 2, spread=3.0)
-    got = {(r.timestamp, r.signal_id): r.cluster for r in components.clustered(frame, threshold, small, comparisons).collect()}
+    got = {(r.timestamp, r.signal_id): r.cluster for r in components.clustered(frame, threshold, comparisons).collect()}
     assert got == brute_clusters(rows, threshold)
 
 
@@ -79,7 +79,7 @@ def test_clusters_at_the_reach(spark):
 
 def test_long_chain_in_a_large_second(spark):
     rows = [(0, f"S{(i * 37) % 300:04d}", 0.0, 0.0, 1, i * 0.2, 10.0) for i in range(300)]
-    got = components.clustered(feature_nodes(spark, rows), small=0).select("cluster").distinct().collect()
+    got = components.clustered(feature_nodes(spark, rows)).select("cluster").distinct().collect()
     assert [r.cluster for r in got] == ["S0000"]
 
 
