@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from airtrack.lineage import pin
 from airtrack.llm.common import in_small_batches, sized
@@ -66,12 +67,17 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 def common_lines(a: list[int], b: list[int], sizes: list[int], least: int) -> list[int]:
     """Places in ``b`` of the aligned blocks that have ``least`` characters or more."""
-    out: list[int] = []
+    return [j for first, last in common_blocks(a, b, sizes, least) for j in range(first, last)]
+
+
+def common_blocks(a: list[int], b: list[int], sizes: list[int], least: int) -> list[tuple[int, int]]:
+    """First and last places (the last one exclusive) in ``b`` of those blocks."""
+    out: list[tuple[int, int]] = []
     block: list[tuple[int, int]] = []
     for pair in [*patience(a, b), (-9, -9)]:
         if block and (pair[0] != block[-1][0] + 1 or pair[1] != block[-1][1] + 1):
             if sum(sizes[j] for _, j in block) >= least:
-                out += [j for _, j in block]
+                out.append((block[0][1], block[-1][1] + 1))
             block = []
         block.append(pair)
     return out
@@ -81,6 +87,15 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
+def _sequences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, hashes, sizes`` of the lines of every document with an id; of rows that share it the one with the least lines counts."""
+    lines = _lines(F.col("text"))
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).filter("id is not null")
+    return rows.select("id", F.transform(lines, lambda x: F.xxhash64(x)).alias("hashes"), F.transform(lines, F.length).alias("sizes")).groupBy(
+        "id"
+    ).agg(F.min(F.struct("hashes", "sizes")).alias("s")).select("id", "s.*")
+
+
 def repeated_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_block_chars: int = MIN_BLOCK_CHARS,
     min_anchor_chars: int = MIN_ANCHOR_CHARS,
@@ -96,12 +111,15 @@ def repeated_lines(
     A null text is empty; empty lines never join documents.  Rows with a null id are left alone, of rows that repeat an id the
     one with the smallest text counts.  An empty table gives an empty result; other columns are ignored.
     """
-    lines = _lines(F.col("text"))
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).filter("id is not null")
-    sequences = pin(
-        rows.select("id", F.transform(lines, lambda x: F.xxhash64(x)).alias("hashes"), F.transform(lines, F.length).alias("sizes"))
-        .groupBy("id").agg(F.min(F.struct("hashes", "sizes")).alias("s")).select("id", "s.*")
+    found = aligned_blocks(pin(_sequences(docs, id_col, text_col)), min_block_chars, min_anchor_chars)
+    place = F.explode(F.sequence("block.start", F.col("block.stop") - 1))
+    return found.select("id", F.explode("blocks").alias("block")).select("id", place.alias("place")).distinct().groupBy("id").agg(
+        F.sort_array(F.collect_list("place")).alias("removed")
     )
+
+
+def aligned_blocks(sequences: DataFrame, min_block_chars: int, min_anchor_chars: int) -> DataFrame:
+    """``id, blocks``: stretches of lines (``start``, ``stop``) that the alignment with an earlier document finds."""
     held = sequences.select("id", F.explode(F.array_distinct(F.transform(
         F.filter(F.arrays_zip("hashes", "sizes"), lambda x: x["sizes"] >= min_anchor_chars), lambda x: x["hashes"]
     ))).alias("line"))
@@ -114,18 +132,18 @@ def repeated_lines(
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, removed = [], []
+            ids, blocks = [], []
             for i, hashes, sizes, before in zip(*(c.to_pylist() for c in batch.columns)):
-                if found := common_lines(before, hashes, sizes, min_block_chars):
+                if found := common_blocks(before, hashes, sizes, min_block_chars):
                     ids.append(i)
-                    removed.append(found)
-            yield pa.record_batch([pa.array(ids, batch.column(0).type), pa.array(removed, pa.list_(pa.int32()))], names=["id", "removed"])
+                    blocks.append([{"start": a, "stop": b} for a, b in found])
+            yield pa.record_batch([pa.array(ids, batch.column(0).type), pa.array(blocks, layout[1].type)], schema=layout)
 
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("removed", T.ArrayType(T.IntegerType()))])
+    block = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())])
+    schema = T.StructType([sequences.schema["id"], T.StructField("blocks", T.ArrayType(block))])
+    layout = to_arrow_schema(schema)
     found = in_small_batches(aligned).mapInArrow(align, schema)
-    return found.select("id", F.explode("removed").alias("place")).distinct().groupBy("id").agg(
-        F.sort_array(F.collect_list("place")).alias("removed")
-    )
+    return found.select("id", F.explode("blocks").alias("block")).groupBy("id").agg(F.collect_set("block").alias("blocks"))
 
 
 def runs(hashes: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
@@ -148,31 +166,35 @@ def runs(hashes: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray,
 
 
 def repeated_blocks(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_block_chars: int = MIN_BLOCK_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_block_chars: int = MIN_BLOCK_CHARS,
+    min_anchor_chars: int = MIN_ANCHOR_CHARS,
 ) -> DataFrame:
     """``id, removed``: places (from 0) of the lines that lie in a block of consecutive lines with ``min_block_chars`` characters
     which any document with a smaller id holds, too.
 
-    The result is that of comparing all pairs, wherever the block is, in whatever order and how often, and however short its
-    lines are.  No pair is formed: the shortest long enough runs of lines meet the smallest id that holds them.  There are two
-    runs per line at most.  Null texts, null and repeated ids are treated as in :func:`repeated_lines`.
+    Documents are aligned as in :func:`repeated_lines` first.  What that leaves is searched exactly: the shortest long enough runs
+    of lines outside of aligned blocks meet the smallest id that holds them, two runs per line at most.  (A run inside of an aligned
+    block is held by the earlier document, so it is nobody's first holder.)  The result is that of comparing all pairs, wherever the
+    block is, in whatever order and how often, and however short its lines are.  Null texts, null and repeated ids are treated as in
+    :func:`repeated_lines`.
     """
-    lines = _lines(F.col("text"))
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).filter("id is not null")
-    sequences = (
-        rows.select("id", F.transform(lines, lambda x: F.xxhash64(x)).alias("hashes"), F.transform(lines, F.length).alias("sizes"))
-        .groupBy("id").agg(F.min(F.struct("hashes", "sizes")).alias("s")).select("id", "s.*")
-    )
+    whole = pin(_sequences(docs, id_col, text_col))
+    aligned = pin(aligned_blocks(whole, min_block_chars, min_anchor_chars))
+    side = sized(aligned.toDF("_id", "blocks"))
+    sequences = whole.join(side, F.col("id") == F.col("_id"), "left").select("id", "hashes", "sizes", "blocks")
     kind = docs.schema[id_col].dataType
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, sizes = (c.values.to_numpy(zero_copy_only=False) for c in batch.columns[1:])
+            hashes, sizes = (c.values.to_numpy(zero_copy_only=False) for c in batch.columns[1:3])
             ends = batch.column(1).offsets.to_numpy()
             ends_sizes = batch.column(2).offsets.to_numpy()
             owners, parts = [], []
             for i in range(len(batch)):
                 found = runs(hashes[ends[i] : ends[i + 1]], sizes[ends_sizes[i] : ends_sizes[i + 1]], min_block_chars)
+                for block in batch.column(3)[i].as_py() or ():
+                    left = (found[0] < block["start"]) | (found[1] > block["stop"])
+                    found = tuple(c[left] for c in found)
                 owners.append(np.full(len(found[0]), i))
                 parts.append(found)
             owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
@@ -202,7 +224,9 @@ def repeated_blocks(
                 removed.append(np.flatnonzero(np.cumsum(depth)).astype(np.int32))
             yield pa.record_batch([batch.column(0), pa.array(removed, pa.list_(pa.int32()))], names=["id", "removed"])
 
-    return in_small_batches(met).mapInArrow(cover, schema(T.StructField("removed", T.ArrayType(T.IntegerType()))))
+    places = aligned.select("id", F.flatten(F.transform("blocks", lambda b: F.sequence(b["start"], b["stop"] - 1))).alias("removed"))
+    rest = in_small_batches(met).mapInArrow(cover, schema(T.StructField("removed", T.ArrayType(T.IntegerType()))))
+    return places.unionByName(rest).groupBy("id").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"))
 
 
 def without_repeats(
@@ -222,7 +246,7 @@ def deduplicated(
 
 def _cut_out(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     side = sized(found.toDF("_id", "_removed"))
-    left = F.filter(_lines(docs[text_col]), lambda x, i: ~F.array_contains("_removed", i))
-    text = F.when(F.col("_removed").isNull(), docs[text_col]).otherwise(F.array_join(left, "\n"))
+    left = F.filter(_lines(docs[text_col]), lambda x, i: ~F.array_contains(side["_removed"], i))
+    text = F.when(side["_removed"].isNull(), docs[text_col]).otherwise(F.array_join(left, "\n"))
     joined = docs.join(side, docs[id_col] == side["_id"], "left")
     return joined.select(*(text.alias(c) if c == text_col else docs[c] for c in docs.columns))
