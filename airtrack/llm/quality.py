@@ -301,4 +301,5 @@ def judged(
 def filtered(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, all columns as they are."""
     kept = judged(docs, labels, id_col, text_col).filter("kept").select("id").distinct()
-    return docs.join(sized(kept.toDF("_kept")), F.col(id_col) == F.col("_kept"), "left_semi")
+    side = sized(kept.toDF("_kept"))
+    return docs.join(side, docs[id_col] == side["_kept"], "left_semi")
