@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,16 +15,17 @@ from pyspark.sql import types as T
 from airtrack.llm.common import in_small_batches, spots, without
 
 UNDETERMINED = "und"
-#: Bounds of the sample: pieces per language, characters per piece, languages.
-PIECES, PIECE_CHARS, MAX_LANGUAGES = 64, 500, 256
+#: Bounds of the sample: documents per language, the length that they should be near to, characters per language after which no
+#: further document is taken, and languages.
+PIECES, PIECE_CHARS, SAMPLE_CHARS, MAX_LANGUAGES = 64, 500, 64_000, 256
 #: Texts are parsed in blocks of so many bytes, so that long texts need no more memory than short ones.
 BLOCK = 1024
 #: Bytes of text that one vectorised pass takes.
 PASS_BYTES = 1_000_000
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NOT_LETTERS = regex.compile(r"\P{L}+")
 #: A character beyond ASCII that is no letter; without one, bytes can be normalised by table.
-_ODD = re.compile(r"[^\x00-\x7f](?<![^\W\d_])")
+_ODD = regex.compile(r"[^\x00-\x7f\p{L}]")
 _SPACED = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
 
@@ -47,27 +48,32 @@ def sample(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", pieces: int = PIECES,
     piece_chars: int = PIECE_CHARS,
 ) -> dict[str, bytes]:
-    """Labelled text per language: the beginnings of at most ``pieces`` documents, ``piece_chars`` characters each.
+    """Labelled text per language: at most ``pieces`` whole documents.
 
-    Of each of ``pieces`` hash buckets of ids the document with the smallest hash is taken, so the sample does not depend
-    on how rows are stored.  Only rows that are not held out, with a label and at least one letter, are learned from.
+    Of each of ``pieces`` hash buckets of ids the document whose length is nearest to ``piece_chars`` is taken (ties: the smallest
+    hash), so the sample does not depend on how rows are stored; none is added to a language that has :data:`SAMPLE_CHARS`
+    already.  Only rows that are not held out, with a label and at least one letter, are learned from.  Of more than
+    :data:`MAX_LANGUAGES` labels those with most such rows are learned.
     """
     spot, bucket = spots(5, pieces, id_col)
     usable = docs.filter(F.col(lang_col).isNotNull() & ~held_out(id_col) & F.col(text_col).rlike(r"\p{L}")).select(
-        F.col(lang_col).alias("lang"), bucket, spot,
-        F.substring(F.col(text_col), 1, piece_chars).alias("piece"),
+        F.col(lang_col).alias("lang"), bucket, spot, F.abs(F.length(text_col) - piece_chars).alias("far"), F.col(text_col).alias("text"),
     )
-    picks = usable.groupBy("lang", "bucket").agg(F.min("spot").alias("spot"))
-    rows = picks.limit(MAX_LANGUAGES * pieces + 1).collect()
-    if len(rows) > MAX_LANGUAGES * pieces:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled")
+    picks = usable.groupBy("lang", "bucket").agg(F.min(F.struct("far", "spot")).alias("pick"), F.count(F.lit(1)).alias("n"))
+    labels = picks.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).select("lang")
+    rows = picks.join(F.broadcast(labels), "lang").select("lang", "bucket", "pick.*").collect()
     if not rows:
         return {}
-    keys = docs.sparkSession.createDataFrame(rows, picks.schema)
-    found = usable.join(F.broadcast(keys), ["lang", "bucket", "spot"]).groupBy("lang", "spot").agg(F.min("piece").alias("piece"))
+    keys, room = [], {}
+    for row in sorted(rows, key=lambda r: (r.lang, r.far, r.spot)):
+        if room.get(row.lang, 0) < SAMPLE_CHARS:
+            keys.append((row.lang, row.bucket, row.far, row.spot))
+            room[row.lang] = room.get(row.lang, 0) + row.far + piece_chars
+    kept = docs.sparkSession.createDataFrame(keys, usable.drop("text").select("lang", "bucket", "far", "spot").schema)
+    found = usable.join(F.broadcast(kept), ["lang", "bucket", "far", "spot"]).groupBy("lang", "spot").agg(F.min("text").alias("text"))
     texts: dict[str, list[bytes]] = {}
     for row in sorted(found.collect()):
-        texts.setdefault(row.lang, []).append(letters(row.piece))
+        texts.setdefault(row.lang, []).append(letters(row.text))
     return {lang: b" ".join(x for x in parts if x) for lang, parts in texts.items() if any(parts)}
 
 

@@ -42,7 +42,7 @@ def test_phrases_equal_longest_matches():
 
 def test_letters():
     assert language.letters("  Ab-C1d“É”x_y  ") == "ab c d é x y".encode()
-    assert language.letters(None) == language.letters("") == language.letters("12 !? 💡") == b""
+    assert language.letters(None) == language.letters("") == language.letters("12 !? 💡") == language.letters("½ ² 123 Ⅷ ①") == b""
 
 
 def test_held_out_accuracy(spark):
