@@ -42,6 +42,8 @@ _TOKEN = re.compile(
     r"|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*>|<[!?/][^>]*>|[^<]+|<",
     re.S | re.I,
 )
+#: A last comment or raw element that goes on to the end of the page.
+_UNENDED = re.compile(rf"<!--(?!.*-->\Z)|<({RAW})\b(?!.*</\1\s*>\Z)", re.S | re.I)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDES = re.compile(r"""\shidden(?=[\s=>/])|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none""", re.I)
@@ -52,7 +54,11 @@ def _marks(tag: str) -> list[str]:
     return [x.lower() for found in _MARKS.findall(tag) for value in found for x in value.split()]
 
 
-def _is_boilerplate(name: str, marks: list[str]) -> bool:
+def _is_boilerplate(name: str, marks: list[str], inside: bool) -> bool:
+    """Whether an element is not part of the text.  The outermost ``article`` or ``main`` always is; one inside of it is not if one of
+    its names begins with a label, as comments do that are articles of their own."""
+    if name in CONTENT:
+        return inside and any(part in LABELS for mark in marks for part in _PART.findall(mark)[:1])
     return name in BOILERPLATE or any(part in LABELS for mark in marks for part in _PART.findall(mark))
 
 
@@ -65,7 +71,9 @@ def tokens(page: str) -> list[tuple[str, str, str, bool, bool]]:
     out: list[tuple[str, str, str, bool, bool]] = []
     open_: list[tuple[str, str, bool, bool, bool]] = [("", "body", False, False, False)]
     depth: Counter[str] = Counter()
-    for m in _TOKEN.finditer(page):
+    piece = ""
+    closed = page.rfind(">") + 1  # no tag ends after it; searching for one from every "<" would take the square of the rest
+    for m in _TOKEN.finditer(page, 0, closed):
         piece = m.group()
         _, place, inside, outside, hidden = open_[-1]
         if piece[0] != "<" or len(piece) == 1:
@@ -85,7 +93,7 @@ def tokens(page: str) -> list[tuple[str, str, str, bool, bool]]:
             out.append((kind, "/" + name, "", *open_[-1][2:4]))
             continue
         marks = _marks(piece)
-        apart = _is_boilerplate(name, marks)
+        apart = _is_boilerplate(name, marks, inside)
         if name not in VOID and not piece.endswith("/>"):
             label = f"{name}.{marks[0]}" if marks else name
             open_.append((
@@ -94,6 +102,8 @@ def tokens(page: str) -> list[tuple[str, str, str, bool, bool]]:
             ))
             depth[name] += 1
         out.append((kind, name, "", inside, outside))
+    if closed < len(page) and not open_[-1][4] and not _UNENDED.match(piece):
+        out.append(("word", open_[-1][1], page[closed:], *open_[-1][2:4]))
     return out
 
 
@@ -145,15 +155,17 @@ def extract(page: str, score: dict[str, float]) -> str:
         if run > best:
             best, best_from, best_to = run, run_from, i + 1
     blocks, now = [], []
-    for kind, _, text, _, outside in found[best_from:best_to]:
+    for kind, feature, text, _, outside in found[best_from:best_to]:
         if kind == "word":
             if not outside:
-                now.append(text)
+                now.append(entities.unescape(text))
+        elif feature == "br":
+            now.append(" ")
         elif kind == "block":
             blocks.append("".join(now))
             now = []
     blocks.append("".join(now))
-    clean = (" ".join(entities.unescape(b).split()) for b in blocks)
+    clean = (" ".join(b.split()) for b in blocks)
     return "\n".join(b for b in clean if b)
 
 
