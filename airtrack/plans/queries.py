@@ -339,7 +339,7 @@ def dwd_pipeline_lookahead(spark: SparkSession, folder: str) -> DataFrame:
     return _dwd_columns(pipelines.dwd(_jm(spark, folder), mode=kinematics.LOOKAHEAD))
 
 
-_SLICES, _FILES = 3, 4
+_SLICES, _FILES = 2, 4
 
 
 def _sent(rows: DataFrame, place: str, topic: str, closing: DataFrame | None = None) -> list[Callable[[], None]]:

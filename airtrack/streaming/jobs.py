@@ -171,14 +171,17 @@ def dwd(
                 send(aside.select(F.col("payload").alias("value"), "offset", F.col("offset").alias("key")), name, number)
             closed = given.filter(F.col("reason").isNull()).drop("reason", "payload")
             versions, buckets = memory.manifest(session, memory_root, number - 1), memory.touched(closed)
-            known = memory.read(session, memory_root, versions, buckets)
-            out, identities = fuse_closed_seconds(closed, known, threshold)
-            key = F.concat_ws("|", "signal_id", "timestamp", "offset").alias("key")
-            fields = [c for c in out.columns if c != "offset"]
-            send(out.select("offset", F.to_json(F.struct(*fields)).alias("value"), key), topic, number)
-            newest = identities.agg(F.max("timestamp")).first()[0]
-            since = None if ttl_seconds is None or newest is None else newest - ttl_seconds
-            memory.write(memory_root, number, versions, buckets, identities, known, since)
+            if buckets:
+                known = memory.read(session, memory_root, versions, buckets)
+                out, identities = fuse_closed_seconds(closed, known, threshold)
+                key = F.concat_ws("|", "signal_id", "timestamp", "offset").alias("key")
+                fields = [c for c in out.columns if c != "offset"]
+                send(out.select("offset", F.to_json(F.struct(*fields)).alias("value"), key), topic, number)
+                newest = identities.agg(F.max("timestamp")).first()[0]
+                since = None if ttl_seconds is None or newest is None else newest - ttl_seconds
+                memory.write(memory_root, number, versions, buckets, identities, known, since)
+            else:  # no second is complete yet
+                memory.keep(session, memory_root, number, versions)
         memory.forget(session, memory_root, number - memory.KEPT)
 
     return topics.start(rows.writeStream.outputMode("append").foreachBatch(fuse), topic, checkpoint_root, trigger)

@@ -51,11 +51,16 @@ def write(
     rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/version={number}")
     held = {r[0] for r in spark.read.parquet(f"{root}/version={number}").select("bucket").distinct().collect()} if buckets else set()
     left = {b: v for b, v in versions.items() if b not in buckets} | {b: number for b in buckets if b in held}
-    listed = spark.createDataFrame(sorted(left.items()), "bucket int, version long")
-    listed.coalesce(1).write.mode("overwrite").json(f"{root}/manifest/{number}")
+    keep(spark, root, number, left)
     return left
 
 
+def keep(spark: SparkSession, root: str, number: int, versions: dict[int, int]) -> None:
+    """Write the manifest of micro-batch ``number``."""
+    listed = spark.createDataFrame(sorted(versions.items()), "bucket int, version long")
+    listed.coalesce(1).write.mode("overwrite").json(f"{root}/manifest/{number}")
+
+
 def forget(spark: SparkSession, root: str, number: int) -> None:
     """Delete the manifest of micro-batch ``number`` and the versions that only it and earlier ones listed."""
     if number < 0:
