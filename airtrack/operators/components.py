@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airtrack.lineage import pin, pin_and_test
 from airtrack.operators.similarity import DIMENSIONS, around, reach, similarity
-from airtrack.settings import GRID_TASK_ROWS, SIMILARITY_THRESHOLD
+from airtrack.settings import GRID_TASK_ROWS, SIMILARITY_THRESHOLD, SMALL_GRAPH_LINKS
 
 _MARGIN = 1e-9  # box distances this close to the reach are left to the exact comparison
 _FINER = 8
@@ -145,17 +146,53 @@ def _refined_links(vectors: DataFrame, undecided: DataFrame, threshold: float) -
     return found.unionByName(exact)
 
 
-def connected(links: DataFrame) -> DataFrame:
+def connected(links: DataFrame, small: int = SMALL_GRAPH_LINKS) -> DataFrame:
     """Label ``(timestamp, cell, label)`` of every linked cell: the smallest cell it is connected to.
 
-    All seconds are solved side by side, every step spread over (second, cell): neighbours' smallest label, then two jumps along
-    labels, until nothing changes.
+    A second with few links is solved by one task; seconds beyond that size go through an iteration whose every
+    step is spread over (second, cell).
     """
-    ways = F.array(
-        F.struct(F.col("left_cell").alias("left_cell"), F.col("right_cell").alias("right_cell")),
-        F.struct(F.col("right_cell").alias("left_cell"), F.col("left_cell").alias("right_cell")),
-    )
-    both = pin(links.select("timestamp", F.explode(ways).alias("way")).select("timestamp", "way.*").distinct())
+    links = links.select("timestamp", "left_cell", "right_cell")
+    sizes = links.groupBy("timestamp").count()
+    large = sizes.filter(F.col("count") > small).select("timestamp")
+    if large.isEmpty():
+        return _label_small(links)
+    few = links.join(large, "timestamp", "left_anti")
+    return _label_small(few).unionByName(_label_large(links.join(large, "timestamp", "left_semi")))
+
+
+def _label_small(links: DataFrame) -> DataFrame:
+    def union_find(second: pd.DataFrame) -> pd.DataFrame:
+        parent: dict[str, str] = {}
+
+        def root(cell: str) -> str:
+            top = cell
+            while parent.setdefault(top, top) != top:
+                top = parent[top]
+            while parent[cell] != top:
+                parent[cell], cell = top, parent[cell]
+            return top
+
+        for a, b in zip(second["left_cell"], second["right_cell"]):
+            a, b = root(a), root(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+        cells = list(parent)
+        return pd.DataFrame({
+            "timestamp": second["timestamp"].iloc[0],
+            "cell": cells,
+            "label": [root(cell) for cell in cells],
+        })
+
+    return links.groupBy("timestamp").applyInPandas(union_find, "timestamp bigint, cell string, label string")
+
+
+def _label_large(links: DataFrame) -> DataFrame:
+    """Neighbours' smallest label, then two jumps along labels, until nothing changes."""
+    both = links.unionByName(
+        links.select("timestamp", F.col("right_cell").alias("left_cell"), F.col("left_cell").alias("right_cell"))
+    ).distinct()
+    both = pin(both)
     labels = pin(
         both.groupBy("timestamp", F.col("left_cell").alias("cell")).agg(
             F.least(F.min("right_cell"), F.col("left_cell")).alias("label")
@@ -190,6 +227,7 @@ def connected(links: DataFrame) -> DataFrame:
 def clustered(
     nodes: DataFrame,
     threshold: float = SIMILARITY_THRESHOLD,
+    small: int = SMALL_GRAPH_LINKS,
     comparisons: int = GRID_TASK_ROWS**2,
 ) -> DataFrame:
     """Add ``cluster``: the smallest ``signal_id`` of the signals connected to a node in its second."""
@@ -211,7 +249,7 @@ def clustered(
     if any_crowded:
         crowded = undecided.filter(F.col("comparisons") > comparisons)
         links = links.unionByName(_refined_links(vectors, crowded, threshold))
-    labels = connected(links)
+    labels = connected(pin(links), small)
     labelled = (
         cells.select("timestamp", "cell", "first")
         .join(labels, ["timestamp", "cell"], "left")
