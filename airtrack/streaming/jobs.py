@@ -14,7 +14,7 @@ from airtrack.plans import pipelines
 from airtrack.settings import COMPANY_ID, SIMILARITY_THRESHOLD, UTM_ZONE, WATERMARK_DELAY_MS, WINDOW_SECONDS
 from airtrack.sources import tables, topics
 from airtrack.streaming import memory
-from airtrack.streaming.processors import FILTER_OUTPUT, LATE, WINDOW_OUTPUT, SignalWindows, TargetFilter
+from airtrack.streaming.processors import BUCKETS, FILTER_OUTPUT, LATE, WINDOW_OUTPUT, SignalWindows, TargetFilter
 
 STATE_TTL_SECONDS = None  # nothing is forgotten unless a caller asks for it
 
@@ -86,9 +86,10 @@ def signal_windows(
     others = [c for c in fields if c not in (*kinematics.NODE, "reason")]
     reason = F.col("reason") if "reason" in rows.columns else F.lit(None).cast("string")
     speed = F.col("speed") if "speed" in rows.columns else F.lit(0.0)
-    bad, spread = reason.isNotNull(), F.concat(F.lit("unusable "), F.pmod("offset", F.lit(1024)).cast("string"))
+    bad, dealt = reason.isNotNull(), F.hash(*kinematics.SIGNAL)
     keyed = with_utm(rows, zone=zone).select(
-        *(F.when(bad, spread).otherwise(F.col(c)).alias(c) for c in kinematics.SIGNAL), "timestamp", "offset",
+        F.pmod(F.when(bad, F.col("offset")).otherwise(dealt), F.lit(BUCKETS)).cast("int").alias("bucket"),
+        *kinematics.SIGNAL, "timestamp", "offset",
         "latitude", "longitude", "height", speed.cast("double").alias("speed"), "utm_x", "utm_y",
         F.to_json(F.struct(*fields)).alias("payload"), reason.alias("reason"),
         F.when(~bad, F.timestamp_seconds("timestamp")).alias("event_ts"),
@@ -96,7 +97,7 @@ def signal_windows(
     windows = (
         keyed.withWatermark("event_ts", f"{WINDOW_SECONDS * 1000 + WATERMARK_DELAY_MS} milliseconds")
         .drop("event_ts")
-        .groupBy(*kinematics.SIGNAL)
+        .groupBy("bucket")
         .transformWithState(SignalWindows(ttl_seconds, mode == kinematics.LOOKAHEAD), WINDOW_OUTPUT, "Append", "EventTime")
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in others)
@@ -191,7 +192,7 @@ def signal_state(spark: SparkSession, checkpoint_root: str, topic: str = "dwd_jm
     """Last position that every signal of a fused stream has given out, read from the stream's checkpoint."""
     configure(spark)
     state = spark.read.format("statestore").option("path", f"{checkpoint_root}/{topic}").option("stateVarName", "last").load()
-    return state.select("key.*", "value.*")
+    return state.select("user_map_key.*", "user_map_value.*")
 
 
 def filtered_targets(tracks: DataFrame, ttl_seconds: int | None = STATE_TTL_SECONDS, zone: int = UTM_ZONE) -> DataFrame:

@@ -11,7 +11,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from airtrack.operators.track import first_state, next_state
 from airtrack.settings import SLIDE_SECONDS, WINDOW_SECONDS
 
-_ROW = "offset bigint, latitude double, longitude double, height double, speed double, x double, y double, payload string"
+BUCKETS = 4096  # groups that the signals of a stream are dealt into
+_SIGNAL = "drone_uuid string, batch_num string"
+_ROW = (
+    f"{_SIGNAL}, second bigint, offset bigint, latitude double, longitude double, height double, speed double, x double, y double, "
+    "payload string"
+)
+_CHUNK = 4096  # rows that one value of its state holds
 
 WINDOW_OUTPUT = (
     "drone_uuid string, batch_num string, timestamp bigint, offset bigint, payload string, "
@@ -30,20 +36,16 @@ def _named(ddl: str) -> Row:
 
 
 LATE = "late"
-
-
-def _unusable(drone_uuid, batch_num, timestamp, offset, payload, reason) -> Row:
-    names = [column.split()[0] for column in WINDOW_OUTPUT.split(", ")]
-    known = {
-        "drone_uuid": drone_uuid, "batch_num": batch_num, "timestamp": timestamp, "offset": offset, "payload": payload, "reason": reason,
-    }
-    return Row(*names)(*(known.get(name) for name in names))
+_WINDOW, _FILTER = _named(WINDOW_OUTPUT), _named(FILTER_OUTPUT)
+_UNKNOWN = (None,) * (len(WINDOW_OUTPUT.split(", ")) - 6)  # between the payload and the reason
 
 
 class SignalWindows(StatefulProcessor):
-    """Five-second windows of one signal, each giving out the rows of its first second when it closes.
+    """Five-second windows of the signals of one bucket, each giving out the rows of its first second when it closes.
 
-    State: the rows of seconds whose window is open, the last position given out, and the start position.
+    State: the rows of seconds whose window is open, and per signal the last position given out with the start position.  What a
+    micro-batch adds is appended as columns, and one timer reads it back and closes all windows that are due.  A call to the state
+    costs as much as many rows, and its number grows with buckets, micro-batches and signals, not with rows.
     The watermark lags by the window length, so the window that starts at a second closes when the watermark
     passes that second, and a row counts as late only when the watermark has passed it.  Positions are forgotten
     ``ttl_seconds`` of event time after the last row (``None`` keeps them).  With ``lookahead`` a row carries the step of the last
@@ -57,83 +59,121 @@ class SignalWindows(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._open = handle.getMapState("open", "second bigint", f"rows array<struct<{_as_struct(_ROW)}>>")
-        self._last = handle.getValueState("last", "timestamp bigint, x double, y double")
-        self._start = handle.getValueState("start", "latitude double, longitude double, height double")
+        self._open = handle.getListState("open", _as_arrays(_ROW))
+        self._last = handle.getMapState(
+            "last", _SIGNAL, "timestamp bigint, x double, y double, start_latitude double, start_longitude double, start_height double"
+        )
+        self._ended = handle.getMapState("ended", "second bigint", _as_arrays(_SIGNAL))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        fresh: dict[int, list[Row]] = {}
-        closed = timerValues.getCurrentWatermarkInMs()
+        closed, fresh, earliest = timerValues.getCurrentWatermarkInMs(), [], None
         for row in rows:
             if row.reason is not None or row.timestamp * 1000 <= closed:
-                yield _unusable(*key, row.timestamp, row.offset, row.payload, row.reason or LATE)
+                yield _WINDOW(
+                    row.drone_uuid, row.batch_num, row.timestamp, row.offset, row.payload, *_UNKNOWN, row.reason or LATE
+                )
                 continue
-            fresh.setdefault(row.timestamp, []).append(
-                (row.offset, row.latitude, row.longitude, row.height, row.speed, row.utm_x, row.utm_y, row.payload)
-            )
-        for second, added in fresh.items():
-            held = self._open.getValue((second,))
-            self._open.updateValue((second,), ([tuple(r) for r in held[0]] + added if held else added,))
-            if not held:
-                self._handle.registerTimer(second * 1000)
+            fresh.append((
+                row.drone_uuid, row.batch_num, row.timestamp, row.offset, row.latitude, row.longitude, row.height, row.speed,
+                row.utm_x, row.utm_y, row.payload,
+            ))
+            earliest = row.timestamp if earliest is None else min(earliest, row.timestamp)
+            if len(fresh) == _CHUNK:
+                self._open.appendValue(_as_columns(fresh))
+                fresh = []
+        if fresh:
+            self._open.appendValue(_as_columns(fresh))
+        if earliest is not None:
+            self._handle.registerTimer(earliest * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        second, forget = divmod(expiredTimerInfo.getExpiryTimeInMs(), 1000)
+        fired, forget = divmod(expiredTimerInfo.getExpiryTimeInMs(), 1000)
         if forget:
-            if self._last.exists() and self._last.get()[0] + self._ttl == second:
-                self._last.clear()
-                self._start.clear()
+            self._forget(fired - self._ttl)
             return
-        window = {}
-        for ahead in range(WINDOW_SECONDS):
-            held = self._open.getValue((second + ahead,))
-            if held:
-                window[second + ahead] = sorted((tuple(r) for r in held[0]), key=lambda r: r[0])
-        if second not in window:
+        watermark = timerValues.getCurrentWatermarkInMs()
+
+        def due(second: int) -> bool:
+            return second <= fired or second * 1000 < watermark
+
+        signals: dict[tuple, list[tuple]] = {}
+        for held in self._open.get():
+            for row in zip(*held):
+                signals.setdefault(row[:2], []).append(row[2:])
+        if not any(due(row[0]) for rows in signals.values() for row in rows):  # an earlier timer of this micro-batch has closed them
             return
-        if self._ttl is not None and self._last.exists() and second - self._last.get()[0] > self._ttl:
-            self._last.clear()  # its timer comes later in the same micro-batch
-            self._start.clear()
-        if not self._start.exists():
-            _, latitude, longitude, height, *_ = window[second][0]
-            self._start.update((latitude, longitude, height))
-        start = tuple(self._start.get())
-        last = tuple(self._last.get()) if self._last.exists() else None
-
-        steps = {}
-        for t in sorted(window):
-            first, final = window[t][0], window[t][-1]
-            if last is None:
-                steps[t] = (first[4] or 0.0, 0.0)
+        still, ended = [], {}
+        for signal, rows in signals.items():
+            window: dict[int, list[tuple]] = {}
+            for row in sorted(rows, key=lambda r: r[:2]):
+                window.setdefault(row[0], []).append(row)
+            closing = [second for second in window if due(second)]
+            still += [(*signal, *row) for t, rows_of in window.items() if not due(t) for row in rows_of]
+            if closing:
+                ended.setdefault(closing[-1], []).append(signal)
+                yield from self._close(signal, window, closing)
+        if still:
+            self._open.put([_as_columns(still[at:at + _CHUNK]) for at in range(0, len(still), _CHUNK)])
+            self._handle.registerTimer(min(row[2] for row in still) * 1000)
+        else:
+            self._open.clear()
+        if self._ttl is not None:
+            for second, names in ended.items():
+                before = self._ended.getValue((second,))
+                self._ended.updateValue((second,), _as_columns(names + (list(zip(*before)) if before else [])))
+                self._handle.registerTimer((second + self._ttl) * 1000 + 1)
+
+    def _forget(self, second: int) -> None:
+        """Forget the signals that have given out nothing since ``second``."""
+        names = self._ended.getValue((second,))
+        for signal in zip(*names) if names else ():
+            last = self._last.getValue(signal)
+            if last is not None and last[0] == second:
+                self._last.removeKey(signal)
+        if names:
+            self._ended.removeKey((second,))
+
+    def _close(self, signal: tuple, window: dict[int, list[tuple]], closing: list[int]) -> Iterator[Row]:
+        """Rows of the ``closing`` seconds of a signal, which are the first ones of its open ``window``."""
+        last, steps, reached, sums = self._last.getValue(signal), {}, {}, {}
+        for t, rows in window.items():
+            first, final = rows[0], rows[-1]
+            if last is None or (self._ttl is not None and t - last[0] > self._ttl):  # its timer comes later in the same micro-batch
+                start, steps[t] = first[2:5], (first[5] or 0.0, 0.0)
             else:
-                dx, dy = first[5] - last[1], first[6] - last[2]
+                dx, dy, start = first[6] - last[1], first[7] - last[2], last[3:]
                 steps[t] = (math.sqrt(dx * dx + dy * dy) / (t - last[0]), math.degrees(math.atan2(dy, dx)) % 360)
-            last = (t, final[5], final[6])
-        if self._lookahead:
-            steps[second] = steps[max(t for t in window if t < second + WINDOW_SECONDS - SLIDE_SECONDS)]
-        rows = [row for t in sorted(window) for row in window[t]]
-        latitudes, longitudes = [r[1] for r in rows], [r[2] for r in rows]
-        features = (
-            max(latitudes) - min(latitudes),
-            max(longitudes) - min(longitudes),
-            max(window) - second,
-            sum(steps[t][0] * len(window[t]) for t in window) / len(rows),
-            sum(r[3] for r in rows) / len(rows),
-        )
-        final = window[second][-1]
-        self._last.update((second, final[5], final[6]))
-        self._open.removeKey((second,))
-        if self._ttl is not None:
-            self._handle.registerTimer((second + self._ttl) * 1000 + 1)
-        for rank, (offset, _, _, _, _, x, y, payload) in enumerate(window[second], start=1):
-            yield _named(WINDOW_OUTPUT)(*key, second, offset, payload, x, y, *steps[second], *start, rank, *features, None)
+            last = reached[t] = (t, *final[6:8], *start)
+            latitudes, longitudes = [r[2] for r in rows], [r[3] for r in rows]
+            sums[t] = (len(rows), min(latitudes), max(latitudes), min(longitudes), max(longitudes), sum(r[4] for r in rows))
+        self._last.updateValue(signal, reached[closing[-1]])
+        for second in closing:
+            seen = [t for t in range(second, second + WINDOW_SECONDS) if t in window]
+            step = steps[second]
+            if self._lookahead:
+                step = steps[max(t for t in seen if t < second + WINDOW_SECONDS - SLIDE_SECONDS)]
+            counts, low_lat, high_lat, low_lon, high_lon, heights = zip(*(sums[t] for t in seen))
+            rows = sum(counts)
+            features = (
+                max(high_lat) - min(low_lat),
+                max(high_lon) - min(low_lon),
+                seen[-1] - second,
+                (step[0] * counts[0] + sum(steps[t][0] * n for t, n in zip(seen[1:], counts[1:]))) / rows,
+                sum(heights) / rows,
+            )
+            for rank, row in enumerate(window[second], start=1):
+                yield _WINDOW(*signal, second, row[1], row[8], *row[6:8], *step, *reached[second][3:], rank, *features, None)
 
     def close(self) -> None:
         pass
 
 
-def _as_struct(ddl: str) -> str:
-    return ddl.replace(" bigint", ":bigint").replace(" double", ":double").replace(" string", ":string").replace(" ", "")
+def _as_arrays(ddl: str) -> str:
+    return ", ".join(f"{name} array<{kind}>" for name, kind in (column.split() for column in ddl.split(", ")))
+
+
+def _as_columns(rows: list[tuple]) -> tuple[list, ...]:
+    return tuple(map(list, zip(*rows)))
 
 
 class TargetFilter(StatefulProcessor):
@@ -154,7 +194,7 @@ class TargetFilter(StatefulProcessor):
         for row in sorted(rows, key=lambda r: (r.timestamp, r.offset)):
             position = (row.timestamp, row.utm_x, row.utm_y)
             state = first_state(*position) if state is None else next_state(state, *position)
-            yield _named(FILTER_OUTPUT)(*key, row.timestamp, row.offset, row.payload, state[1], state[3])
+            yield _FILTER(*key, row.timestamp, row.offset, row.payload, state[1], state[3])
         self._state.update(state)
 
     def close(self) -> None:

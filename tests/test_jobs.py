@@ -230,3 +230,83 @@ def test_partition_numbers_have_room(spark):
     assert [r.offset for r in frame.select(topics._arrival()).collect()] == [5 * 4096 + 7, 6 * 4096 + 4095]
     with pytest.raises(Exception, match="too many partitions"):
         spark.createDataFrame([(5, 4096)], "offset bigint, partition int").select(topics._arrival()).collect()
+
+
+class CountedState:
+    """List, map and timer state of one key, kept in memory, that counts the calls to it."""
+
+    def __init__(self):
+        self.calls, self.timers, self.rows, self.maps = 0, set(), [], {}
+
+    def getListState(self, name, schema):
+        return self
+
+    def getMapState(self, name, key, value):
+        state, held = CountedState(), self.maps.setdefault(name, {})
+        state.getValue = lambda k: self._called(held.get(tuple(k)))
+        state.updateValue = lambda k, v: self._called(held.update({tuple(k): v}))
+        state.removeKey = lambda k: self._called(held.pop(tuple(k), None))
+        return state
+
+    def _called(self, value=None):
+        self.calls += 1
+        return value
+
+    def appendValue(self, value):
+        self._called(self.rows.append(value))
+
+    def put(self, values):
+        self._called(setattr(self, "rows", list(values)))
+
+    def clear(self):
+        self.put([])
+
+    def get(self):
+        return iter(self._called(list(self.rows)))
+
+    def registerTimer(self, moment):
+        self._called(self.timers.add(moment))
+
+
+def _closed(processor, state, parts):
+    """What ``processor`` gives out for micro-batches of ``(watermark, rows)`` of one bucket."""
+    from types import SimpleNamespace
+
+    processor.init(state)
+    out = []
+    for watermark, rows in parts:
+        times = SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark)
+        out += processor.handleInputRows((0,), iter(rows), times)
+        for moment in sorted(t for t in state.timers if t < watermark):
+            out += processor.handleExpiredTimer((0,), times, SimpleNamespace(getExpiryTimeInMs=lambda: moment))
+            state.timers.discard(moment)
+    return out
+
+
+@pytest.mark.parametrize("ttl", [None, 6])
+def test_state_calls_grow_with_signals_not_with_rows(ttl):
+    from types import SimpleNamespace
+
+    from airtrack.streaming.processors import SignalWindows
+
+    def row(signal, second):
+        return SimpleNamespace(
+            drone_uuid=f"U{signal}", batch_num="B", timestamp=second, offset=second * 100 + signal, latitude=1.0, longitude=2.0,
+            height=3.0 + second, speed=None, utm_x=float(second), utm_y=0.0, payload="{}", reason=None,
+        )
+
+    seconds = [*range(100, 140), *range(160, 200)]
+    state = CountedState()
+    first = [row(s, t) for s in range(20) for t in seconds if t < 130]
+    rest = [row(s, t) for s in range(20) for t in seconds if t >= 130]
+    out = _closed(SignalWindows(ttl), state, [(-1, first), (124_950, rest), (999_950, [row(0, 150)]), (9_999_950, [])])
+    late = [r for r in out if r.reason]
+    assert [(r.drone_uuid, r.timestamp, r.reason) for r in late] == [("U0", 150, "late")]
+    given = {(r.drone_uuid, r.timestamp): r for r in out if not r.reason}
+    assert len(given) == len(out) - 1 == 20 * len(seconds)
+    assert given["U3", 100].speed == 0 and given["U3", 131].speed == 1 and given["U3", 130].avg_height == 3 + 132
+    anew = given["U7", 160]
+    assert (anew.speed, anew.start_height) == ((21 / 21, 103) if ttl is None else (0, 163))
+    assert (len(state.maps["last"]) == 0) == (ttl is not None)
+    assert state.rows == [] and not state.timers
+    assert state.calls < 0.2 * len(given)  # one call per row and second made 15
