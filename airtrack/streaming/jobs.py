@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,21 @@ def configure(spark: SparkSession) -> None:
     )
 
 
+@contextlib.contextmanager
+def adaptive(session: SparkSession, like: SparkSession) -> Iterator[None]:
+    """Plan the batch steps of a micro-batch as adaptively as the session ``like`` does.
+
+    Spark turns that off for a stream with state, whose partitions must not change; the stream has it off again afterwards.
+    """
+    name = "spark.sql.adaptive.enabled"
+    before = session.conf.get(name)
+    session.conf.set(name, like.conf.get(name))
+    try:
+        yield
+    finally:
+        session.conf.set(name, before)
+
+
 def ods_jm(messages: DataFrame, locations: dict[str, str], checkpoint_root: str, trigger: dict | None = None) -> list:
     """Streaming inserts from one message stream: drones, remotes, and old messages when they have a location."""
     drones, remotes = pipelines.ods_jm(messages)
@@ -165,7 +183,7 @@ def dwd(
 
     def fuse(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        with scratch(session):
+        with scratch(session), adaptive(session, spark):
             given = pin(batch)
             for name, rows_of in ((f"{topic}_late", F.col("reason") == LATE), (f"{topic}_bad", F.col("reason") != LATE)):
                 aside = given.filter(rows_of)

@@ -310,3 +310,20 @@ def test_state_calls_grow_with_signals_not_with_rows(ttl):
     assert (len(state.maps["last"]) == 0) == (ttl is not None)
     assert state.rows == [] and not state.timers
     assert state.calls < 0.2 * len(given)  # one call per row and second made 15
+
+
+def test_closed_seconds_are_fused_adaptively(spark, messages, tmp_path, monkeypatch):
+    """The fixed number of partitions of a stream with state is not forced on the batch steps of its micro-batches."""
+    messages.select("value", "offset").repartition(2, "offset").write.json(f"{tmp_path}/jm")
+    stream, seen = topics.read_topic(spark, "jm", folder=str(tmp_path), maxFilesPerTrigger="1"), []
+
+    def fused(rows, *rest):
+        seen.append(rows.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        return real(rows, *rest)
+
+    real = jobs.fuse_closed_seconds
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "fuse_closed_seconds", fused)
+        jobs.dwd(stream, str(tmp_path), f"{tmp_path}/cp", trigger=ONCE).awaitTermination()
+    assert seen and set(seen) == {"true"}
+    assert jobs.signal_state(spark, f"{tmp_path}/cp").count() > 0
