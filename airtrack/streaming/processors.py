@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
 import math
+import pickle
+import tempfile
 from collections.abc import Iterator
 
 from pyspark.sql import Row
@@ -176,8 +179,42 @@ def _as_columns(rows: list[tuple]) -> tuple[list, ...]:
     return tuple(map(list, zip(*rows)))
 
 
+SORTED_ROWS = 20_000  # rows of a target that are sorted in memory
+
+
+def _in_order(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """Rows by their first two fields; of more than :data:`SORTED_ROWS`, sorted runs wait in temporary files."""
+    def by(row: tuple) -> tuple:
+        return row[:2]
+
+    def waiting(held: list[tuple]) -> Iterator[tuple]:
+        with tempfile.TemporaryFile() as file:
+            for at in range(0, len(held), 64):
+                pickle.dump(held[at:at + 64], file)
+            held.clear()
+            file.seek(0)
+            yield None  # everything is in the file
+            while True:
+                try:
+                    yield from pickle.load(file)
+                except EOFError:
+                    return
+
+    runs, held = [], []
+    for row in rows:
+        held.append(row)
+        if len(held) == SORTED_ROWS:
+            runs.append(waiting(sorted(held, key=by)))
+            next(runs[-1])
+            held = []
+    return heapq.merge(*runs, sorted(held, key=by), key=by)
+
+
 class TargetFilter(StatefulProcessor):
-    """Kalman state of one fused target; rows of a micro-batch are filtered in time and arrival order."""
+    """Kalman state of one fused target; rows of a micro-batch are filtered in time and arrival order.
+
+    A target may hold much of a micro-batch, so its rows are sorted outside of memory beyond a size.
+    """
 
     def __init__(self, ttl_ms: int | None = None):
         self._ttl = ttl_ms
@@ -191,10 +228,10 @@ class TargetFilter(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = tuple(self._state.get()) if self._state.exists() else None
-        for row in sorted(rows, key=lambda r: (r.timestamp, r.offset)):
-            position = (row.timestamp, row.utm_x, row.utm_y)
-            state = first_state(*position) if state is None else next_state(state, *position)
-            yield _FILTER(*key, row.timestamp, row.offset, row.payload, state[1], state[3])
+        fields = ((row.timestamp, row.offset, row.utm_x, row.utm_y, row.payload) for row in rows)
+        for timestamp, offset, x, y, payload in _in_order(fields):
+            state = first_state(timestamp, x, y) if state is None else next_state(state, timestamp, x, y)
+            yield _FILTER(*key, timestamp, offset, payload, state[1], state[3])
         self._state.update(state)
 
     def close(self) -> None:

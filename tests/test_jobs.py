@@ -327,3 +327,27 @@ def test_closed_seconds_are_fused_adaptively(spark, messages, tmp_path, monkeypa
         jobs.dwd(stream, str(tmp_path), f"{tmp_path}/cp", trigger=ONCE).awaitTermination()
     assert seen and set(seen) == {"true"}
     assert jobs.signal_state(spark, f"{tmp_path}/cp").count() > 0
+
+
+def test_memory_of_a_target_is_bounded():
+    """A target with all rows of a micro-batch is filtered in order without holding them."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    from airtrack.streaming.processors import TargetFilter
+
+    n = 60_000
+    order = [(i * 7919) % n for i in range(n)]
+    rows = (
+        SimpleNamespace(timestamp=i // 3, offset=i, utm_x=float(i), utm_y=2.0, payload=f"{i:01000d}") for i in order
+    )
+    state = SimpleNamespace(exists=lambda: False, update=lambda value: None)
+    one = TargetFilter()
+    one.init(SimpleNamespace(getValueState=lambda *args: state))
+    tracemalloc.start()
+    try:
+        for i, row in enumerate(one.handleInputRows(("f",), rows, None)):
+            assert (row.timestamp, row.offset, int(row.payload)) == (i // 3, i, i)
+        assert i == n - 1 and tracemalloc.get_traced_memory()[1] < 45_000_000
+    finally:
+        tracemalloc.stop()
