@@ -108,6 +108,9 @@ def to_text(records: DataFrame) -> DataFrame:
 
 
 def dws(messages: DataFrame, company: int = COMPANY_ID, zone: int = UTM_ZONE) -> DataFrame:
-    """Fused records (JSON text) to filtered tracks."""
+    """Fused records (JSON text) to filtered tracks; the text is parsed once, into a written table.
+
+    The range partitioning of the filter reads its input twice, for its bounds and for the rows.
+    """
     records = pairing.good_rows(track.parse_fused(messages))
-    return track.kalman(track.project_tracks(records, company), zone=zone)
+    return track.kalman(pin(track.project_tracks(records, company)), zone=zone)

@@ -152,6 +152,14 @@ def test_text_is_parsed_once(messages):
     assert plan.count("from_json(StructField(station_id") == 1
 
 
+def test_filter_reads_parsed_records(spark, monkeypatch):
+    """Range partitioning reads the input of the filter twice; the text must not be parsed twice for that."""
+    seen = []
+    monkeypatch.setattr(track, "kalman", lambda rows, zone: seen.append(rows) or rows)
+    pipelines.dws(spark.createDataFrame([("{}", 1)], "value string, offset bigint"))
+    assert "from_json" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_aoa_fixture_has_all_kinds(found):
     routed = decode.route_aoa(fixtures.aoa_messages(found))
     assert routed.groupBy("route").count().count() == 2
