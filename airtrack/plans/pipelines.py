@@ -11,8 +11,9 @@ from airtrack.settings import COMPANY_ID, SIMILARITY_THRESHOLD, UTM_ZONE
 
 
 def ods_jm(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Drone rows and remote rows."""
-    return decode.split_by_type(decode.ods_jm(messages))
+    """Drone rows and remote rows.  A table of messages is parsed once, into a written table that both read."""
+    rows = decode.ods_jm(messages)
+    return decode.split_by_type(rows if messages.isStreaming else pin(rows))
 
 
 def ods_jm_parts(messages: DataFrame) -> dict[str, DataFrame]:

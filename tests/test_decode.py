@@ -152,6 +152,11 @@ def test_text_is_parsed_once(messages):
     assert plan.count("from_json(StructField(station_id") == 1
 
 
+def test_both_tables_read_what_was_parsed(messages):
+    for rows in pipelines.ods_jm(messages):
+        assert "from_json" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_filter_reads_parsed_records(spark, monkeypatch):
     """Range partitioning reads the input of the filter twice; the text must not be parsed twice for that."""
     seen = []
