@@ -25,37 +25,40 @@ def route_jm(messages: DataFrame) -> DataFrame:
     )
 
 
-def explode_jm(routed: DataFrame) -> DataFrame:
+def explode_jm(routed: DataFrame, with_old: bool = False) -> DataFrame:
     """One typed row per element of ``drone``; ``reason`` is set when the element is no object or a field is missing.
 
     A field is missing when its key is; an explicit null reads as 0 or as the text ``null``.  Only ``new`` messages
     have a ``drone`` array, so the outer explode followed by the null filter selects exactly that route while the
     message is parsed once (a filter on ``route`` would be pushed down and parse again).  Elements are parsed one by
-    one: a bad one is one row with a reason and the others of its message stay.
+    one: a bad one is one row with a reason and the others of its message stay.  ``with_old`` keeps the other messages, too: one
+    row each, with its text in ``old`` and no further field.
     """
     carried = [c for c in routed.columns if c not in ("value", "inner", "route")]
+    old = ["value"] if with_old else []
     wrapped = F.transform("_m.drone", lambda e: F.struct(e.alias("text"), F.lit(False).alias("empty")))
     none = F.array(F.struct(F.lit(None).cast("string").alias("text"), F.lit(True).alias("empty")))  # one row, with a reason
     each = F.when(F.size("_m.drone") == 0, none).otherwise(wrapped)
     elements = (
-        routed.select(*carried, F.from_json("inner", schemas.JM_MESSAGE).alias("_m"), F.json_object_keys("inner").alias("_keys"))
-        .select(*carried, "_keys", F.col("_m.station_id").alias("_station"), F.explode_outer(each).alias("_e"))
-        .filter(F.col("_e").isNotNull())
+        routed.select(*carried, *old, F.from_json("inner", schemas.JM_MESSAGE).alias("_m"), F.json_object_keys("inner").alias("_keys"))
+        .select(*carried, *old, "_keys", F.col("_m.station_id").alias("_station"), F.explode_outer(each).alias("_e"))
+        .filter(F.lit(with_old) | F.col("_e").isNotNull())
         .select(
-            *carried, text.present(F.col("_station"), F.col("_keys"), "station_id").alias("station_id"),
+            *carried, *(F.when(F.col("_e").isNull(), F.col(c)).alias("old") for c in old), text.present(F.col("_station"), F.col("_keys"), "station_id").alias("station_id"),
             F.from_json("_e.text", schemas.JM_ELEMENT).alias("_o"), F.json_object_keys("_e.text").alias("_k"),
             F.col("_e.empty").alias("_empty"),
         )
     )
     fields = {name: text.present(F.col("_o")[name], F.col("_k"), name) for name, _ in schemas.JM_DRONE_FIELDS}
+    kept = [*carried, *("old" for _ in old)]
     read = text.computed_once(
-        elements.select(*carried, "station_id", "_empty", F.col("_k").isNull().alias("_none"), *(f.alias(n) for n, f in fields.items()))
+        elements.select(*kept, "station_id", "_empty", F.col("_k").isNull().alias("_none"), *(f.alias(n) for n, f in fields.items()))
     )
     missing = F.col("station_id").isNull()
     for name in fields:
         missing = missing | F.col(name).isNull()
-    return read.select(
-        *carried,
+    typed = read.select(
+        *kept,
         *[text.cast_lenient(F.col(name), kind).alias(name) for name, kind in schemas.JM_DRONE_FIELDS],
         "station_id",
         F.when(F.col("_empty"), F.lit("no elements"))
@@ -64,17 +67,18 @@ def explode_jm(routed: DataFrame) -> DataFrame:
         .when(clock.after_separator(F.col("batch_num")).isNull(), F.lit("no separator in batch_num"))
         .alias("reason"),
     )
+    if not with_old:
+        return typed
+    return typed.select(*carried, *(F.when(F.col("old").isNull(), F.col(c)).alias(c) for c in typed.columns if c not in kept), "old")
 
 
 def parse_jm(messages: DataFrame) -> DataFrame:
     """All that the messages become, in one table: the columns of :func:`explode_jm` and ``old``, the text of an old message.
 
     Every message has a row; a reader picks its rows by ``reason`` and ``old``, so one written copy serves any number of tables.
+    The text is parsed once: an old message is what has no ``drone`` array to explode.
     """
-    routed = text.computed_once(route_jm(messages))
-    carried = [c for c in routed.columns if c not in ("value", "inner", "route")]
-    old = routed.filter(F.col("route") == OLD).select(*carried, F.col("value").alias("old"))
-    return explode_jm(routed).unionByName(old, allowMissingColumns=True)
+    return explode_jm(route_jm(messages), with_old=True)
 
 
 def with_ods_time(rows: DataFrame) -> DataFrame:

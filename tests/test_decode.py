@@ -152,6 +152,17 @@ def test_text_is_parsed_once(messages):
     assert plan.count("from_json(StructField(station_id") == 1
 
 
+def test_tables_of_all_messages_share_one_parse(messages):
+    plan = decode.parse_jm(messages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField(station_id") == 1
+
+
+def test_a_message_without_text_is_quarantined(spark):
+    parts = pipelines.ods_jm_parts(spark.createDataFrame([(None, 1)], "value string, offset bigint"))
+    assert parts["drones"].count() == parts["remotes"].count() == parts["old"].count() == 0
+    assert parts["quarantined"].count() == 1
+
+
 def test_both_tables_read_what_was_parsed(messages):
     for rows in pipelines.ods_jm(messages):
         assert "from_json" not in rows._jdf.queryExecution().optimizedPlan().toString()
