@@ -2,8 +2,8 @@
 
 The graph is never listed pair by pair.  Distinct feature vectors fall into grid cells so small that all members
 of a cell are similar to each other; only cells are compared.  Two cells are linked, or ruled out, by the bounding
-boxes of their members; the few undecided pairs of cells are compared on a finer grid, and what is still undecided
-there on the vectors themselves.  The result equals that of comparing all pairs.
+boxes of their members, or linked by the outermost members of both; the few undecided pairs of cells are compared on a
+finer grid, and what is still undecided there on the vectors themselves.  The result equals that of comparing all pairs.
 """
 
 from __future__ import annotations
@@ -38,6 +38,13 @@ def _box() -> list[Column]:
     return out
 
 
+def _outermost() -> Column:
+    """The members of a cell that touch its bounding box."""
+    vector = F.struct(*DIMENSIONS)
+    ends = [end(vector, F.struct(name, vector)) for name in DIMENSIONS for end in (F.min_by, F.max_by)]
+    return F.array_distinct(F.array(*ends)).alias("outermost")
+
+
 def _box_distances(left: str, right: str) -> tuple[Column, Column]:
     """Smallest and largest distance two members of the boxes can have."""
     near, far = F.lit(0.0), F.lit(0.0)
@@ -54,7 +61,7 @@ def _neighbour_cells(cells: DataFrame, threshold: float) -> DataFrame:
     """Pairs of cells that may hold similar signals, with ``sure`` set where they certainly do."""
     width, side = reach(threshold), _cell_side(threshold)
     steps = math.ceil(width / side)  # similar signals are at most this many cells apart
-    coarse = cells.withColumns({
+    coarse = cells.drop("outermost").withColumns({
         "_tr": F.col("lo_time_range") if width <= 1 else F.lit(0),
         "_sp": F.floor(F.floor(F.col("lo_avg_speed") / side) / steps),
         "_h": F.floor(F.floor(F.col("lo_avg_height") / side) / steps),
@@ -84,6 +91,19 @@ def _neighbour_cells(cells: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def _touching(cells: DataFrame, neighbours: DataFrame, threshold: float) -> DataFrame:
+    """``neighbours`` with ``sure`` set also where two outermost members are similar.
+
+    Cells that box distances leave open mostly are linked, and a few of their members show it; what is left to the comparison of all
+    members is the rim of a cluster, not its inside.
+    """
+    a = cells.select("timestamp", F.col("cell").alias("left_cell"), F.col("outermost").alias("_a"))
+    b = cells.select("timestamp", F.col("cell").alias("right_cell"), F.col("outermost").alias("_b"))
+    similar = F.exists("_a", lambda x: F.exists("_b", lambda y: similarity(x, y) > threshold))
+    opened = neighbours.filter(~F.col("sure")).join(a, ["timestamp", "left_cell"]).join(b, ["timestamp", "right_cell"])
+    return neighbours.filter("sure").unionByName(opened.select(*_PAIR, "comparisons", similar.alias("sure")))
+
+
 def _compared_links(vectors: DataFrame, undecided: DataFrame, threshold: float) -> DataFrame:
     """The undecided pairs that hold a similar pair of signals, by comparing their vectors (few per pair)."""
     a = vectors.select("timestamp", F.col("cell").alias("left_cell"), F.struct(*DIMENSIONS).alias("a"))
@@ -232,15 +252,15 @@ def clustered(
 ) -> DataFrame:
     """Add ``cluster``: the smallest ``signal_id`` of the signals connected to a node in its second."""
     placed = nodes.withColumn("cell", _cell(_cell_side(threshold)))
-    vectors = placed.groupBy("timestamp", "cell", *DIMENSIONS).agg(F.min("signal_id").alias("first"))
+    vectors = pin(placed.groupBy("timestamp", "cell", *DIMENSIONS).agg(F.min("signal_id").alias("first")))
     cells = pin(
         vectors.groupBy("timestamp", "cell").agg(
-            F.count(F.lit(1)).alias("vectors"), F.min("first").alias("first"), *_box()
+            F.count(F.lit(1)).alias("vectors"), F.min("first").alias("first"), _outermost(), *_box()
         )
     )
     vectors = vectors.drop("first")
     neighbours, any_crowded = pin_and_test(
-        _neighbour_cells(cells, threshold), ~F.col("sure") & (F.col("comparisons") > comparisons)
+        _touching(cells, pin(_neighbour_cells(cells, threshold)), threshold), ~F.col("sure") & (F.col("comparisons") > comparisons)
     )
     undecided = neighbours.filter(~F.col("sure"))
     links = neighbours.filter("sure").select(*_PAIR).unionByName(

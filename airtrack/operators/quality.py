@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from airtrack.lineage import pin
 from airtrack.operators.similarity import DIMENSIONS
 
 _KEYS = ["timestamp", "cluster", "_low", "_high"]
@@ -17,11 +18,11 @@ _KEYS = ["timestamp", "cluster", "_low", "_high"]
 def cluster_quality(members: DataFrame, block_vectors: int = 2000) -> DataFrame:
     """``(timestamp, clusters, quality)``: mean over clusters of the mean similarity of all member pairs.
 
-    Equal feature vectors are counted once with their multiplicity.  The vectors of a large cluster are dealt to
-    blocks; a task sums the similarities of one pair of blocks as a matrix, so no pair is ever a row and no task
-    holds more than two blocks.
+    Equal feature vectors are counted once with their multiplicity and written, because sizes and blocks read them.
+    The vectors of a large cluster are dealt to blocks; a task sums the similarities of one pair of blocks as a
+    matrix, so no pair is ever a row and no task holds more than two blocks.
     """
-    vectors = members.groupBy("timestamp", "cluster", *DIMENSIONS).agg(F.count(F.lit(1)).alias("_copies"))
+    vectors = pin(members.groupBy("timestamp", "cluster", *DIMENSIONS).agg(F.count(F.lit(1)).alias("_copies")))
     sizes = vectors.groupBy("timestamp", "cluster").agg(
         F.count(F.lit(1)).alias("_vectors"), F.sum("_copies").alias("_members")
     )
@@ -62,8 +63,11 @@ def _sum_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def total(a, b, ca, cb):
             out = 0.0
             for start in range(0, len(a), 256):
-                gap = a[start:start + 256, None, :] - b[None, :, :]
-                out += ca[start:start + 256] @ (1.0 / (1.0 + np.sqrt((gap * gap).sum(axis=2)))) @ cb
+                square = 0.0
+                for x, y in zip(a[start:start + 256].T, b.T):
+                    gap = np.subtract.outer(x, y)
+                    square = square + np.multiply(gap, gap, out=gap)
+                out += ca[start:start + 256] @ (1.0 / (1.0 + np.sqrt(square))) @ cb
             return out
 
         all_pairs = total(points[left], points[right], copies[left], copies[right])

@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +79,16 @@ def test_clusters_at_the_reach(spark):
     assert got == {k[1]: v for k, v in brute_clusters(rows, 0.8).items()}
 
 
+def test_linked_cells_are_not_compared_member_by_member(spark, monkeypatch):
+    """Two crowded cells that box distances leave open, but whose outermost members are similar; a third one out of reach of them."""
+    rows = [(0, f"S{i:03d}", 0.0, 0.0, 1, 10.0 + i % 100 * 0.001 + (0.23, 0.0, 0.65)[i // 100], 10.0) for i in range(300)]
+    seen, compare = [], components._compared_links
+    monkeypatch.setattr(components, "_compared_links", lambda vectors, undecided, threshold: seen.append(undecided) or compare(vectors, undecided, threshold))
+    got = {(r.timestamp, r.signal_id): r.cluster for r in components.clustered(feature_nodes(spark, rows)).collect()}
+    assert got == brute_clusters(rows, 0.8)
+    assert (seen[0].agg(F.sum("comparisons")).first()[0] or 0) == 0
+
+
 def test_long_chain_in_a_large_second(spark):
     rows = [(0, f"S{(i * 37) % 300:04d}", 0.0, 0.0, 1, i * 0.2, 10.0) for i in range(300)]
     got = components.clustered(feature_nodes(spark, rows), small=0).select("cluster").distinct().collect()
@@ -246,6 +258,19 @@ def test_cluster_quality_in_blocks(spark, clusters):
     assert a.keys() == b.keys() and all(a[k][0] == b[k][0] and abs(a[k][1] - b[k][1]) < 1e-9 for k in a)
 
 
+def test_memory_of_a_pair_of_blocks():
+    draw = np.random.default_rng(5)
+    block = pd.DataFrame(draw.random((2000, 5)), columns=list(similarity.DIMENSIONS))
+    block = block.assign(timestamp=0, cluster="S", _own=0, _low=0, _high=0, _copies=1)
+    tracemalloc.start()
+    weight = next(iter(w for w in quality._sum_blocks(iter([block])) if len(w)))["_weight"].iloc[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    points = block[list(similarity.DIMENSIONS)].to_numpy()
+    want = sum((1 / (1 + np.sqrt(((points[i] - points[i + 1:]) ** 2).sum(axis=1)))).sum() for i in range(len(points)))
+    assert abs(weight - want) < 1e-6 and peak < 25e6
+
+
 def test_members_are_counted_from_zero(clusters):
     rows = fusion.cluster_members(clusters).groupBy("timestamp").agg(
         F.min("cluster_index").alias("low"), F.max("cluster_index").alias("high"), F.countDistinct("cluster_index").alias("n")
