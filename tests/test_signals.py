@@ -65,6 +65,29 @@ def test_similar_pairs(spark, threshold, task_rows):
     assert all(abs(got[k] - want[k]) < 1e-12 for k in got)
 
 
+@pytest.mark.parametrize("task_rows", [4000, 40, 3])
+def test_similar_pairs_of_copies(spark, task_rows):
+    """Copies of a vector are compared as one, whatever their number; cells are crowded on both sides."""
+    draw = random.Random(5)
+    vectors = [(draw.random() * 1e-3, 0.0, draw.randint(0, 1), round(draw.random(), 2), round(draw.random(), 2)) for _ in range(12)]
+    rows = [(t, f"S{(i * 37) % 120:04d}", *draw.choice(vectors)) for t in range(2) for i in range(120)]
+    frame = feature_nodes(spark, rows)
+    pairs = similarity.similar_pairs(frame, 0.8, task_rows, digits=4).collect()
+    want = brute_pairs(rows, 0.8)
+    assert sorted((r.timestamp, r.left_signal, r.right_signal) for r in pairs) == sorted(want)
+    assert all(abs(r.similarity - want[(r.timestamp, r.left_signal, r.right_signal)]) <= 0.5e-4 + 1e-12 for r in pairs)
+    assert similarity._classes(frame, 10**6).count() == len({(r[0], *r[2:]) for r in rows})
+    held = similarity._classes(frame, 5).select(F.size("signals").alias("n"), "signals")
+    assert held.agg(F.max("n")).first()[0] <= 12 and held.agg(F.sum("n")).first()[0] == len(rows)
+
+
+def test_similarity_is_rounded_as_spark_rounds(spark):
+    values = spark.range(200_000).select((0.8 + F.rand(3) / 5).alias("v")).unionByName(
+        spark.range(8000, 10001).select(F.explode(F.array(*[(F.col("id") / 1e4 + k).alias("v") for k in (0, 5e-5, 5e-5 + 1e-12, 5e-5 - 1e-12, 1e-17)])).alias("v"))
+    )
+    assert values.filter(similarity.rounded(F.col("v"), 4) != F.round("v", 4)).isEmpty()
+
+
 @pytest.mark.parametrize("threshold, small, comparisons", [(0.8, 10**6, 10**6), (0.8, 0, 0), (0.4, 10**6, 4)])
 def test_clusters(spark, threshold, small, comparisons):
     frame, rows = random_nodes(spark, 2, spread=3.0)
