@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import time
 import urllib.parse
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtrack import schemas
 from airtrack.sources.topics import start
-from airtrack.settings import PARTITION_COMMIT_DELAY_SECONDS
+from airtrack.settings import OPEN_FILES, PARTITION_COMMIT_DELAY_SECONDS
 
 TABLES = {
     "ods_jm_drone": schemas.ODS_JM_COLUMNS,
@@ -38,11 +40,31 @@ def create_table(spark: SparkSession, name: str, database: str = "ods", location
     return f"{database}.{name}"
 
 
+@contextlib.contextmanager
+def open_files(spark: SparkSession) -> Iterator[None]:
+    """Let a task write several partition values side by side; a session that has set a number of its own keeps it.
+
+    Spark sorts all rows of a task by partition value before it writes them otherwise, and a task that holds much of a large
+    hour keeps them in memory for that.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    if int(before) > 0:
+        yield
+        return
+    spark.conf.set(name, OPEN_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def insert(rows: DataFrame, table: str) -> None:
     """Append to a partitioned table.  The rebalance step gives each partition value few, evenly sized files:
     it merges small ones and splits an hour that holds much of the data."""
     columns = rows.sparkSession.table(table).columns
-    rows.select(*columns).hint("rebalance", F.col("dt"), F.col("hr")).write.insertInto(table)
+    with open_files(rows.sparkSession):
+        rows.select(*columns).hint("rebalance", F.col("dt"), F.col("hr")).write.insertInto(table)
 
 
 def insert_stream(rows: DataFrame, name: str, location: str, checkpoint_root: str, trigger: dict | None = None):
@@ -84,7 +106,8 @@ def write_batch(parts: dict[str, DataFrame], number: int, database: str = "ods")
     for name, rows in parts.items():
         table = f"{database}.{name}_batches"
         kept = rows.select(*[c for c in spark.table(table).columns if c != "batch"], batch)
-        kept.hint("rebalance", F.col("dt"), F.col("hr")).write.mode("overwrite").insertInto(table)
+        with open_files(spark):
+            kept.hint("rebalance", F.col("dt"), F.col("hr")).write.mode("overwrite").insertInto(table)
     spark.range(1).select(batch.alias("number"), batch).write.mode("overwrite").insertInto(f"{database}.complete_batches")
 
 

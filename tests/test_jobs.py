@@ -4,6 +4,7 @@ import json
 import time
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from airtrack import schemas
@@ -31,6 +32,30 @@ def test_tables_round_trip_and_commit(spark, messages):
     assert "PartitionFilters: [isnotnull(dt" in pruned._jdf.queryExecution().executedPlan().toString()
 
 
+def test_inserts_do_not_sort_a_large_hour(spark, messages, tmp_path, monkeypatch):
+    """A task writes the rows of its hours as they come; sorted, all of them would be in its memory."""
+    plans, insert_into = [], DataFrameWriter.insertInto
+
+    def recorded(writer, table, overwrite=None):
+        if not table.endswith("complete_batches"):
+            writer._df.createOrReplaceTempView("inserted")
+            plans.append(spark.sql(f"EXPLAIN INSERT INTO {table} SELECT * FROM inserted").first()[0])
+        return insert_into(writer, table, overwrite)
+
+    monkeypatch.setattr(DataFrameWriter, "insertInto", recorded)
+    name, mode = "spark.sql.maxConcurrentOutputFileWriters", "spark.sql.sources.partitionOverwriteMode"
+    before, overwritten = spark.conf.get(name), spark.conf.get(mode)
+    drones, _ = pipelines.ods_jm(messages)
+    tables.insert(drones, tables.create_table(spark, "ods_jm_drone", "unsorted", f"{tmp_path}/drone"))
+    tables.create_fan_out(spark, ["ods_jm_drone"], f"{tmp_path}/together", "unsorted_together")
+    tables.write_batch({"ods_jm_drone": drones}, 0, "unsorted_together")
+    spark.conf.set(mode, overwritten)
+    assert len(plans) == 2 and not any("Sort [" in plan for plan in plans)
+    assert spark.conf.get(name) == before
+    assert spark.table("unsorted.ods_jm_drone").exceptAll(drones).isEmpty() and spark.table("unsorted.ods_jm_drone").count() == drones.count()
+    assert spark.table("unsorted_together.ods_jm_drone").count() == drones.count()
+
+
 def test_old_messages_have_a_table(spark, messages):
     table = tables.create_table(spark, "ods_jm_old")
     tables.insert(decode.ods_jm_old(messages), table)
