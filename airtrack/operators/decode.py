@@ -106,6 +106,11 @@ def split_by_type(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.filter(drone), rows.filter(~drone)
 
 
+def target() -> Column:
+    """Name of the table a row goes to."""
+    return F.when(is_drone(), F.lit("drone")).otherwise(F.lit("remote"))
+
+
 def legacy_jm(routed: DataFrame) -> DataFrame:
     """Rows of the old flat format; a message that lacks one of its keys keeps its text in ``batch_num``."""
     carried = [c for c in routed.columns if c not in ("value", "inner", "route")]

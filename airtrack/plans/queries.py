@@ -84,11 +84,9 @@ def ods_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The table layer as a stream over a topic folder, read back from both tables."""
     place = _new_folder(spark)
     topics.write_topic(_jm(spark, folder), "jm", folder=place)
-    names = ("ods_jm_drone", "ods_jm_remote")
     stream = topics.read_topic(spark, "jm", folder=place)
-    for query in jobs.ods_jm(stream, {name: f"{place}/{name}" for name in names}, f"{place}/checkpoints", _ONCE):
-        query.awaitTermination()
-    drones, remotes = (spark.read.schema(tables.TABLES[name]).parquet(f"{place}/{name}") for name in names)
+    jobs.ods_jm_by_target(stream, f"{place}/ods_jm", f"{place}/checkpoints", _ONCE).awaitTermination()
+    drones, remotes = (tables.read_target(spark, f"ods_jm_{target}", target, f"{place}/ods_jm") for target in ("drone", "remote"))
     return drones.unionByName(remotes)
 
 

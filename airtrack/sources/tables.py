@@ -67,12 +67,20 @@ def insert(rows: DataFrame, table: str) -> None:
         rows.select(*columns).hint("rebalance", F.col("dt"), F.col("hr")).write.insertInto(table)
 
 
-def insert_stream(rows: DataFrame, name: str, location: str, checkpoint_root: str, trigger: dict | None = None):
+def insert_stream(
+    rows: DataFrame, name: str, location: str, checkpoint_root: str, trigger: dict | None = None, by: tuple[str, ...] = ("dt", "hr")
+):
     """Stream into the table's folder; Spark's file sink makes every micro-batch visible exactly once."""
-    writer = rows.writeStream.format("parquet").outputMode("append").partitionBy("dt", "hr").option("path", location)
+    writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(*by).option("path", location)
     return start(writer, name, checkpoint_root, trigger)
 
 
+def read_target(spark: SparkSession, name: str, target: str, location: str) -> DataFrame:
+    """Rows of one of the tables that a stream has filled side by side in ``location``, through the sink's log."""
+    rows = spark.read.schema(f"{TABLES[name]}, target string").parquet(location)
+    return rows.filter(F.col("target") == target).drop("target")
+
+
 def create_fan_out(spark: SparkSession, names: list[str], root: str, database: str = "ods") -> None:
     """Tables that one stream fills together: ``<name>_batches`` keyed by micro-batch as well, and the view ``<name>`` of all
     micro-batches that are complete in every table.

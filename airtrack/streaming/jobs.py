@@ -46,7 +46,11 @@ def adaptive(session: SparkSession, like: SparkSession) -> Iterator[None]:
 
 
 def ods_jm(messages: DataFrame, locations: dict[str, str], checkpoint_root: str, trigger: dict | None = None) -> list:
-    """Streaming inserts from one message stream: drones, remotes, and old messages when they have a location."""
+    """Streaming inserts from one message stream: drones, remotes, and old messages when they have a location.
+
+    Every table is a stream of its own, which can stop and go on apart from the others and parses all messages;
+    :func:`ods_jm_by_target` and :func:`ods_jm_together` parse them once.
+    """
     drones, remotes = pipelines.ods_jm(messages)
     targets = {"ods_jm_drone": drones, "ods_jm_remote": remotes}
     if "ods_jm_old" in locations:
@@ -56,6 +60,13 @@ def ods_jm(messages: DataFrame, locations: dict[str, str], checkpoint_root: str,
     ]
 
 
+def ods_jm_by_target(messages: DataFrame, location: str, checkpoint_root: str, trigger: dict | None = None):
+    """Streaming insert of drones and remotes from one parse: ``target=drone`` and ``target=remote`` in ``location`` are the folders
+    of the two tables, and one log of the sink makes a micro-batch visible in both at once (``tables.read_target``)."""
+    rows = decode.ods_jm(messages).withColumn("target", decode.target())
+    return tables.insert_stream(rows, "ods_jm", location, checkpoint_root, trigger, ("target", "dt", "hr"))
+
+
 def ods_jm_together(
     messages: DataFrame, bad: str, checkpoint_root: str, database: str = "ods", trigger: dict | None = None
 ):

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from airtrack import schemas
 from airtrack.operators import decode, pairing
-from airtrack.plans import pipelines
+from airtrack.plans import pipelines, queries
 from airtrack.sources import tables, topics
 from airtrack.streaming import jobs
+from tests.conftest import SCALE
 
 ONCE = {"availableNow": True}
 
@@ -76,6 +77,29 @@ def test_table_streams_equal_batch(spark, messages, tmp_path):
         assert got.count() == rows.count() and got.exceptAll(rows).isEmpty()
 
 
+def test_both_tables_are_filled_by_one_parse(spark, messages, monkeypatch):
+    """The streams of ``ods_stream`` read every message once, however many tables there are."""
+    started, start = [], topics.start
+    for module in (topics, tables):
+        monkeypatch.setattr(module, "start", lambda *given: started.append(start(*given)) or started[-1])
+    queries.ods_stream(spark, SCALE)
+    assert sum(p["numInputRows"] for query in started for p in query.recentProgress) == messages.count()
+
+
+def test_tables_by_target_equal_batch(spark, messages, tmp_path):
+    topics.write_topic(messages, "jm", folder=str(tmp_path))
+    stream = topics.read_topic(spark, "jm", folder=str(tmp_path), maxFilesPerTrigger="1")
+    jobs.ods_jm_by_target(stream, f"{tmp_path}/ods_jm", f"{tmp_path}/cp", ONCE).awaitTermination()
+    for target, rows in zip(("drone", "remote"), pipelines.ods_jm(messages)):
+        name = f"ods_jm_{target}"
+        got = tables.read_target(spark, name, target, f"{tmp_path}/ods_jm").select(*rows.columns)
+        assert got.count() == rows.count() > 0 and got.exceptAll(rows).isEmpty()
+        table = tables.create_table(spark, name, "by_target", f"{tmp_path}/ods_jm/target={target}")
+        tables.commit_partitions(spark, table, now=time.time() + 7200)
+        spark.sql(f"refresh table {table}")
+        assert spark.table(table).count() == rows.count() and spark.table(table).exceptAll(rows).isEmpty()
+
+
 def test_old_messages_stream_into_their_table(spark, messages, tmp_path):
     topics.write_topic(messages, "jm", folder=str(tmp_path))
     places = {name: f"{tmp_path}/{name}" for name in ("ods_jm_drone", "ods_jm_remote", "ods_jm_old")}
