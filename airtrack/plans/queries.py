@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtrack.functions.geo import with_lonlat, with_utm
-from airtrack.lineage import pin, shared_folder
+from airtrack.lineage import pin, scratch, shared_folder
 from airtrack.operators import components, decode, fusion, kinematics, pairing, quality, similarity, track
 from airtrack.plans import pipelines
+from airtrack.settings import TOPIC_FILE_ROWS
 from airtrack.sources import fixtures, tables, topics
 from airtrack.streaming import jobs
 
@@ -204,9 +205,10 @@ def window_features_lookahead(spark: SparkSession, folder: str) -> DataFrame:
 def _windows(spark: SparkSession, folder: str, **options) -> DataFrame:
     """Kinematics and features of every usable message by the stream."""
     place = _new_folder(spark)
-    for send in _jm_steps(spark, folder, place):
+    steps, files = _jm_steps(spark, folder, place)
+    for send in steps:
         send()
-    source = topics.read_topic(spark, "jm", folder=place, maxFilesPerTrigger=str(_FILES))
+    source = topics.read_topic(spark, "jm", folder=place, maxFilesPerTrigger=str(files))
     jobs.configure(spark)
     rows = jobs.signal_windows(pairing.good_rows(pairing.pair_messages(source)), **options).select(
         "offset", "timestamp", "speed", "heading", "start_latitude", "curr_batch_first", "time_range", "avg_speed", "avg_height"
@@ -232,12 +234,13 @@ def late_rows(spark: SparkSession, folder: str) -> DataFrame:
     place, held = _new_folder(spark), F.col("offset") % 100 == 59
     found = pin(fixtures.detections(spark, folder))
     timed = pin(fixtures.jm_messages(found).join(found.select("offset", "timestamp"), "offset"))
-    closing = _jm_steps(spark, folder, f"{place}/closing")[-1]
-    for send in _sent(timed.filter(~held), place, "jm"):
+    closing = _jm_steps(spark, folder, f"{place}/closing")[0][-1]
+    steps, files = _sent(timed.filter(~held), place, "jm")
+    for send in steps:
         send()
     closing()
     spark.read.schema("value string, offset bigint").json(f"{place}/closing/jm").repartition(_FILES).write.mode("append").json(f"{place}/jm")
-    source = topics.read_topic(spark, "jm", folder=place, maxFilesPerTrigger=str(_FILES))
+    source = topics.read_topic(spark, "jm", folder=place, maxFilesPerTrigger=str(files))
     jobs.configure(spark)
     late = jobs.late_rows(jobs.signal_windows(pairing.good_rows(pairing.pair_messages(source))))
     for more in (None, timed.filter(held)):
@@ -340,19 +343,23 @@ def dwd_pipeline_lookahead(spark: SparkSession, folder: str) -> DataFrame:
 _SLICES, _FILES = 2, 4
 
 
-def _sent(rows: DataFrame, place: str, topic: str, closing: DataFrame | None = None) -> list[Callable[[], None]]:
-    """Steps that send ``value, offset`` rows with a ``timestamp`` to a topic folder, one stretch of time each."""
-    low, high = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
+def _sent(rows: DataFrame, place: str, topic: str, closing: DataFrame | None = None) -> tuple[list[Callable[[], None]], int]:
+    """Steps that send ``value, offset`` rows with a ``timestamp`` to a topic folder, one stretch of time each, and in how many files
+    each does so: a micro-batch takes as many, and grows in files, not in rows of a file."""
+    seconds = pin(rows.groupBy("timestamp").agg(F.count(F.lit(1)).alias("n")))
+    low, high = seconds.agg(F.min("timestamp"), F.max("timestamp")).first()
     width = (high - low) // _SLICES + 1
+    stretch = F.floor((F.col("timestamp") - low) / width)
+    most = seconds.groupBy(stretch.alias("stretch")).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+    files = max(_FILES, -(-most // TOPIC_FILE_ROWS))
 
     def step(part: DataFrame) -> Callable[[], None]:
-        return lambda: part.select("value", "offset").repartition(_FILES).write.mode("append").json(f"{place}/{topic}")
+        return lambda: topics.write_compressed(part.select("value", "offset").repartition(files), f"{place}/{topic}", "append")
 
-    stretch = F.floor((F.col("timestamp") - low) / width)
-    return [step(rows.filter(stretch == k)) for k in range(_SLICES)] + ([step(closing)] if closing is not None else [])
+    return [step(rows.filter(stretch == k)) for k in range(_SLICES)] + ([step(closing)] if closing is not None else []), files
 
 
-def _jm_steps(spark: SparkSession, folder: str, place: str) -> list[Callable[[], None]]:
+def _jm_steps(spark: SparkSession, folder: str, place: str) -> tuple[list[Callable[[], None]], int]:
     """All messages in time order, then one of another drone a minute later, which closes all windows but its own."""
     found = pin(fixtures.detections(spark, folder))
     timed = fixtures.jm_messages(found).join(found.select("offset", "timestamp"), "offset")
@@ -378,38 +385,46 @@ def _dwd_text(spark: SparkSession, folder: str, place: str) -> DataFrame:
     return _dwd_columns(rows)
 
 
-def _streamed(spark: SparkSession, steps: list[Callable[[], None]], place: str) -> None:
-    """Send some steps, run the job until all is read, and leave its checkpoint for the next run."""
-    for send in steps:
-        send()
-    source = topics.read_topic(spark, "jm", folder=place, maxFilesPerTrigger=str(_FILES))
+def _streamed(spark: SparkSession, files: int, place: str) -> None:
+    """Run the job until all that was sent is read, and leave its checkpoint for the next run."""
+    source = topics.read_topic(spark, "jm", folder=place, maxFilesPerTrigger=str(files))
     jobs.dwd(source, place, f"{place}/checkpoints", trigger=_ONCE).awaitTermination()
 
 
 def dwd_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Fused detections by the stream, in several micro-batches."""
     place = _new_folder(spark)
-    _streamed(spark, _jm_steps(spark, folder, place), place)
+    with scratch(spark):  # what the messages are made from is not kept while the stream runs
+        steps, files = _jm_steps(spark, folder, place)
+        for send in steps:
+            send()
+    _streamed(spark, files, place)
     return _dwd_text(spark, folder, place)
 
 
 def recovery_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same by a job that stops while windows are open and is started again from its checkpoint."""
     place = _new_folder(spark)
-    steps = _jm_steps(spark, folder, place)
-    _streamed(spark, steps[:1], place)
-    _streamed(spark, steps[1:], place)
+    (first, *others), files = _jm_steps(spark, folder, place)
+    first()
+    _streamed(spark, files, place)
+    for send in others:
+        send()
+    _streamed(spark, files, place)
     return _dwd_text(spark, folder, place)
 
 
 def dws_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Tracks by the stream over the text of fused detections."""
     place = _new_folder(spark)
-    fused = pipelines.dwd(_jm(spark, folder))
-    fields = [c for c in fused.columns if c != "offset"]
-    for send in _sent(pin(fused.select("offset", "timestamp", F.to_json(F.struct(*fields)).alias("value"))), place, "dwd_jm_drone"):
-        send()
-    tracks = jobs.dws(topics.read_topic(spark, "dwd_jm_drone", folder=place, maxFilesPerTrigger=str(_FILES)))
+    with scratch(spark):
+        fused = pipelines.dwd(_jm(spark, folder))
+        fields = [c for c in fused.columns if c != "offset"]
+        text = pin(fused.select("offset", "timestamp", F.to_json(F.struct(*fields)).alias("value")))
+        steps, files = _sent(text, place, "dwd_jm_drone")
+        for send in steps:
+            send()
+    tracks = jobs.dws(topics.read_topic(spark, "dwd_jm_drone", folder=place, maxFilesPerTrigger=str(files)))
     sink = tracks.writeStream.format("parquet").option("path", f"{place}/tracks")
     topics.start(sink, "dws", f"{place}/checkpoints", _ONCE).awaitTermination()
     return _rounded(_track_columns(spark.read.schema(tracks.schema).parquet(f"{place}/tracks")), **_FILTERED)

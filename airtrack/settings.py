@@ -24,3 +24,5 @@ TASK_ROWS = 4_000_000  # rows of one key that one task may sort on its own
 GRID_TASK_ROWS = 4_000  # rows of one grid cell that meet in one join key before it is salted
 SMALL_GRAPH_LINKS = 200_000  # links of one second that one task may union on its own
 OPEN_FILES = 24  # partition values that one task writes side by side; it sorts what is left if it has more
+TOPIC_CODEC = "gzip"  # of the files of a topic folder; JSON text shrinks to a tenth or less, and a compressed file is read by one task
+TOPIC_FILE_ROWS = 25_000  # messages of one compressed file

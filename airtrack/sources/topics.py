@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from airtrack import schemas
-from airtrack.settings import CHECKPOINT_TRIGGER
+from airtrack.settings import CHECKPOINT_TRIGGER, TOPIC_CODEC
 
 _FILE_SCHEMA = "value string, offset bigint"
 _PARTITION_BITS = 12
@@ -81,6 +81,11 @@ def write_topic(
     return start(writer, topic, checkpoint, trigger)
 
 
+def write_compressed(rows: DataFrame, path: str, mode: str) -> None:
+    """Text rows as compressed JSON lines, one file per partition, which every reader of a topic folder opens like plain ones."""
+    rows.select("value", "offset").write.mode(mode).option("compression", TOPIC_CODEC).json(path)
+
+
 def start(writer: DataStreamWriter, name: str, checkpoint_root: str, trigger: dict | None = None):
     """Start a query that recovers from ``<checkpoint_root>/<name>``."""
     return (

@@ -146,8 +146,8 @@ def late_rows(windows: DataFrame) -> DataFrame:
 
 
 def fuse_closed_seconds(rows: DataFrame, memory: DataFrame | None, threshold: float = SIMILARITY_THRESHOLD):
-    """Fuse the rows of closed seconds; returns the rows with identities, and the identities."""
-    rows = pin(rows.withColumn("signal_id", kinematics.signal_id()))
+    """Fuse the rows of closed seconds, a written table that is read several times; returns the rows with identities, and the identities."""
+    rows = rows.withColumn("signal_id", kinematics.signal_id())
     nodes = rows.filter(F.col("curr_batch_first") == 1).select(
         *kinematics.NODE, "signal_id", "intrusion_start_time",
         "start_latitude", "start_longitude", "start_height", *DIMENSIONS,
@@ -188,14 +188,14 @@ def dwd(
 
     def send(text: DataFrame, name: str, number: int) -> None:
         if servers is None:
-            text.select("value", "offset").write.mode("overwrite").json(f"{folder}/{name}/batch={number}")
+            topics.write_compressed(text, f"{folder}/{name}/batch={number}", "overwrite")
         else:
             topics.write_topic(text, name, servers, key=F.col("key"))
 
     def fuse(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         with scratch(session), adaptive(session, spark):
-            given = pin(batch)
+            given = pin(batch.withColumn("payload", F.when(F.col("reason").isNotNull(), F.col("payload"))))
             for name, rows_of in ((f"{topic}_late", F.col("reason") == LATE), (f"{topic}_bad", F.col("reason") != LATE)):
                 aside = given.filter(rows_of)
                 send(aside.select(F.col("payload").alias("value"), "offset", F.col("offset").alias("key")), name, number)

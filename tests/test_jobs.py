@@ -400,3 +400,56 @@ def test_memory_of_a_target_is_bounded():
         assert i == n - 1 and tracemalloc.get_traced_memory()[1] < 45_000_000
     finally:
         tracemalloc.stop()
+
+
+def test_topic_folders_are_compressed(spark, messages, tmp_path):
+    """What the fused stream sends takes a fraction of its text on disk, and reads like plain files."""
+    topics.write_topic(messages, "jm", folder=str(tmp_path))
+    stream = topics.read_topic(spark, "jm", folder=str(tmp_path))
+    jobs.dwd(stream, str(tmp_path), f"{tmp_path}/cp", trigger=ONCE).awaitTermination()
+    for name in ("dwd_jm_drone", "dwd_jm_drone_bad"):
+        sent = spark.read.schema("value string, offset bigint").json(f"{tmp_path}/{name}")
+        size = sum(file.stat().st_size for file in (tmp_path / name).rglob("part-*"))
+        text = sent.agg(F.sum(F.length("value"))).first()[0]
+        assert text > 0 and size < 0.4 * text
+
+
+def test_a_stretch_is_one_micro_batch_in_as_many_files_as_it_needs(spark, tmp_path, monkeypatch):
+    """Compressed files are not split, so a stretch is sent in more files as it grows; micro-batches stay the same."""
+    rows = spark.range(1000).select(F.col("id").alias("timestamp"), F.col("id").alias("offset"), F.lit("{}").alias("value"))
+    monkeypatch.setattr(queries, "TOPIC_FILE_ROWS", 70)
+    steps, files = queries._sent(rows, str(tmp_path), "t", rows.limit(1))
+    assert files == 8 and len(steps) == 3
+    for send in steps:
+        send()
+    assert len(list((tmp_path / "t").glob("part-*.json.gz"))) in (17, 18)
+    stream, seen = topics.read_topic(spark, "t", folder=str(tmp_path), maxFilesPerTrigger=str(files)), []
+    sink = stream.writeStream.foreachBatch(lambda batch, number: seen.append(batch.agg(F.min("offset"), F.max("offset"), F.count("offset")).first()[:]))
+    topics.start(sink, "t", f"{tmp_path}/cp", ONCE).awaitTermination()
+    assert [tuple(s) for s in seen[:2]] == [(0, 499, 500), (500, 999, 500)] and len(seen) == 3
+
+
+class _Stopped(Exception):
+    pass
+
+
+def _written(spark):
+    """Folders of written tables."""
+    from pathlib import Path
+
+    from airtrack.lineage import shared_folder
+
+    return {p.parent for p in Path(shared_folder(spark)).rglob("part-*.parquet")}
+
+
+@pytest.mark.parametrize("name, query", [("dwd", queries.dwd_stream), ("dws", queries.dws_stream)])
+def test_messages_are_made_without_leaving_tables(spark, monkeypatch, name, query):
+    """The tables that messages are made from are gone before a stream reads them."""
+    def stop(*given, **options):
+        raise _Stopped
+
+    before = _written(spark)
+    monkeypatch.setattr(jobs, name, stop)
+    with pytest.raises(_Stopped):
+        query(spark, SCALE)
+    assert _written(spark) <= before
