@@ -405,11 +405,12 @@ def dwd_stream(spark: SparkSession, folder: str) -> DataFrame:
 def recovery_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same by a job that stops while windows are open and is started again from its checkpoint."""
     place = _new_folder(spark)
-    (first, *others), files = _jm_steps(spark, folder, place)
-    first()
-    _streamed(spark, files, place)
-    for send in others:
-        send()
+    with scratch(spark):
+        (first, *others), files = _jm_steps(spark, folder, place)
+        first()
+        _streamed(spark, files, place)
+        for send in others:
+            send()
     _streamed(spark, files, place)
     return _dwd_text(spark, folder, place)
 

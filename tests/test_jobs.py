@@ -453,3 +453,21 @@ def test_messages_are_made_without_leaving_tables(spark, monkeypatch, name, quer
     with pytest.raises(_Stopped):
         query(spark, SCALE)
     assert _written(spark) <= before
+
+
+def test_a_recovering_stream_leaves_no_tables_of_its_messages(spark, monkeypatch):
+    """They are needed until the rest is sent, and gone when the job goes on with it."""
+    from types import SimpleNamespace
+
+    before, runs = _written(spark), []
+
+    def dwd(*given, **options):
+        runs.append(len(_written(spark) - before))
+        if len(runs) == 2:
+            raise _Stopped
+        return SimpleNamespace(awaitTermination=lambda: None)
+
+    monkeypatch.setattr(jobs, "dwd", dwd)
+    with pytest.raises(_Stopped):
+        queries.recovery_stream(spark, SCALE)
+    assert runs[0] > 0 and runs[1] == 0
