@@ -71,10 +71,14 @@ def inner_json(value: Column) -> Column:
 
 
 def strip_control(value: Column) -> Column:
-    """Drop the literal sequences ``\\r`` and ``\\n`` and all control characters."""
+    """Drop the literal sequences ``\\r`` and ``\\n`` and all control characters.
+
+    Most text holds neither a backslash nor a control character; one greedy scan finds that out, and such text is left as it is.
+    """
+    clean, whole = F.rlike(value, F.lit(r"\A[^\x00-\x1F\x7F\\]*\z")), value
     for sequence in (r"\\r\\n", r"\\r", r"\\n", r"[\x00-\x1F\x7F]"):
         value = F.regexp_replace(value, sequence, "")
-    return value
+    return F.when(clean, whole).otherwise(value)
 
 
 def json_string_literal(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airtrack.functions import clock
@@ -17,7 +17,7 @@ from airtrack.plans import pipelines
 from airtrack.settings import COMPANY_ID, SIMILARITY_THRESHOLD, UTM_ZONE, WATERMARK_DELAY_MS, WINDOW_SECONDS
 from airtrack.sources import tables, topics
 from airtrack.streaming import memory
-from airtrack.streaming.processors import BUCKETS, FILTER_OUTPUT, LATE, WINDOW_OUTPUT, SignalWindows, TargetFilter
+from airtrack.streaming.processors import BUCKETS, FILTER_OUTPUT, LATE, WINDOW_OUTPUT, SignalWindowFrames, TargetFilterFrames
 
 STATE_TTL_SECONDS = None  # nothing is forgotten unless a caller asks for it
 
@@ -97,6 +97,11 @@ def quarantine(rows: DataFrame, name: str, folder: str, checkpoint_root: str, tr
     return topics.write_topic(bad, name, folder=folder, checkpoint=checkpoint_root, trigger=trigger)
 
 
+def _whole_as_text(*names: str) -> list[Column]:
+    """Whole numbers for a processor that is fed in frames, in which a null would make them floats."""
+    return [F.col(name).cast("string").alias(name) for name in names]
+
+
 def signal_windows(
     rows: DataFrame, ttl_seconds: int | None = STATE_TTL_SECONDS, zone: int = UTM_ZONE, mode: str = kinematics.CAUSAL
 ) -> DataFrame:
@@ -118,8 +123,8 @@ def signal_windows(
     bad, dealt = reason.isNotNull(), F.hash(*kinematics.SIGNAL)
     keyed = with_utm(rows, zone=zone).select(
         F.pmod(F.when(bad, F.col("offset")).otherwise(dealt), F.lit(BUCKETS)).cast("int").alias("bucket"),
-        *kinematics.SIGNAL, "timestamp", "offset",
-        "latitude", "longitude", "height", speed.cast("double").alias("speed"), "utm_x", "utm_y",
+        *kinematics.SIGNAL, *_whole_as_text("timestamp", "offset"),
+        "latitude", "longitude", "height", F.coalesce(speed.cast("double"), F.lit(0.0)).alias("speed"), "utm_x", "utm_y",
         F.to_json(F.struct(*fields)).alias("payload"), reason.alias("reason"),
         F.when(~bad, F.timestamp_seconds("timestamp")).alias("event_ts"),
     )
@@ -127,7 +132,7 @@ def signal_windows(
         keyed.withWatermark("event_ts", f"{WINDOW_SECONDS * 1000 + WATERMARK_DELAY_MS} milliseconds")
         .drop("event_ts")
         .groupBy("bucket")
-        .transformWithState(SignalWindows(ttl_seconds, mode == kinematics.LOOKAHEAD), WINDOW_OUTPUT, "Append", "EventTime")
+        .transformWithStateInPandas(SignalWindowFrames(ttl_seconds, mode == kinematics.LOOKAHEAD), WINDOW_OUTPUT, "Append", "EventTime")
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in others)
     kept = [F.col(f"_p.{c}").alias(c) for c in others if c not in ("speed",)]
@@ -229,10 +234,10 @@ def filtered_targets(tracks: DataFrame, ttl_seconds: int | None = STATE_TTL_SECO
     others = [c for c in tracks.columns if c not in ("fusion_id", "timestamp", "offset")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tracks.schema.fields if f.name in others)
     keyed = tracks.select(
-        "fusion_id", "timestamp", "offset", "utm_x", "utm_y", F.to_json(F.struct(*others)).alias("payload")
+        "fusion_id", *_whole_as_text("timestamp", "offset"), "utm_x", "utm_y", F.to_json(F.struct(*others)).alias("payload")
     )
-    out = keyed.groupBy("fusion_id").transformWithState(
-        TargetFilter(None if ttl_seconds is None else ttl_seconds * 1000),
+    out = keyed.groupBy("fusion_id").transformWithStateInPandas(
+        TargetFilterFrames(None if ttl_seconds is None else ttl_seconds * 1000),
         FILTER_OUTPUT,
         "Append",
         "ProcessingTime" if ttl_seconds else "None",

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 import pickle
 import tempfile
-from collections.abc import Iterator
+from collections import namedtuple
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -43,6 +46,26 @@ _WINDOW, _FILTER = _named(WINDOW_OUTPUT), _named(FILTER_OUTPUT)
 _UNKNOWN = (None,) * (len(WINDOW_OUTPUT.split(", ")) - 6)  # between the payload and the reason
 
 
+FRAME_ROWS = 4096  # rows of a frame that goes back to Spark
+
+
+def _given(frames: Iterable[pd.DataFrame], whole: tuple[str, ...]) -> Iterator[tuple]:
+    """Rows of frames by column name; the ``whole`` numbers come as text, because a frame with a null in them would hold floats."""
+    for frame in frames:
+        row = namedtuple("row", frame.columns)
+        columns = (frame[name].tolist() for name in frame.columns)
+        yield from map(row, *(
+            [v if v is None else int(v) for v in column] if name in whole else column for name, column in zip(frame.columns, columns)
+        ))
+
+
+def _frames(rows: Iterable[tuple], ddl: str) -> Iterator[pd.DataFrame]:
+    """Rows in frames of at most :data:`FRAME_ROWS`, with the columns of a flat DDL and nothing converted."""
+    rows, names = iter(rows), [column.split()[0] for column in ddl.split(", ")]
+    while held := list(itertools.islice(rows, FRAME_ROWS)):
+        yield pd.DataFrame(held, columns=names, dtype=object)
+
+
 class SignalWindows(StatefulProcessor):
     """Five-second windows of the signals of one bucket, each giving out the rows of its first second when it closes.
 
@@ -56,6 +79,8 @@ class SignalWindows(StatefulProcessor):
     is given out at once as it is, and so is a row that comes after its window, with the reason ``late``.
     """
 
+    _row = staticmethod(_WINDOW)
+
     def __init__(self, ttl_seconds: int | None = None, lookahead: bool = False):
         self._ttl = ttl_seconds
         self._lookahead = lookahead
@@ -72,7 +97,7 @@ class SignalWindows(StatefulProcessor):
         closed, fresh, earliest = timerValues.getCurrentWatermarkInMs(), [], None
         for row in rows:
             if row.reason is not None or row.timestamp * 1000 <= closed:
-                yield _WINDOW(
+                yield self._row(
                     row.drone_uuid, row.batch_num, row.timestamp, row.offset, row.payload, *_UNKNOWN, row.reason or LATE
                 )
                 continue
@@ -165,12 +190,29 @@ class SignalWindows(StatefulProcessor):
                 sum(heights) / rows,
             )
             for rank, row in enumerate(window[second], start=1):
-                yield _WINDOW(*signal, second, row[1], row[8], *row[6:8], *step, *reached[second][3:], rank, *features, None)
+                yield self._row(*signal, second, row[1], row[8], *row[6:8], *step, *reached[second][3:], rank, *features, None)
 
     def close(self) -> None:
         pass
 
 
+class SignalWindowFrames(SignalWindows):
+    """The same for ``transformWithStateInPandas``: rows come and go in frames.
+
+    Row by row, Spark converts every cell on its own and keeps all that a call gives out, that is all windows that a partition
+    closes, in memory before it sends them on; frames are converted by column and sent one after the other.  ``timestamp`` and
+    ``offset`` come as text.
+    """
+
+    _row = staticmethod(lambda *values: values)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        return _frames(super().handleInputRows(key, _given(rows, ("timestamp", "offset")), timerValues), WINDOW_OUTPUT)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        return _frames(super().handleExpiredTimer(key, timerValues, expiredTimerInfo), WINDOW_OUTPUT)
+
+
 def _as_arrays(ddl: str) -> str:
     return ", ".join(f"{name} array<{kind}>" for name, kind in (column.split() for column in ddl.split(", ")))
 
@@ -216,6 +258,8 @@ class TargetFilter(StatefulProcessor):
     A target may hold much of a micro-batch, so its rows are sorted outside of memory beyond a size.
     """
 
+    _row = staticmethod(_FILTER)
+
     def __init__(self, ttl_ms: int | None = None):
         self._ttl = ttl_ms
 
@@ -231,8 +275,17 @@ class TargetFilter(StatefulProcessor):
         fields = ((row.timestamp, row.offset, row.utm_x, row.utm_y, row.payload) for row in rows)
         for timestamp, offset, x, y, payload in _in_order(fields):
             state = first_state(timestamp, x, y) if state is None else next_state(state, timestamp, x, y)
-            yield _FILTER(*key, timestamp, offset, payload, state[1], state[3])
+            yield self._row(*key, timestamp, offset, payload, state[1], state[3])
         self._state.update(state)
 
     def close(self) -> None:
         pass
+
+
+class TargetFilterFrames(TargetFilter):
+    """The same for ``transformWithStateInPandas``; see :class:`SignalWindowFrames`."""
+
+    _row = staticmethod(lambda *values: values)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        return _frames(super().handleInputRows(key, _given(rows, ("timestamp", "offset")), timerValues), FILTER_OUTPUT)

@@ -1,6 +1,7 @@
 """Golden values of the scalar functions."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -95,3 +96,12 @@ def test_heading_is_counter_clockwise_from_east(spark):
 
     for dx, dy, expected in ((1.0, 0.0, 0.0), (0.0, 1.0, 90.0), (-1.0, 0.0, 180.0), (0.0, -1.0, 270.0)):
         assert math.isclose(one(spark, planar_heading(F.col("x"), F.col("y")), x=dx, y=dy), expected)
+
+
+def test_strip_control_of_odd_texts(spark):
+    def plain(t):
+        return None if t is None else re.sub(r"[\x00-\x1f\x7f]", "", re.sub(r"\\n", "", re.sub(r"\\r", "", re.sub(r"\\r\\n", "", t))))
+
+    texts = [None, "", "a", "ㆍ", "a\nb", "\n", "\x7f", "\x85", "\u2028", "a\\", "\\\\rn", "\\\\r\\nr", "x\\r\\n\x00\\\nn", "é\\ny", "{\"a\": 1}"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.strip_control(F.col("t")).alias("s")).collect()
+    assert [r.s for r in got] == [plain(r.t) for r in got]

@@ -471,3 +471,67 @@ def test_a_recovering_stream_leaves_no_tables_of_its_messages(spark, monkeypatch
     with pytest.raises(_Stopped):
         queries.recovery_stream(spark, SCALE)
     assert runs[0] > 0 and runs[1] == 0
+
+
+@pytest.mark.parametrize("ttl", [None, 6])
+def test_windows_in_frames_equal_windows_in_rows(ttl):
+    """Nulls in a column of whole numbers change neither them nor large numbers beside them."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    from airtrack.streaming.processors import SignalWindowFrames, SignalWindows
+
+    large = 2**60 + 1
+
+    def row(signal, second, reason=None):
+        return SimpleNamespace(
+            drone_uuid=f"U{signal}", batch_num="B", timestamp=second, offset=None if second is None else large + second * 100 + signal,
+            latitude=1.0, longitude=2.0, height=3.0, speed=0.0, utm_x=float(second or 0), utm_y=0.0, payload="{}", reason=reason,
+        )
+
+    class Framed(SignalWindowFrames):
+        def handleInputRows(self, key, rows, timerValues):
+            rows = [vars(r) | {n: None if getattr(r, n) is None else str(getattr(r, n)) for n in ("timestamp", "offset")} for r in rows]
+            frames = (pd.DataFrame(rows[at:at + 7]) for at in range(0, len(rows), 7))
+            for frame in super().handleInputRows(key, frames, timerValues):
+                yield from frame.itertuples(index=False)
+
+        def handleExpiredTimer(self, *given):
+            for frame in super().handleExpiredTimer(*given):
+                yield from frame.itertuples(index=False)
+
+    parts = [
+        (-1, [row(s, t) for t in range(100, 130) for s in range(20)] + [row(1, None, "no start time")]),
+        (124_950, [row(s, t) for t in range(130, 150) for s in range(20)] + [row(2, 110)]), (999_950, []),
+    ]
+    got, want = _closed(Framed(ttl), CountedState(), parts), _closed(SignalWindows(ttl), CountedState(), parts)
+    assert len(got) == 20 * 50 + 2 and [tuple(r) for r in got] == [tuple(r) for r in want]
+    assert all(isinstance(r.offset, int) for r in got if r.reason != "no start time")
+
+
+def test_a_filtered_target_leaves_in_frames():
+    """What a target gives out is not held until its last row is filtered."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    from airtrack.streaming import processors
+
+    n, read = 60_000, []
+
+    def frames():
+        for at in range(0, n, 5000):
+            read.append(at)
+            yield pd.DataFrame({
+                "timestamp": [str(i) for i in range(at, at + 5000)], "offset": [str(2**60 + i) for i in range(at, at + 5000)],
+                "utm_x": float(at), "utm_y": 2.0, "payload": "{}",
+            })
+
+    state = SimpleNamespace(exists=lambda: False, update=lambda value: None)
+    one = processors.TargetFilterFrames()
+    one.init(SimpleNamespace(getValueState=lambda *args: state))
+    out = one.handleInputRows(("f",), frames(), None)
+    first = next(out)
+    assert len(first) == processors.FRAME_ROWS and list(first["offset"][:2]) == [2**60, 2**60 + 1]
+    assert len(first) + sum(map(len, out)) == n and len(read) == n // 5000
